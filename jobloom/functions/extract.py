@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,37 +14,51 @@ from jobloom.functions.text import WS, ascii_digits, blank_to_null, java_pattern
 
 # Numbers are read as doubles so that none overflows, then held at the BIGINT end.
 _LARGEST = 9.2e18
+# Stand for "no number" next to the numbers found, which are never negative. They keep
+# the arrays from being empty, since casting a blank token costs an exception per row.
+NO_YEARS = -1.0
+NO_AMOUNT = 1e300
 
 
 def _all_matches(text: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(text, F.lit(java_pattern(pattern)), F.lit(group))
 
 
-def _to_doubles(tokens: Column) -> Column:
-    """Digit tokens as numbers, null where a token is none."""
-    joined = ascii_digits(F.array_join(tokens, " "))
-    return F.split(F.replace(joined, F.lit(","), F.lit("")), " ").try_cast("array<double>")
+def _to_doubles(none: float, tokens: Column) -> Column:
+    """Digit tokens as numbers, after ``none``; null where a token has no digit."""
+    joined = F.array_join(F.concat(F.array(F.lit(str(none))), tokens), " ")
+    plain = F.replace(ascii_digits(joined), F.lit(","), F.lit(""))
+    return F.split(plain, " ").try_cast("array<double>")
 
 
-def _to_bigint(number: Column) -> Column:
-    held = F.when(number > _LARGEST, F.lit(_LARGEST)).otherwise(number)
-    return held.cast("bigint")
+def whole(number: Column) -> Column:
+    return F.least(F.floor(number).cast("double"), F.lit(_LARGEST)).cast("bigint")
 
 
 def years_mentioned(text: Column) -> Column:
     """Every number of years that any of the patterns finds, pattern by pattern."""
     tokens = F.concat(*[_all_matches(text, p, 1) for p in fv.YEARS_PATTERNS])
-    numbers = F.filter(_to_doubles(tokens), lambda n: n.isNotNull())
-    return F.transform(numbers, _to_bigint)
+    return F.transform(F.filter(_to_doubles(NO_YEARS, tokens), lambda n: n >= 0), whole)
 
 
 def most_years(text: Column) -> Column:
-    """The largest number of years mentioned, or null.
+    """The largest number of years mentioned, or ``NO_YEARS``.
 
     The first pattern finds each number that the others find.
     """
-    tokens = _all_matches(text, fv.YEARS_PATTERNS[0], 1)
-    return _to_bigint(F.array_max(_to_doubles(tokens)))
+    return F.array_max(_to_doubles(NO_YEARS, _all_matches(text, fv.YEARS_PATTERNS[0], 1)))
+
+
+def _hourly(text: Column) -> Column:
+    lowered = F.lower(text)
+    return reduce(or_, [F.contains(lowered, F.lit(word)) for word in fv.HOURLY_WORDS])
+
+
+def _per_year(amounts: Column) -> Column:
+    return F.transform(
+        amounts,
+        lambda n: F.when(n < fv.HOURLY_LIMIT, n * fv.HOURS_PER_YEAR).otherwise(n),
+    )
 
 
 def annual_amounts(text: Column) -> Column:
@@ -51,25 +67,15 @@ def annual_amounts(text: Column) -> Column:
     Small amounts count as hourly when the text speaks of hours anywhere. A token
     of commas alone is no amount.
     """
-    lowered = F.lower(text)
-    hourly = F.lit(False)
-    for word in fv.HOURLY_WORDS:
-        hourly = hourly | F.contains(lowered, F.lit(word))
-    amounts = F.filter(
-        _to_doubles(_all_matches(text, fv.MONEY_PATTERN, 1)), lambda n: n.isNotNull()
-    )
-    per_year = F.when(
-        hourly,
-        F.transform(
-            amounts,
-            lambda n: F.when(n < fv.HOURLY_LIMIT, n * fv.HOURS_PER_YEAR).otherwise(n),
-        ),
-    ).otherwise(amounts)
-    return F.transform(per_year, _to_bigint)
+    found = _to_doubles(NO_AMOUNT, _all_matches(text, fv.MONEY_PATTERN, 1))
+    amounts = F.filter(found, lambda n: n < NO_AMOUNT)
+    return F.transform(F.when(_hourly(text), _per_year(amounts)).otherwise(amounts), whole)
 
 
 def least_annual_amount(text: Column) -> Column:
-    return F.array_min(annual_amounts(text))
+    """The smallest of the annual amounts, not yet cut, or ``NO_AMOUNT``."""
+    found = _to_doubles(NO_AMOUNT, _all_matches(text, fv.MONEY_PATTERN, 1))
+    return F.array_min(F.when(_hourly(text), _per_year(found)).otherwise(found))
 
 
 def first_label(text: Column, labels: Sequence[tuple[str, str]]) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom import fixed_values as fv
-from jobloom.functions.extract import least_annual_amount, most_years
+from jobloom.functions.extract import NO_AMOUNT, least_annual_amount, most_years, whole
 from jobloom.functions.text import (
     contains_keyword,
     contains_keyword_item,
@@ -169,29 +169,41 @@ career_level_exclusion = _excluded_by(
 )
 
 
-def _above(amount: Column, limit: int | None, reason: str) -> tuple[Column, Column]:
-    """Pass unless the amount is strictly above the limit; unknown amounts pass."""
-    if limit is None:
-        return F.lit(True), no_reasons()
-    passes = F.coalesce(amount <= limit, F.lit(True))
-    text = F.format_string(reason, amount, F.lit(limit))
+def prepared(**columns: Callable[[Posting], Column]):
+    """Give a handler named columns that are computed once, before it looks at them."""
+
+    def attach(handler: RuleHandler) -> RuleHandler:
+        handler.prepared = columns
+        return handler
+
+    return attach
+
+
+def _at_most(amount: Column, limit: int, reason: str) -> tuple[Column, Column]:
+    """Pass unless the amount is strictly above the limit."""
+    text = F.format_string(reason, whole(amount), F.lit(limit))
+    passes = amount <= limit
     return passes, F.when(passes, no_reasons()).otherwise(F.array(text))
 
 
+@prepared(years=lambda posting: most_years(posting["title_and_description"]))
 def experience_exclusion(posting: Posting, rules: ExclusionRules) -> tuple[Column, Column]:
-    return _above(
-        most_years(posting["title_and_description"]),
-        rules.maximum_years,
-        "experience requirement %d years exceeds maximum %d",
-    )
+    if rules.maximum_years is None:
+        return F.lit(True), no_reasons()
+    reason = "experience requirement %d years exceeds maximum %d"
+    return _at_most(posting["years"], rules.maximum_years, reason)
 
 
-def salary_exclusion(posting: Posting, rules: ExclusionRules) -> tuple[Column, Column]:
-    return _above(
-        least_annual_amount(F.concat_ws(" ", posting["salary"], posting["description"])),
-        rules.maximum_annual,
-        "salary/pay %d exceeds maximum annual %d",
+@prepared(
+    pay=lambda posting: least_annual_amount(
+        F.concat_ws(" ", posting["salary"], posting["description"])
     )
+)
+def salary_exclusion(posting: Posting, rules: ExclusionRules) -> tuple[Column, Column]:
+    if rules.maximum_annual is None:
+        return F.lit(True), no_reasons()
+    pay = F.when(posting["pay"] < NO_AMOUNT, F.floor(posting["pay"])).otherwise(0)
+    return _at_most(pay, rules.maximum_annual, "salary/pay %d exceeds maximum annual %d")
 
 
 INCLUSION_HANDLERS: tuple[tuple[str, RuleHandler], ...] = (
@@ -235,13 +247,18 @@ class PostingFilter:
         names = [f"_stage_{i}" for i in range(len(self.stages))]
         posting = _posting_columns(df, staged=False)
         for i, (_, handler, rules) in enumerate(self.stages):
-            passes, reasons = handler(posting, rules)
+            reached = F.col(f"{names[i - 1]}.passes") if i else F.lit(True)
+            needed = getattr(handler, "prepared", None)
+            seen = posting
+            if needed:
+                columns = [make(posting).alias(name) for name, make in needed.items()]
+                df = df.withColumn("_prepared", F.when(reached, F.struct(*columns)))
+                seen = posting | {name: F.col(f"_prepared.{name}") for name in needed}
+            passes, reasons = handler(seen, rules)
             verdict = F.struct(
                 F.coalesce(passes, F.lit(False)).alias("passes"), reasons.alias("reasons")
             )
-            if i:
-                verdict = F.when(F.col(f"{names[i - 1]}.passes"), verdict)
-            df = df.withColumn(names[i], verdict)
+            df = df.withColumn(names[i], F.when(reached, verdict))
             if i == 0:
                 # Lower-cased text serves every later stage; the first one, on the
                 # short location field, has by then dropped most rows.

@@ -17,7 +17,7 @@ from jobloom.operators.dedupe import first_postings, first_records, keep_first
 from jobloom.operators.ordering import number_rows, record_id
 from jobloom.plans import testdata as td
 from jobloom.plans.coding_run import numbered_records
-from jobloom.session import new_run_folder
+from jobloom.session import new_run_folder, spread, stage
 from jobloom.sinks.writers import archive, read_csv, write_csv, write_json
 from jobloom.sources import sheets
 from jobloom.sources.frontier import search_frontier
@@ -87,7 +87,8 @@ def _decided(spark, sf):
 
 
 def _records(spark, sf):
-    return numbered_records(_decided(spark, sf), as_of=AS_OF)
+    # Numbering reads the decisions twice, so they are kept as a table, as a run does.
+    return numbered_records(stage(_decided(spark, sf), "decisions"), as_of=AS_OF)
 
 
 def _description(spark, sf):
@@ -111,6 +112,7 @@ def dedupe_first_seen(spark, sf):
 @_query
 def dedupe_documents(spark, sf):
     documents = td.table(spark, sf, "documents").select("doc_id", "text", "source")
+    documents = spread(documents, "doc_id")
     # Whole documents as keys are compared by digest, so that the text is not moved.
     key = F.sha2(tx.normalized(F.col("text")), 256)
     keyed = documents.select("doc_id", "source", key.alias("digest"))
@@ -299,19 +301,23 @@ def excl_salary(spark, sf):
 def years_extract(spark, sf):
     text = F.concat_ws(" ", "job_title", "description")
     years = ex.years_mentioned(text).cast("array<string>")
+    most = F.col("most")
     return td.postings(spark, sf).select(
-        "ord", F.array_join(years, "; ").alias("years"), ex.most_years(text).alias("most_years")
-    )
+        "ord", F.array_join(years, "; ").alias("years"), ex.most_years(text).alias("most")
+    ).select("ord", "years", F.when(most >= 0, ex.whole(most)).alias("most_years"))
 
 
 @_query
 def pay_annual(spark, sf):
     text = F.concat_ws(" ", "salary", "description")
     amounts = ex.annual_amounts(text).cast("array<string>")
+    least = F.col("least")
     return td.postings(spark, sf).select(
         "ord",
         F.array_join(amounts, "; ").alias("amounts"),
-        ex.least_annual_amount(text).alias("least_amount"),
+        ex.least_annual_amount(text).alias("least"),
+    ).select(
+        "ord", "amounts", F.when(least < ex.NO_AMOUNT, ex.whole(least)).alias("least_amount")
     )
 
 
@@ -394,8 +400,9 @@ def source_fallback(spark, sf):
 
 @_query
 def run_counters(spark, sf):
-    decided = _decided(spark, sf)
-    errors = validate.validation_issues(_records(spark, sf), DICTIONARY)
+    decided = stage(_decided(spark, sf), "decisions")
+    records = stage(numbered_records(decided, as_of=AS_OF), "records")
+    errors = validate.validation_issues(records, DICTIONARY)
     counts = [
         td.postings(spark, sf).agg(F.count(F.lit(1)).alias("value")).select(
             F.lit("postings").alias("counter"), "value"
@@ -454,7 +461,8 @@ def cred_preferred(spark, sf):
 
 def _skill_query(spark, sf, catalogue):
     postings = td.postings(spark, sf).select("ord", F.col("description").alias("text"))
-    documents = td.table(spark, sf, "documents").select((-F.col("doc_id") - 1).alias("ord"), "text")
+    documents = spread(td.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    documents = documents.select((-F.col("doc_id") - 1).alias("ord"), "text")
     lowered = postings.unionByName(documents).select("ord", F.lower("text").alias("text"))
     return lowered.select("ord", ex.skills(F.col("text"), catalogue).alias("skills"))
 
@@ -502,7 +510,7 @@ def notes(spark, sf):
 
 @_query
 def normalize_records(spark, sf):
-    decided = _decided(spark, sf)
+    decided = stage(_decided(spark, sf), "decisions")
     matched = decided.where(F.col("decision.stage") != "exclusion:salary")
     return normalize.normalize_all(
         decided.drop("decision"), matched.select("ord", "decision"), as_of=AS_OF
@@ -564,8 +572,8 @@ def numbered_within_company(spark, sf):
 
 
 def _final(spark, sf):
-    valid = validate.without_errors(_records(spark, sf), DICTIONARY)
-    return validate.renumber(valid)
+    records = stage(_records(spark, sf), "records")
+    return validate.renumber(validate.without_errors(records, DICTIONARY))
 
 
 @_query

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jobloom.session import spread
+
 POSTINGS_SQL = """
 SELECT o_orderkey AS ord,
   CASE o_orderkey % 8
@@ -121,9 +123,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice"
+    )
     return spark.sql(
         POSTINGS_SQL,
-        orders=table(spark, sf_dir, "orders"),
+        orders=spread(orders, "o_orderkey"),
         customer=table(spark, sf_dir, "customer"),
     )
 

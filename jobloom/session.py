@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that the plans rely on. Partition counts are left to the cluster and AQE.
 SETTINGS = {
@@ -39,3 +39,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a costly step to the shared folder and go on from the table.
+
+    Later steps may read it several times, and lost executors cost only this step.
+    """
+    spark = df.sparkSession
+    folder = new_run_folder(spark, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rebalance an input of fewer splits than there are cores.
+
+    Text coding is bound by CPU, so a single small file would keep one core busy. Large
+    inputs have enough splits and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() < cores
+    return df.repartition(cores, *keys) if few else df
