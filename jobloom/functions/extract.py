@@ -10,7 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobloom import fixed_values as fv
-from jobloom.functions.text import WS, ascii_digits, blank_to_null, java_pattern, strip
+from jobloom.functions.text import (
+    WS,
+    ascii_digits,
+    blank_to_null,
+    java_pattern,
+    must_contain,
+    strip,
+)
 
 # Numbers are read as doubles so that none overflows, then held at the BIGINT end.
 _LARGEST = 9.2e18
@@ -78,20 +85,30 @@ def least_annual_amount(text: Column) -> Column:
     return F.array_min(F.when(_hourly(text), _per_year(found)).otherwise(found))
 
 
-def first_label(text: Column, labels: Sequence[tuple[str, str]]) -> Column:
-    """The label of the first pattern, in list order, that occurs in the text."""
+def first_label(
+    text: Column, labels: Sequence[tuple[str, str]], lowered: Sequence[Column]
+) -> Column:
+    """The label of the first pattern, in list order, that occurs in the text.
+
+    ``lowered`` are the parts of the text in lower case. A plain search in them for a
+    piece of the pattern spares the pattern for most rows.
+    """
     chain = F
     for pattern, label in labels:
-        chain = chain.when(F.regexp_like(text, F.lit(java_pattern(pattern))), label)
+        pieces = [F.contains(part, F.lit(p)) for p in must_contain(pattern) for part in lowered]
+        found = F.regexp_like(text, F.lit(java_pattern(pattern)))
+        chain = chain.when(reduce(or_, pieces) & found, label)
     return chain.otherwise(fv.NOT_SPECIFIED)
 
 
-def work_setting(location: Column, description: Column) -> Column:
-    return first_label(F.concat_ws(" ", location, description), fv.WORK_SETTINGS)
+def work_setting(location: Column, description: Column, lowered: Column) -> Column:
+    text = F.concat_ws(" ", location, description)
+    return first_label(text, fv.WORK_SETTINGS, [lowered, F.lower(location)])
 
 
-def employment_type(description: Column, salary: Column) -> Column:
-    return first_label(F.concat_ws(" ", description, salary), fv.EMPLOYMENT_TYPES)
+def employment_type(description: Column, salary: Column, lowered: Column) -> Column:
+    text = F.concat_ws(" ", description, salary)
+    return first_label(text, fv.EMPLOYMENT_TYPES, [lowered, F.lower(salary)])
 
 
 def distinct_matches(text: Column, pattern: str) -> Column:

@@ -89,7 +89,7 @@ def normalize(
         "job_title": strip(F.col("job_title")),
         "employer": strip(F.col("company")),
         "location": strip(F.col("location")),
-        "work_setting": ex.work_setting(F.col("location"), body),
+        "work_setting": ex.work_setting(F.col("location"), body, lowered),
         "education_requirements": ex.education(body),
         "required_qualifications": F.substring(required, 1, fv.TEXT_LENGTH),
         "preferred_qualifications": F.substring(preferred, 1, fv.TEXT_LENGTH),
@@ -106,7 +106,7 @@ def normalize(
         "soft_skills": ex.skills(lowered, fv.SOFT_SKILLS),
         "ai_or_emerging_technology_skills": ex.skills(lowered, fv.AI_SKILLS),
         "salary_or_pay": or_else(strip(F.col("salary")), fv.NOT_LISTED),
-        "employment_type": ex.employment_type(body, F.col("salary")),
+        "employment_type": ex.employment_type(body, F.col("salary"), lowered),
         "notes": notes(with_decision=decided),
     }
     columns = [

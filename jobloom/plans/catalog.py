@@ -17,7 +17,7 @@ from jobloom.operators.dedupe import first_postings, first_records, keep_first
 from jobloom.operators.ordering import number_rows, record_id
 from jobloom.plans import testdata as td
 from jobloom.plans.coding_run import numbered_records
-from jobloom.session import new_run_folder, spread, stage
+from jobloom.session import configure, new_run_folder, spread, stage
 from jobloom.sinks.writers import archive, read_csv, write_csv, write_json
 from jobloom.sources import sheets
 from jobloom.sources.frontier import search_frontier
@@ -70,7 +70,10 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(function: Query) -> Query:
-    _QUERIES[function.__name__] = function
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(configure(spark), sf_dir)
+
+    _QUERIES[function.__name__] = run
     return function
 
 
@@ -430,13 +433,13 @@ def run_counters(spark, sf):
 
 @_query
 def work_setting(spark, sf):
-    label = ex.work_setting(F.col("location"), F.col("text"))
+    label = ex.work_setting(F.col("location"), F.col("text"), F.lower("text"))
     return _description(spark, sf).select("ord", label.alias("work_setting"))
 
 
 @_query
 def employment_type(spark, sf):
-    label = ex.employment_type(F.col("text"), F.col("salary"))
+    label = ex.employment_type(F.col("text"), F.col("salary"), F.lower("text"))
     return _description(spark, sf).select("ord", label.alias("employment_type"))
 
 

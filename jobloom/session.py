@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes. The wide text projections make
+    # such methods when fused, so Spark is told to split those stages instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -33,71 +33,115 @@ _PART = re.compile(
 )
 
 
-def _node_test(text):
-    tests = []
-    for part in _PART.finditer(text):
-        tag, cls, node_id, attr, op, value = part.groups()
-        if tag:
-            tests.append(lambda n, t=tag: n["tag"] == t)
-        elif cls:
-            tests.append(lambda n, c=cls: c in n["attrs"].get("class", "").split())
-        elif node_id:
-            tests.append(lambda n, i=node_id: n["attrs"].get("id") == i)
-        elif op == "=":
-            tests.append(lambda n, a=attr, v=value: n["attrs"].get(a) == v)
-        elif op == "*=":
-            tests.append(lambda n, a=attr, v=value: v in n["attrs"].get(a, ""))
-        else:
-            tests.append(lambda n, a=attr: a in n["attrs"])
-    return lambda node: all(test(node) for test in tests)
-
-
-def _selector(selectors):
-    """Whether a node, with its ancestors, meets any of the fixed selectors."""
-    chains = [[_node_test(step) for step in text.split()] for text in selectors]
-
-    def matches(node, ancestors):
-        for *above, last in chains:
-            if last(node) and (not above or any(above[0](a) for a in ancestors)):
-                return True
-        return False
-
-    return matches
-
-
-_CARD = _selector(fv.CARD_SELECTORS)
-_FALLBACK_CARD = _selector(fv.FALLBACK_CARD_SELECTORS)
-_FIELDS = {
-    "title": _selector(fv.TITLE_SELECTORS),
-    "link": _selector(fv.LINK_SELECTORS),
-    "company": _selector(fv.COMPANY_SELECTORS),
-    "location": _selector(fv.LOCATION_SELECTORS),
-    "salary": _selector(fv.SALARY_SELECTORS),
-    "posting_date": _selector(fv.DATE_SELECTORS),
-    "description": _selector(fv.SNIPPET_SELECTORS),
-}
-_DETAIL = {"detail": _selector(fv.DETAIL_SELECTORS)}
+class _Node:
+    __slots__ = ("tag", "attrs", "classes", "captures", "scope")
+
+    def __init__(self, tag, attrs):
+        self.tag, self.attrs = tag, attrs
+        self.classes = attrs["class"].split() if "class" in attrs else ()
+        self.captures, self.scope = [], None
+
+
+class _Step:
+    """One part of a selector: a tag, classes, and attributes with their tests."""
+
+    def __init__(self, text):
+        self.tag, self.classes, self.attrs = None, [], []
+        for part in _PART.finditer(text):
+            tag, cls, node_id, attr, op, value = part.groups()
+            if tag:
+                self.tag = tag
+            elif cls:
+                self.classes.append(cls)
+            else:
+                given = ("id", "=", node_id) if node_id else (attr, op, value)
+                self.attrs.append(given)
+
+    def meets(self, node):
+        if self.tag and self.tag != node.tag:
+            return False
+        for cls in self.classes:
+            if cls not in node.classes:
+                return False
+        for name, op, value in self.attrs:
+            given = node.attrs.get(name)
+            if given is None or (op == "=" and given != value):
+                return False
+            if op == "*=" and value not in given:
+                return False
+        return True
+
+
+class _Selectors:
+    """Fixed selectors by name, looked up by the tag of a node."""
+
+    def __init__(self, **lists):
+        self.of_any, self.of_tag = [], {}
+        for name, selectors in lists.items():
+            for text in selectors:
+                *above, last = map(_Step, text.split())
+                entry = (name, last, above[0] if above else None)
+                if last.tag:
+                    self.of_tag.setdefault(last.tag, []).append(entry)
+                else:
+                    self.of_any.append(entry)
+
+    def names(self, node, ancestors):
+        """The names whose selectors the node meets, given the nodes around it."""
+        entries = self.of_tag.get(node.tag)
+        if not node.attrs and not entries:
+            return ()
+        return {
+            name
+            for name, last, above in (entries or []) + self.of_any
+            if last.meets(node) and (above is None or any(map(above.meets, ancestors)))
+        }
+
+
+_CARD = _Selectors(card=fv.CARD_SELECTORS)
+_FALLBACK_CARD = _Selectors(card=fv.FALLBACK_CARD_SELECTORS)
+_FIELDS = _Selectors(
+    title=fv.TITLE_SELECTORS,
+    link=fv.LINK_SELECTORS,
+    company=fv.COMPANY_SELECTORS,
+    location=fv.LOCATION_SELECTORS,
+    salary=fv.SALARY_SELECTORS,
+    posting_date=fv.DATE_SELECTORS,
+    description=fv.SNIPPET_SELECTORS,
+)
+_DETAIL = _Selectors(detail=fv.DETAIL_SELECTORS)
 
 
 class _FieldReader(HTMLParser):
-    """Collects, for every scope node, the first node of each field below it."""
+    """Collects, for every scope, the first node of each field below it.
+
+    Scopes are the nodes that ``scopes`` selects; without it the page is the one scope.
+    """
 
-    def __init__(self, is_scope, fields):
+    def __init__(self, scopes, fields):
         super().__init__(convert_charrefs=True)
-        self.is_scope, self.fields = is_scope, fields
-        self.open, self.scopes, self.pending = [], [], []
+        self.selects, self.fields = scopes, fields
+        self.open, self.pending = [], []
+        # Pairs of a scope's node and its fields; a field is its node and text pieces.
+        self.found = [] if scopes else [(None, {})]
+        self.within = list(self.found)
 
     def read(self, page):
         self.feed(page)
         self.close()
         self._end_text()
-        return self.scopes
+        return self.found
+
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
 
     def _end_text(self):
+        if not self.pending:
+            return
         text, self.pending = "".join(self.pending).strip(), []
-        if text and not any(node["tag"] in _HIDDEN for node in self.open[-1:]):
+        if text and not (self.open and self.open[-1].tag in _HIDDEN):
             for node in self.open:
-                for pieces in node["captures"]:
+                for pieces in node.captures:
                     pieces.append(text)
 
     def handle_data(self, data):
@@ -110,34 +154,37 @@ class _FieldReader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self._end_text()
-        ended = _ENDED_BY.get(tag)
-        if ended:
-            self._close_implied(ended)
+        if tag in _ENDED_BY:
+            self._close_implied(_ENDED_BY[tag])
         given = {}
         for name, value in attrs:
             given.setdefault(name, value or "")
-        node = {"tag": tag, "attrs": given, "captures": [], "scope": None}
-        for above in self.open:
-            if above["scope"] is not None:
-                self._fill(above["scope"], node)
-        if self.is_scope(node, self.open):
-            node["scope"] = {"node": node, "found": {}}
-            self.scopes.append(node["scope"])
+        node = _Node(tag, given)
+        if self.within:
+            for name in self.fields.names(node, self.open):
+                for _, fields in self.within:
+                    if name not in fields:
+                        fields[name] = (node, [])
+                        node.captures.append(fields[name][1])
+        if self.selects and self.selects.names(node, self.open):
+            node.scope = (node, {})
+            self.found.append(node.scope)
         if tag not in _VOID:
             self.open.append(node)
+            if node.scope:
+                self.within.append(node.scope)
 
-    def _fill(self, scope, node):
-        for name, matches in self.fields.items():
-            if name not in scope["found"] and matches(node, self.open):
-                pieces = []
-                scope["found"][name] = (node, pieces)
-                node["captures"].append(pieces)
+    def _close(self, depth):
+        for node in reversed(self.open[depth:]):
+            if node.scope:
+                self.within.pop()
+        del self.open[depth:]
 
     def _close_implied(self, ended):
         for depth in range(len(self.open) - 1, -1, -1):
-            tag = self.open[depth]["tag"]
+            tag = self.open[depth].tag
             if tag in ended:
-                del self.open[depth:]
+                self._close(depth)
                 return
             if tag in _SCOPES:
                 return
@@ -145,19 +192,19 @@ class _FieldReader(HTMLParser):
     def handle_endtag(self, tag):
         self._end_text()
         for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth]["tag"] == tag:
-                del self.open[depth:]
+            if self.open[depth].tag == tag:
+                self._close(depth)
                 return
 
 
 def parse_cards(page: str, site_url: str = fv.SITE_URL) -> list[dict]:
     """Every card on the page, in document order; later cards of a job are marked."""
-    scopes = _FieldReader(_CARD, _FIELDS).read(page)
-    if not scopes:
-        scopes = _FieldReader(_FALLBACK_CARD, _FIELDS).read(page)
+    found = _FieldReader(_CARD, _FIELDS).read(page)
+    if not found:
+        found = _FieldReader(_FALLBACK_CARD, _FIELDS).read(page)
     seen, cards = set(), []
-    for scope in scopes:
-        card = _card(scope, site_url)
+    for node, fields in found:
+        card = _card(node, fields, site_url)
         key = card["job_key"] or card["url"] or card["job_title"]
         card["repeated"] = bool(card["job_title"]) and key in seen
         if card["job_title"]:
@@ -166,20 +213,18 @@ def parse_cards(page: str, site_url: str = fv.SITE_URL) -> list[dict]:
     return cards
 
 
-def _card(scope, site_url):
-    found = scope["found"]
-
+def _card(node, fields, site_url):
     def attribute(name, key):
-        return found[name][0]["attrs"].get(key, "") if name in found else ""
+        return fields[name][0].attrs.get(key, "") if name in fields else ""
 
     def text(name):
-        return " ".join(found[name][1]) if name in found else ""
+        return " ".join(fields[name][1]) if name in fields else ""
 
     link = attribute("link", "href")
     link = urljoin(site_url, link) if link else ""
     in_link = re.search("[?&]jk=([a-zA-Z0-9]+)", link)
     job_key = (
-        scope["node"]["attrs"].get("data-jk")
+        node.attrs.get("data-jk")
         or attribute("link", "data-jk")
         or (in_link.group(1) if in_link else "")
     )
@@ -197,7 +242,5 @@ def _card(scope, site_url):
 
 def parse_detail(page: str) -> str:
     """The description text of a detail page, or blank."""
-    root = lambda node, ancestors: not ancestors and not reader.scopes
-    reader = _FieldReader(root, _DETAIL)
-    found = reader.read(f"<main>{page}")[0]["found"]
-    return "\n".join(found["detail"][1]) if "detail" in found else ""
+    [(_, fields)] = _FieldReader(None, _DETAIL).read(page)
+    return "\n".join(fields["detail"][1]) if "detail" in fields else ""
