@@ -1,7 +1,7 @@
 """Dense numbering and running values over input order, without one-task windows.
 
 Rows are cut into buckets by the high bits of a unique BIGINT order column, so a
-bucket holds at most 2**16 rows whatever the data look like, and a group of buckets at
+bucket holds at most 2**12 rows whatever the data look like, and a group of buckets at
 most 2**20 of them. Each window below runs over one bucket or one group of buckets,
 also when a single key holds most of the rows.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from jobloom import fixed_values as fv
 
-BUCKET_BITS = 16
+BUCKET_BITS = 12
 GROUP_BITS = 20
 
 

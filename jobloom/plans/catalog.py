@@ -103,8 +103,9 @@ def _description(spark, sf):
 
 @_query
 def dedupe_key(spark, sf):
-    key = tx.posting_key(*[F.col(c) for c in ("job_title", "company", "location", "url")])
-    return td.postings(spark, sf).select("ord", key.alias("dedupe_key"))
+    key = tx.posting_key(*[F.col(c) for c in ("job_title", "company", "location", "link")])
+    linked = td.postings(spark, sf).withColumn("link", tx.normalized(F.col("url")))
+    return linked.select("ord", key.alias("dedupe_key"))
 
 
 @_query
