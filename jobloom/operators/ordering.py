@@ -41,9 +41,11 @@ def _earlier_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         )
         .drop("_group_rows")
     )
+    # Left joins, here and below, though every row has a match: an inner join would add
+    # a filter to one reading of the counts, and Spark would not share their shuffle.
     return (
         per_bucket.withColumn("_before", in_group)
-        .join(per_group, [*keys, "_group"])
+        .join(per_group, [*keys, "_group"], "left")
         .select(*keys, "_bucket", (F.col("_before") + F.col("_before_group")).alias("_offset"))
     )
 
@@ -62,7 +64,7 @@ def number_rows(
     offsets = _earlier_rows(rows.select(*keys, "_bucket"), keys)
     return (
         rows.withColumn("_place", place)
-        .join(offsets, [*keys, "_bucket"])
+        .join(offsets, [*keys, "_bucket"], "left")
         .withColumn(name, F.col("_offset") + F.col("_place"))
         .select(*df.columns, name)
     )
@@ -92,7 +94,7 @@ def carry_down(
     before = per_bucket.select(
         *keys, "_group", "_bucket",
         *[F.last(n, ignorenulls=True).over(bucket_window).alias(f"_b_{n}") for n in names],
-    ).join(before_group, [*keys, "_group"])
+    ).join(before_group, [*keys, "_group"], "left")
     here = (
         Window.partitionBy(*keys, "_bucket")
         .orderBy(order)
@@ -101,7 +103,7 @@ def carry_down(
     kept = [c for c in df.columns if c not in names]
     return (
         rows.withColumns({n: F.last(n, ignorenulls=True).over(here) for n in names})
-        .join(before.drop("_group"), [*keys, "_bucket"])
+        .join(before.drop("_group"), [*keys, "_bucket"], "left")
         .select(*kept, *[F.coalesce(n, f"_b_{n}", f"_g_{n}").alias(n) for n in names])
     )
 
