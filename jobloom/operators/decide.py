@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from jobloom import fixed_values as fv
 from jobloom.functions.extract import NO_AMOUNT, least_annual_amount, most_years, whole
 from jobloom.functions.text import (
+    apart_pattern,
     contains_keyword,
-    contains_keyword_item,
     normalized,
     normalized_literal,
 )
@@ -64,13 +64,7 @@ def keyword_hits(
     if not keywords:
         return F.lit(False), no_reasons()
     if len(keywords) > UNROLL_LIMIT:
-        items = F.array(*[F.lit(k) for k in keywords])
-        hit = lambda k: contains_keyword_item(text, lowered, k)
-        before, after = reason.split("{}")
-        named = F.transform(
-            F.filter(items, hit), lambda k: F.concat(F.lit(before), k, F.lit(after))
-        )
-        return F.exists(items, hit), named
+        return _hits_of_long_list(text, lowered, keywords, reason)
     tests = [contains_keyword(text, lowered, k) for k in keywords]
     named = [
         F.when(test, reason.format(k)).otherwise("") for test, k in zip(tests, keywords)
@@ -78,60 +72,87 @@ def keyword_hits(
     return reduce(or_, tests), F.array_remove(F.array(*named), "")
 
 
+def _hits_of_long_list(
+    text: Column, lowered: Column, keywords: Sequence[str], reason: str
+) -> tuple[Column, Column]:
+    items = []
+    for keyword in keywords:
+        needle = keyword.strip()
+        pattern = apart_pattern(needle) if len(needle) <= fv.SHORT_KEYWORD_LENGTH else None
+        if needle:
+            items.append(_literals(reason=reason.format(keyword), needle=needle.lower(), pattern=pattern))
+
+    def hit(item: Column) -> Column:
+        inside = F.contains(lowered, item["needle"])
+        apart = F.regexp_like(text, item["pattern"])
+        return F.when(item["pattern"].isNull(), inside).otherwise(apart)
+
+    table = F.array(*items)
+    found = F.transform(F.filter(table, hit), lambda item: item["reason"])
+    return F.exists(table, hit), found
+
+
+def _literals(**values: str | None) -> Column:
+    return F.struct(*[F.lit(v).cast("string").alias(name) for name, v in values.items()])
+
+
 def match_location(location: Column, allowed: Sequence[str]) -> Column:
     """The reason of the first allowed location that matches, or null.
 
     ``location`` is normalised text. Each entry is tried as a substring and then, for
     the states that have one, as a two-letter token.
     """
-    if len(allowed) > UNROLL_LIMIT:
-        return _match_long_list(location, allowed)
-    reasons = []
+    entries = []
     for name in allowed:
         wanted = normalized_literal(name)
-        if not wanted:
-            continue
-        reasons.append(
-            F.when(F.contains(location, F.lit(wanted)), f"matched location '{name}'")
-        )
         token = fv.STATE_TOKENS.get(wanted)
-        if token:
-            apart = F.regexp_like(location, F.lit(f"(?<![A-Za-z]){token}(?![A-Za-z])"))
-            reasons.append(F.when(apart, f"matched location abbreviation for '{name}'"))
+        pattern = apart_pattern(token, ignore_case=False) if token else None
+        if wanted:
+            entries.append((name, wanted, pattern))
+    as_place, as_token = "matched location '{}'", "matched location abbreviation for '{}'"
+    if len(entries) > UNROLL_LIMIT:
+        table = F.array(
+            *[
+                _literals(place=as_place.format(n), token=as_token.format(n), wanted=w, pattern=p)
+                for n, w, p in entries
+            ]
+        )
+        reasons = F.transform(
+            table,
+            lambda e: F.when(F.contains(location, e["wanted"]), e["place"]).when(
+                F.regexp_like(location, e["pattern"]), e["token"]
+            ),
+        )
+        return F.try_element_at(F.filter(reasons, lambda r: r.isNotNull()), F.lit(1))
+    reasons = []
+    for name, wanted, pattern in entries:
+        inside = F.contains(location, F.lit(wanted))
+        reasons.append(F.when(inside, as_place.format(name)))
+        if pattern:
+            apart = F.regexp_like(location, F.lit(pattern))
+            reasons.append(F.when(apart, as_token.format(name)))
     return F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
 
 
-def _match_long_list(location: Column, allowed: Sequence[str]) -> Column:
-    entries = [
-        F.struct(
-            F.lit(name).alias("name"),
-            F.lit(normalized_literal(name)).alias("wanted"),
-            F.lit(fv.STATE_TOKENS.get(normalized_literal(name))).cast("string").alias("token"),
-        )
-        for name in allowed
-        if normalized_literal(name)
-    ]
-    apart = lambda e: F.coalesce(
-        F.regexp_like(
-            location, F.concat(F.lit("(?<![A-Za-z])"), e["token"], F.lit("(?![A-Za-z])"))
-        ),
-        F.lit(False),
-    )
-    inside = lambda e: F.contains(location, e["wanted"])
-    first = F.try_element_at(
-        F.filter(F.array(*entries), lambda e: inside(e) | apart(e)), F.lit(1)
-    )
-    text = F.when(inside(first), "matched location '").otherwise(
-        "matched location abbreviation for '"
-    )
-    return F.when(first.isNotNull(), F.concat(text, first["name"], F.lit("'")))
+def prepared(**columns: Callable[[Posting, object], Column]):
+    """Give a handler named columns that are computed once, before it looks at them."""
 
+    def attach(handler: RuleHandler) -> RuleHandler:
+        handler.prepared = columns
+        return handler
+
+    return attach
 
+
+@prepared(
+    matched=lambda posting, rules: match_location(
+        posting["location_normalized"], rules.locations
+    )
+)
 def location_inclusion(posting: Posting, rules: InclusionRules) -> tuple[Column, Column]:
     if not rules.locations:
         return F.lit(True), F.array(F.lit("no location inclusion rules configured"))
-    location = posting["location_normalized"]
-    matched = match_location(location, rules.locations)
+    matched, location = posting["matched"], posting["location_normalized"]
     reason = F.when(location == "", "missing location").otherwise(
         F.coalesce(matched, F.lit("location not in inclusion list"))
     )
@@ -169,16 +190,6 @@ career_level_exclusion = _excluded_by(
 )
 
 
-def prepared(**columns: Callable[[Posting], Column]):
-    """Give a handler named columns that are computed once, before it looks at them."""
-
-    def attach(handler: RuleHandler) -> RuleHandler:
-        handler.prepared = columns
-        return handler
-
-    return attach
-
-
 def _at_most(amount: Column, limit: int, reason: str) -> tuple[Column, Column]:
     """Pass unless the amount is strictly above the limit."""
     text = F.format_string(reason, whole(amount), F.lit(limit))
@@ -186,7 +197,7 @@ def _at_most(amount: Column, limit: int, reason: str) -> tuple[Column, Column]:
     return passes, F.when(passes, no_reasons()).otherwise(F.array(text))
 
 
-@prepared(years=lambda posting: most_years(posting["title_and_description"]))
+@prepared(years=lambda posting, rules: most_years(posting["title_and_description"]))
 def experience_exclusion(posting: Posting, rules: ExclusionRules) -> tuple[Column, Column]:
     if rules.maximum_years is None:
         return F.lit(True), no_reasons()
@@ -195,7 +206,7 @@ def experience_exclusion(posting: Posting, rules: ExclusionRules) -> tuple[Colum
 
 
 @prepared(
-    pay=lambda posting: least_annual_amount(
+    pay=lambda posting, rules: least_annual_amount(
         F.concat_ws(" ", posting["salary"], posting["description"])
     )
 )
@@ -251,7 +262,7 @@ class PostingFilter:
             needed = getattr(handler, "prepared", None)
             seen = posting
             if needed:
-                columns = [make(posting).alias(name) for name, make in needed.items()]
+                columns = [make(posting, rules).alias(name) for name, make in needed.items()]
                 df = df.withColumn("_prepared", F.when(reached, F.struct(*columns)))
                 seen = posting | {name: F.col(f"_prepared.{name}") for name in needed}
             passes, reasons = handler(seen, rules)

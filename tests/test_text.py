@@ -51,8 +51,6 @@ def test_posting_keys(value):
 )
 def test_keywords(value, text, keyword, found):
     assert value(lambda c: tx.contains_keyword(c, F.lower(c), keyword), text) is found
-    as_item = lambda c: tx.contains_keyword_item(c, F.lower(c), F.lit(keyword))
-    assert value(as_item, text) is found
 
 
 def test_url_and_list_helpers(value):
