@@ -171,3 +171,36 @@ def test_frontier(spark):
         "https://x/jobs?q=a%26b&l=New+Orleans&start=10",
     ]
     assert search_frontier(keywords, ["x"], 0).count() == search_frontier(keywords, [], 1).count() == 0
+
+
+def test_a_hot_url_is_split_between_tasks(spark):
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        ids = spark.range(0, 20000, 1, 8)
+        url = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "").otherwise(
+            F.concat(F.lit("u"), F.col("id").cast("string"))
+        )
+        cards = ids.select(
+            F.col("id").alias("page_id"), F.lit(0).alias("card_ord"), url.alias("url"),
+            F.sha2(F.col("id").cast("string"), 256).alias("description"),
+        )
+        detail = F.lit("<div id='jobDescriptionText'>full</div>")
+        details = ids.select(F.col("id").alias("ord"), url.alias("url"), detail.alias("html"))
+        out = pages.with_details(cards, details, ("page_id", "card_ord"))
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        assert len(rows) == 20000
+        assert sum(r.description == "full" for r in rows) == sum(r.url != "" for r in rows)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
