@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,11 +22,24 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings and send this package to the executors, once per application."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    _send_package(spark)
     return spark
 
 
+def _send_package(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent
+    name = f"{package.name}.zip"
+    if any(Path(file).name == name for file in context.listFiles):
+        return
+    target = Path(tempfile.mkdtemp(prefix=f"{package.name}-")) / package.name
+    archive = shutil.make_archive(str(target), "zip", package.parent, package.name)
+    context.addPyFile(archive)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor can reach, from ``spark.checkpoint.dir``.
 
