@@ -220,3 +220,45 @@ RECORD_ID_DIGITS = 4
 DATE_PATTERNS = (r"\d{4}-\d{2}-\d{2}", r"\d{4}-\d{2}")
 ALLOWED_VALUE_LENGTH = 60
 SOFT_DEFAULTS = ("not specified", "not listed", "not applicable", "")
+
+# --- fixed values: reasons, messages and formats ------------------------------
+
+REASON_NO_LOCATION_RULES = "no location inclusion rules configured"
+REASON_NO_KEYWORD_RULES = "no keyword inclusion rules configured"
+REASON_LOCATION_MISSING = "missing location"
+REASON_LOCATION_OTHER = "location not in inclusion list"
+REASON_LOCATION = "matched location '{}'"
+REASON_STATE_TOKEN = "matched location abbreviation for '{}'"
+REASON_TITLE_INCLUSION = "title inclusion keyword '{}'"
+REASON_DESCRIPTION_INCLUSION = "description inclusion keyword '{}'"
+REASON_INCLUSION = "inclusion keyword '{}'"
+REASON_NOT_RELEVANT = "no inclusion keywords matched title/description"
+REASON_TITLE_EXCLUSION = "excluded title keyword '{}'"
+REASON_DESCRIPTION_EXCLUSION = "excluded description keyword '{}'"
+REASON_CAREER_EXCLUSION = "excluded career-level keyword '{}'"
+REASON_YEARS = "experience requirement %d years exceeds maximum %d"
+REASON_PAY = "salary/pay %d exceeds maximum annual %d"
+REASON_PASSED_EXCLUSION = "passed all exclusion rules"
+REASON_PASSED_ALL = "passed all inclusion and exclusion rules"
+STAGE_ACCEPTED = "accepted"
+REASON_JOINER = "; "
+
+BLOCKED_STATUS = "HTTP {status} from {site} (likely anti-bot / rate limit)"
+BLOCKED_EMPTY = "empty response body"
+BLOCKED_MARKER = "anti-bot challenge detected ({})"
+BLOCKED_SHORT = "suspiciously short non-results page (possible soft block)"
+
+ISSUE_REQUIRED = "required field is empty"
+ISSUE_COVERAGE = "schema field missing from JobRecord model"
+ISSUE_DATE = "date-like value may be nonstandard: "
+ISSUE_ALLOWED = ("value '", "' not in allowed examples")
+
+NOTE_LABELS = {
+    "posting_date": "Posting date: ",
+    "search_keyword": "Search keyword: ",
+    "search_location": "Search location: ",
+    "stage": "Filter stage: ",
+    "reasons": "Filter reasons: ",
+}
+SEARCH_URL = "{site}/jobs?q={keyword}&l={location}&start={start}"
+JOB_URL = "{site}/viewjob?jk={key}"

@@ -109,7 +109,7 @@ def match_location(location: Column, allowed: Sequence[str]) -> Column:
         pattern = apart_pattern(token, ignore_case=False) if token else None
         if wanted:
             entries.append((name, wanted, pattern))
-    as_place, as_token = "matched location '{}'", "matched location abbreviation for '{}'"
+    as_place, as_token = fv.REASON_LOCATION, fv.REASON_STATE_TOKEN
     if len(entries) > UNROLL_LIMIT:
         table = F.array(
             *[
@@ -151,25 +151,25 @@ def prepared(**columns: Callable[[Posting, object], Column]):
 )
 def location_inclusion(posting: Posting, rules: InclusionRules) -> tuple[Column, Column]:
     if not rules.locations:
-        return F.lit(True), F.array(F.lit("no location inclusion rules configured"))
+        return F.lit(True), F.array(F.lit(fv.REASON_NO_LOCATION_RULES))
     matched, location = posting["matched"], posting["location_normalized"]
-    reason = F.when(location == "", "missing location").otherwise(
-        F.coalesce(matched, F.lit("location not in inclusion list"))
+    reason = F.when(location == "", fv.REASON_LOCATION_MISSING).otherwise(
+        F.coalesce(matched, F.lit(fv.REASON_LOCATION_OTHER))
     )
     return (location != "") & matched.isNotNull(), F.array(reason)
 
 
 def keyword_inclusion(posting: Posting, rules: InclusionRules) -> tuple[Column, Column]:
     lists = (
-        ("job_title", rules.title_keywords, "title inclusion keyword '{}'"),
-        ("description", rules.description_keywords, "description inclusion keyword '{}'"),
-        ("title_and_description", rules.keywords, "inclusion keyword '{}'"),
+        ("job_title", rules.title_keywords, fv.REASON_TITLE_INCLUSION),
+        ("description", rules.description_keywords, fv.REASON_DESCRIPTION_INCLUSION),
+        ("title_and_description", rules.keywords, fv.REASON_INCLUSION),
     )
     if not any(keywords for _, keywords, _ in lists):
-        return F.lit(True), F.array(F.lit("no keyword inclusion rules configured"))
+        return F.lit(True), F.array(F.lit(fv.REASON_NO_KEYWORD_RULES))
     found = [keyword_hits(posting, *each) for each in lists]
     relevant = reduce(or_, [hit for hit, _ in found])
-    nothing = F.array(F.lit("no inclusion keywords matched title/description"))
+    nothing = F.array(F.lit(fv.REASON_NOT_RELEVANT))
     return relevant, F.when(relevant, F.concat(*[r for _, r in found])).otherwise(nothing)
 
 
@@ -181,12 +181,12 @@ def _excluded_by(field: str, rule_list: str, reason: str) -> RuleHandler:
     return handler
 
 
-title_exclusion = _excluded_by("job_title", "title_keywords", "excluded title keyword '{}'")
+title_exclusion = _excluded_by("job_title", "title_keywords", fv.REASON_TITLE_EXCLUSION)
 description_exclusion = _excluded_by(
-    "description", "description_keywords", "excluded description keyword '{}'"
+    "description", "description_keywords", fv.REASON_DESCRIPTION_EXCLUSION
 )
 career_level_exclusion = _excluded_by(
-    "title_and_description", "career_level_keywords", "excluded career-level keyword '{}'"
+    "title_and_description", "career_level_keywords", fv.REASON_CAREER_EXCLUSION
 )
 
 
@@ -201,8 +201,7 @@ def _at_most(amount: Column, limit: int, reason: str) -> tuple[Column, Column]:
 def experience_exclusion(posting: Posting, rules: ExclusionRules) -> tuple[Column, Column]:
     if rules.maximum_years is None:
         return F.lit(True), no_reasons()
-    reason = "experience requirement %d years exceeds maximum %d"
-    return _at_most(posting["years"], rules.maximum_years, reason)
+    return _at_most(posting["years"], rules.maximum_years, fv.REASON_YEARS)
 
 
 @prepared(
@@ -214,7 +213,7 @@ def salary_exclusion(posting: Posting, rules: ExclusionRules) -> tuple[Column, C
     if rules.maximum_annual is None:
         return F.lit(True), no_reasons()
     pay = F.when(posting["pay"] < NO_AMOUNT, F.floor(posting["pay"])).otherwise(0)
-    return _at_most(pay, rules.maximum_annual, "salary/pay %d exceeds maximum annual %d")
+    return _at_most(pay, rules.maximum_annual, fv.REASON_PAY)
 
 
 INCLUSION_HANDLERS: tuple[tuple[str, RuleHandler], ...] = (
@@ -281,12 +280,12 @@ class PostingFilter:
         reasons = F.concat(*[F.coalesce(f"{name}.reasons", no_reasons()) for name in names])
         df = df.withColumn("_reasons", reasons)
         df = df.withColumn("_accepted", F.coalesce(F.col(f"{names[-1]}.passes"), F.lit(False)))
-        passed = F.when(
-            F.size("_reasons") == 0, "passed all inclusion and exclusion rules"
-        ).otherwise("passed all exclusion rules")
+        passed = F.when(F.size("_reasons") == 0, fv.REASON_PASSED_ALL).otherwise(
+            fv.REASON_PASSED_EXCLUSION
+        )
         decision = F.struct(
             F.col("_accepted").alias("included"),
-            stage.otherwise("accepted").alias("stage"),
+            stage.otherwise(fv.STAGE_ACCEPTED).alias("stage"),
             F.when(F.col("_accepted"), F.array_append("_reasons", passed))
             .otherwise(F.col("_reasons"))
             .alias("reasons"),
@@ -327,7 +326,7 @@ def audit_rows(decided: DataFrame) -> DataFrame:
         "location",
         F.col("decision.included").alias("included"),
         F.col("decision.stage").alias("stage"),
-        F.array_join("decision.reasons", "; ").alias("reasons"),
+        F.array_join("decision.reasons", fv.REASON_JOINER).alias("reasons"),
     )
 
 

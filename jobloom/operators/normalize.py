@@ -18,22 +18,17 @@ def today() -> Column:
 def notes(*, with_decision: bool) -> Column:
     """Provenance of the row; parts that do not apply are left out."""
 
-    def part(label: str, name: str) -> Column:
-        text = F.col(name)
-        return F.when(text != "", F.concat(F.lit(f"{label}: "), text))
+    def labelled(name: str, text: Column) -> Column:
+        return F.concat(F.lit(fv.NOTE_LABELS[name]), text)
 
     parts = [
-        part("Posting date", "posting_date"),
-        part("Search keyword", "search_keyword"),
-        part("Search location", "search_location"),
+        F.when(F.col(name) != "", labelled(name, F.col(name)))
+        for name in ("posting_date", "search_keyword", "search_location")
     ]
     if with_decision:
-        stage = F.concat(F.lit("Filter stage: "), F.col("decision.stage"))
-        reasons = F.concat(
-            F.lit("Filter reasons: "), F.array_join("decision.reasons", "; ")
-        )
-        parts += [stage, reasons]
-    return F.concat_ws("; ", *parts, F.when(is_demo(), fv.DEMO_NOTE))
+        reasons = F.array_join("decision.reasons", fv.REASON_JOINER)
+        parts += [labelled("stage", F.col("decision.stage")), labelled("reasons", reasons)]
+    return F.concat_ws(fv.REASON_JOINER, *parts, F.when(is_demo(), fv.DEMO_NOTE))
 
 
 def is_demo() -> Column:

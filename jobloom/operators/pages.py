@@ -32,24 +32,20 @@ def block_reason(
     lowered = F.lower(html)
     reason = F
     if status is not None:
-        text = F.concat(
-            F.lit("HTTP "), status.cast("string"),
-            F.lit(f" from {site_name} (likely anti-bot / rate limit)"),
-        )
-        reason = reason.when(status.isin(*fv.BLOCK_STATUS_CODES), text)
-    reason = reason.when(html.isNull() | (strip(html) == ""), "empty response body")
+        for code in fv.BLOCK_STATUS_CODES:
+            text = fv.BLOCKED_STATUS.format(status=code, site=site_name)
+            reason = reason.when(status == code, text)
+    reason = reason.when(html.isNull() | (strip(html) == ""), fv.BLOCKED_EMPTY)
     for marker in fv.BLOCK_MARKERS:
         reason = reason.when(
-            F.contains(lowered, F.lit(marker)), f"anti-bot challenge detected ({marker})"
+            F.contains(lowered, F.lit(marker)), fv.BLOCKED_MARKER.format(marker)
         )
     if status is not None:
         marked = F.lit(False)
         for marker in fv.JOB_MARKERS:
             marked = marked | F.contains(html, F.lit(marker))
         short = (status == 200) & (F.length(lowered) < fv.SHORT_PAGE_LENGTH)
-        reason = reason.when(
-            short & ~marked, "suspiciously short non-results page (possible soft block)"
-        )
+        reason = reason.when(short & ~marked, fv.BLOCKED_SHORT)
     return reason.otherwise(F.lit(None).cast("string"))
 
 

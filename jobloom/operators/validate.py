@@ -48,24 +48,24 @@ def _date_like(value: Column) -> Column:
 
 def _checks(dictionary: Dictionary, enforce_allowed_values: bool) -> list[_Check]:
     checks = [
-        _Check(strip(F.col(name)) == "", name, F.lit("required field is empty"), "error")
+        _Check(strip(F.col(name)) == "", name, F.lit(fv.ISSUE_REQUIRED), "error")
         for name in fv.REQUIRED_FIELDS
         if name in dictionary.fields
     ]
     for name, data_type in dictionary.data_types.items():
         value = F.col(name)
         if name not in fv.RECORD_DEFAULTS:
-            text = F.lit("schema field missing from JobRecord model")
+            text = F.lit(fv.ISSUE_COVERAGE)
             checks.append(_Check(F.lit(True), name, text, "warning"))
             continue
         if "date" in data_type.lower():
-            text = F.concat(F.lit("date-like value may be nonstandard: "), value)
+            text = F.concat(F.lit(fv.ISSUE_DATE), value)
             checks.append(_Check((value != "") & ~_date_like(value), name, text, "warning"))
         allowed = dictionary.allowed_values.get(name, ())
         short = all(len(item) <= fv.ALLOWED_VALUE_LENGTH for item in allowed)
         if enforce_allowed_values and allowed and short:
             soft = F.lower(strip(value)).isin(*fv.SOFT_DEFAULTS)
-            text = F.concat(F.lit("value '"), value, F.lit("' not in allowed examples"))
+            text = F.concat(F.lit(fv.ISSUE_ALLOWED[0]), value, F.lit(fv.ISSUE_ALLOWED[1]))
             checks.append(_Check(~soft & ~value.isin(*allowed), name, text, "warning"))
     return checks
 

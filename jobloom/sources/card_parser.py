@@ -234,7 +234,7 @@ def _card(node, fields, site_url):
         "location": text("location"),
         "salary": text("salary"),
         "description": text("description"),
-        "url": link or (f"{site_url}/viewjob?jk={job_key}" if job_key else ""),
+        "url": link or (fv.JOB_URL.format(site=site_url, key=job_key) if job_key else ""),
         "posting_date": text("posting_date"),
         "job_key": job_key,
     }

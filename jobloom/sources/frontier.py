@@ -26,6 +26,9 @@ def search_frontier(
         starts = F.sequence(
             F.lit(0), F.lit((max_pages - 1) * fv.PAGE_STEP), F.lit(fv.PAGE_STEP)
         )
+    address = fv.SEARCH_URL.format(
+        site=site_url.replace("%", "%%"), keyword="%s", location="%s", start="%d"
+    )
     visits = (
         keywords.select("keyword", F.explode(places).alias("location"))
         .select("*", F.explode(starts).alias("start"))
@@ -34,10 +37,8 @@ def search_frontier(
         "keyword",
         "location",
         "start",
-        F.concat(
-            F.lit(f"{site_url}/jobs?q="), form_encoded(F.col("keyword")),
-            F.lit("&l="), form_encoded(F.col("location")),
-            F.lit("&start="), F.col("start").cast("string"),
+        F.format_string(
+            address, form_encoded(F.col("keyword")), form_encoded(F.col("location")), "start"
         ).alias("url"),
         slug(F.col("keyword")).alias("keyword_slug"),
         slug(F.col("location")).alias("location_slug"),
