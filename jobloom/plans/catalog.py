@@ -258,7 +258,7 @@ def loc_match(spark, sf):
 
 @_query
 def loc_match_long_list(spark, sf):
-    # Past the unrolling limit: every company is an allowed place, after the states.
+    # Past the unrolling limit: a hundred places that never match come before the states.
     places = tuple(f"Parish {i}" for i in range(decide.UNROLL_LIMIT)) + INCLUSION.locations
     rules = decide.InclusionRules(locations=places)
     return _one_rule(spark, sf, decide.location_inclusion, inclusion=rules)
@@ -524,7 +524,7 @@ def normalize_records(spark, sf):
 # --- validation, numbering, output ---
 
 
-def _issues(spark, sf, dictionary, severity=None, **options):
+def _issues(spark, sf, dictionary, **options):
     issues = validate.validation_issues(_records(spark, sf), dictionary, **options)
     return issues.withColumn("issue_pos", F.col("issue_pos").cast("bigint"))
 
