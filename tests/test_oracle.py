@@ -19,7 +19,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_its_sql(spark, duck, name):
     result = queries()[name](spark, str(DATA))
     columns = sorted(result.columns)
