@@ -27,7 +27,7 @@ from jobloom.llm.common import prepare, table, utf8
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
-WORDS_KEPT = 250_000
+WORDS_KEPT = 500_000
 # Words of at most so many bytes are segmented side by side, so many at a time.
 LONGEST_TOGETHER = 64
 WORDS_TOGETHER = 20_000

@@ -7,18 +7,20 @@ A folder holds two Parquet tables, so any store that Spark reads can hold them.
 * ``blocks``: one row per block. ``shard`` and ``block`` give the order; ``start`` is the
   number of ids before the block in its shard. ``docs`` lists the pieces of documents in the
   block: doc_id, the document's number in the shard, which piece it is, whether it is the
-  whole document, and its number of ids. ``bits`` is the code of all ids of the block, one
-  after the other, most significant bit first. ``checkpoints`` has, for each run of
-  CHECKPOINT ids, the number of bits it takes (uint16 little-endian).
+  whole document, its number of ids and the number of 32-bit words of its code. ``bits`` has
+  the codes, most significant bit first; every piece begins on a word, and an empty word ends
+  the block. ``checkpoints`` has, for each run of CHECKPOINT ids of a piece, the number of bits
+  it takes (uint16 little-endian).
 
 Documents stand in ascending doc_id order, shard after shard. A block is read without any
 other one, and inside it every checkpoint can be decoded on its own: the reader decodes all
-runs of a block side by side, one table look-up per id.
+runs of several blocks side by side, one table look-up per id.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,14 +38,15 @@ END_ID = 2
 CODE_LIMIT = 18
 BLOCK_IDS = 1 << 16
 CHECKPOINT = 64
-# Words whose ids a task keeps.
+# Words, and runs of letters, whose ids a task keeps.
 WORDS_KEPT = 300_000
+LETTERS_KEPT = 1_000_000
 # Blocks that are decoded side by side.
 BLOCKS_TOGETHER = 8
 
 BLOCK_SCHEMA = (
     "shard int, block int, start long, n_ids long, docs array<struct<doc_id:bigint,"
-    "number:bigint,piece:int,whole:boolean,n:bigint>>, bits binary, checkpoints binary"
+    "number:bigint,piece:int,whole:boolean,n:bigint,words:bigint>>, bits binary, checkpoints binary"
 )
 
 
@@ -55,6 +58,25 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+_TAIL = ".,;:!?|*$%&#"
+
+
+class _Dependent(Exception):
+    """The ids of a word depend on what is around it."""
+
+
+class _Met(dict):
+    """Values by key, made when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, with the ids of met words kept.
 
@@ -72,56 +94,58 @@ class WordEncoder:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids above 65535 do not fit")
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.space = self.letters[0x20]
+        self.known = _Met(self._piece)  # words; those behind a line end begin with it
+        self.stems: dict[str, bytes] = {}  # letters, with or without a space in front
+        self.tails: dict[str, bytes] = {"": b""}
+        self.line_end = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
-        return np.array(
-            self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16
-        ).tobytes()
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _stem(self, stem: str) -> bytes:
-        """A run of letters, with or without a space in front."""
-        ids = self.stems.get(stem)
-        if ids is None:
+        if stem.isascii():
+            part = self.space + stem[1:] if stem[0] == " " else stem
+        else:
             part = utf8(stem).decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(part)], np.uint16).tobytes()
-            self.stems[stem] = ids
+        ids = array("H", [t.id for t in self.tokenizer.model.tokenize(part)]).tobytes()
+        self.stems[stem] = ids
         return ids
 
-    def _piece(self, piece: str) -> bytes | None:
-        """Ids of a separator and what follows it; None if they depend on what is around."""
-        mark, word = piece[:1], piece[1:]
-        if not word or word[0].isspace() or word[-1].isspace():
-            return None
-        stem = word.rstrip(".,;:!?|*$%&#")
-        if not stem.isalpha():
-            return self._whole(piece)
-        ids = self._stem(" " + stem) if mark == " " else self._whole(mark) + self._stem(stem)
-        return ids + self._whole(word[len(stem) :]) if len(stem) < len(word) else ids
-
-    def _cut(self, text: str) -> list[str]:
-        return [" " + p if p[:1] != "\n" else p for p in text.replace("\n", " \n").split(" ")]
-
-    def encode(self, text: str | None) -> np.ndarray:
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a word and the space or line end before it."""
+        stem = piece.rstrip(_TAIL)
+        letters = stem.removeprefix("\n")
+        if not letters.isalpha():
+            word = piece.removeprefix("\n")
+            if not word or word[0].isspace() or word[-1].isspace():
+                raise _Dependent
+            return self._whole(piece if piece[0] == "\n" else " " + piece)
+        tail = piece[len(stem) :]
+        if tail not in self.tails:
+            if len(self.tails) > WORDS_KEPT:
+                self.tails = {"": b""}
+            self.tails[tail] = self._whole(tail)
+        if letters is stem:
+            stem = " " + stem
+            return (self.stems.get(stem) or self._stem(stem)) + self.tails[tail]
+        return self.line_end + (self.stems.get(letters) or self._stem(letters)) + self.tails[tail]
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids as uint16, in the machine's byte order."""
         if not text:
-            return np.empty(0, np.uint16)
-        first, *rest = self._cut(text)
-        first = text[: len(first) - 1] if first[0] == " " else ""
+            return b""
+        first, *rest = text.replace("\n", " \n").split(" ")
         if not first or first[-1].isspace():
-            return np.frombuffer(self._whole(text), np.uint16)
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        if len(self.stems) > WORDS_KEPT:
+            return self._whole(text)
+        if len(self.known) > WORDS_KEPT:
+            self.known.clear()
+        if len(self.stems) > LETTERS_KEPT:
             self.stems.clear()
-        for piece in set(rest).difference(known):
-            ids = self._piece(piece)
-            if ids is None:
-                return np.frombuffer(self._whole(text), np.uint16)
-            known[piece] = ids
-        ids = self._whole(first) + b"".join(map(known.__getitem__, rest))
-        return np.frombuffer(ids, np.uint16)
+        try:
+            return self._whole(first) + b"".join(map(self.known.__getitem__, rest))
+        except _Dependent:
+            return self._whole(text)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -179,67 +203,69 @@ class Code:
         self.table_ids = np.concatenate((np.repeat(order, width), np.zeros(rest, np.int64))).astype(np.uint16)
         self.table_lengths = self.lengths[self.table_ids].astype(np.uint8)
 
-    def pack(self, ids: np.ndarray) -> tuple[bytes, bytes]:
-        """(bits, checkpoints) of one block; bits fill whole 32-bit words, and one more."""
+    def pack(self, pieces: list[np.ndarray]) -> tuple[list[bytes], list[bytes]]:
+        """(bits, checkpoints) of every piece; bits fill whole 32-bit words."""
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        ids = np.concatenate([*pieces, np.empty(0, np.uint16)])
         lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ids) else 0
-        words = np.zeros((total + 31) // 32 + 2, np.uint64)
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        to = np.cumsum(sizes)
+        bits = ends[to] - ends[to - sizes]
+        words_of = (bits + 31) // 32
+        first_word = np.cumsum(words_of) - words_of
+        # Every piece is moved from where it would follow to where its first word is.
+        starts = ends[:-1] + np.repeat(first_word * 32 - ends[to - sizes], sizes)
+        words = np.zeros(int(words_of.sum()) + 1, np.uint64)
         if len(ids):
-            starts = ends - lengths
             place = starts >> 5
             shift = (64 - (starts & 31) - lengths).astype(np.uint64)
             first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
             sums = np.add.reduceat(self.codes[ids] << shift, first)
             words[place[first]] += sums >> np.uint64(32)
             words[place[first] + 1] += sums & np.uint64(0xFFFFFFFF)
-        steps = np.append(ends[CHECKPOINT - 1 :: CHECKPOINT], [total] if len(ids) % CHECKPOINT else [])
-        return words.astype(">u4").tobytes(), np.diff(steps, prepend=0).astype("<u2").tobytes()
-
-    def unpack(self, blocks: list[tuple[int, bytes, bytes]]) -> list[np.ndarray]:
-        """Ids of blocks (number of ids, bits, checkpoints), all their runs side by side."""
-        words = np.frombuffer(b"".join(b for _, b, _ in blocks), ">u4").astype(np.uint64)
-        place, count, begin = [], [], 0
-        for n, bits, checkpoints in blocks:
-            steps = np.frombuffer(checkpoints, "<u2").astype(np.int64)
-            place.append(begin + np.cumsum(steps) - steps)
-            runs = np.full(len(steps), CHECKPOINT)
-            if n % CHECKPOINT:
-                runs[-1] = n % CHECKPOINT
-            count.append(runs)
-            begin += len(bits) * 8
-        at, runs = np.concatenate(place), np.concatenate(count)
+        flat = words.astype(">u4")
+        packed, checkpoints = [], []
+        for size, end, w, f in zip(
+            sizes.tolist(), to.tolist(), words_of.tolist(), first_word.tolist(), strict=True
+        ):
+            packed.append(flat[f : f + w].tobytes())
+            at = np.append(np.arange(end - size, end, CHECKPOINT), end)
+            checkpoints.append(np.diff(ends[at]).astype("<u2").tobytes())
+        return packed, checkpoints
+
+    def unpack(self, blocks: list[tuple[list[int], list[int], bytes, bytes]]) -> np.ndarray:
+        """Ids of blocks (ids of each piece, words of each piece, bits, checkpoints) in a row.
+        All runs of all blocks are decoded side by side."""
+        words = np.frombuffer(b"".join(b[2] for b in blocks), ">u4").astype(np.uint64)
+        steps = np.frombuffer(b"".join(b[3] for b in blocks), "<u2").astype(np.int64)
+        sizes, begins, begin = [], [], 0
+        for n, w, bits, _ in blocks:
+            sizes.append(np.array(n, np.int64))
+            begins.append(begin + np.cumsum(w) - np.array(w, np.int64))
+            begin += len(bits) // 4
+        sizes = np.concatenate([*sizes, np.empty(0, np.int64)])
+        begins = np.concatenate([*begins, np.empty(0, np.int64)])
+        runs_of = (sizes + CHECKPOINT - 1) // CHECKPOINT
+        last = np.cumsum(runs_of)
+        runs = np.full(len(steps), CHECKPOINT)
+        runs[last[sizes > 0] - 1] = (sizes[sizes > 0] - 1) % CHECKPOINT + 1
+        before = np.cumsum(steps) - steps
+        at = before + np.repeat(begins * 32 - before[(last - runs_of).clip(max=max(len(steps) - 1, 0))], runs_of)
         ids = np.zeros((len(at), CHECKPOINT), np.uint16)
         down, mask = np.uint64(64 - self.limit), np.uint64((1 << self.limit) - 1)
-        short = bool((runs < CHECKPOINT).any())
         for i in range(CHECKPOINT):
             word = at >> 5
             both = (words[word] << np.uint64(32)) | words[word + 1]
             window = (both >> (down - (at & 31).astype(np.uint64))) & mask
             ids[:, i] = self.table_ids[window]
-            step = self.table_lengths[window]
-            at = at + (np.where(runs > i + 1, step, 0) if short else step)
-        found, row = [], 0
-        for n, _, checkpoints in blocks:
-            rows = len(checkpoints) // 2
-            found.append(ids[row : row + rows].reshape(-1)[:n])
-            row += rows
-        return found
-
-
-def _write_block(shard: int, block: int, start: int, docs: list, ids: np.ndarray, code: Code):
-    bits, checkpoints = code.pack(ids)
-    row = {
-        "shard": shard, "block": block, "start": start, "n_ids": len(ids),
-        "docs": docs, "bits": bits, "checkpoints": checkpoints,
-    }
-    return pa.RecordBatch.from_pylist([row], schema=_block_type())
+            at = at + np.where(runs > i + 1, self.table_lengths[window], 0)
+        return ids[np.arange(CHECKPOINT) < runs[:, None]]
 
 
 def _block_type() -> pa.Schema:
     doc = [
         ("doc_id", pa.int64()), ("number", pa.int64()), ("piece", pa.int32()),
-        ("whole", pa.bool_()), ("n", pa.int64()),
+        ("whole", pa.bool_()), ("n", pa.int64()), ("words", pa.int64()),
     ]
     return pa.schema(
         [
@@ -250,28 +276,99 @@ def _block_type() -> pa.Schema:
     )
 
 
+def _encoded(file: str):
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, end = _encoder(file), array("H", [END_ID]).tobytes()
+        for batch in batches:
+            ids = [encoder.encode(t) + end for t in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+
+    return encoded
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << 16, np.int64)
+    for batch in batches:
+        ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint16)
+        counts += np.bincount(ids, minlength=1 << 16)
+    used = np.flatnonzero(counts)
+    yield pa.record_batch([pa.array(used), pa.array(counts[used])], names=["id", "n"])
+
+
+PIECE_SCHEMA = (
+    "doc_id long, uid long, piece int, whole boolean, n long, bits binary, checkpoints binary"
+)
+
+
+def _packed(lengths):
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = Code(lengths.value)
+        for batch in batches:
+            rows, pieces = [], []
+            for doc_id, uid, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids = np.frombuffer(data, np.uint16)
+                for piece, i in enumerate(range(0, len(ids), BLOCK_IDS)):
+                    pieces.append(ids[i : i + BLOCK_IDS])
+                    rows.append((doc_id, uid, piece, len(ids) <= BLOCK_IDS, len(pieces[-1])))
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64())
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            arrays += [pa.array(c, pa.binary()) for c in code.pack(pieces)]
+            names = ["doc_id", "uid", "piece", "whole", "n", "bits", "checkpoints"]
+            yield pa.record_batch(arrays, names=names)
+
+    return packed
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted pieces, gathered into blocks of at most BLOCK_IDS ids."""
+    shard = TaskContext.get().partitionId()
+    block, start, number, held = 0, 0, -1, 0
+    docs, bits, checkpoints = [], [], []
+
+    def row():
+        return pa.RecordBatch.from_pylist(
+            [
+                {
+                    "shard": shard, "block": block, "start": start, "n_ids": held, "docs": docs,
+                    "bits": b"".join([*bits, bytes(4)]), "checkpoints": b"".join(checkpoints),
+                }
+            ],
+            schema=_block_type(),
+        )
+
+    for batch in batches:
+        for piece in batch.to_pylist():
+            if held and held + piece["n"] > BLOCK_IDS:
+                yield row()
+                block, start, held, docs, bits, checkpoints = block + 1, start + held, 0, [], [], []
+            number += piece["piece"] == 0
+            docs.append(
+                {k: piece[k] for k in ("doc_id", "piece", "whole", "n")}
+                | {"number": number, "words": len(piece["bits"]) // 4}
+            )
+            bits.append(piece["bits"])
+            checkpoints.append(piece["checkpoints"])
+            held += piece["n"]
+    if held:
+        yield row()
+
+
 def write(docs: DataFrame, folder: str, tokenizer_file: str) -> None:
     """Encode all documents and write them, in ascending doc_id order, to a new folder.
 
-    The texts are encoded twice, once for the counts and once to be written: no copy of the
-    ids is kept in between. The driver holds one count per id of the vocabulary. Null texts
-    are empty ones; rows of one doc_id stand together, null ids first.
+    The ids are kept as a table while they are counted; then every document is packed where it
+    is, and only packed documents are shuffled into order. The driver holds one count per id of
+    the vocabulary. Null texts are empty ones; rows of one doc_id stand together, null first.
     """
     spark = docs.sparkSession
     prepare(spark)
-    end = np.array([END_ID], np.uint16)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, counts = _encoder(tokenizer_file), np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts += np.bincount(encoder.encode(text), minlength=1 << 16)
-            counts[END_ID] += batch.num_rows
-        used = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array(used), pa.array(counts[used])], names=["id", "n"])
-
+    docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        _encoded(tokenizer_file), "doc_id long, ids binary"
+    ).write.option("compression", "zstd").parquet(f"{folder}/ids")
+    ids = spark.read.schema("doc_id long, ids binary").parquet(f"{folder}/ids")
     totals = (
-        docs.select("text").mapInArrow(counted, "id long, n long")
+        ids.select("ids").mapInArrow(_counted, "id long, n long")
         .groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     )
     counts = np.zeros(1 << 16, np.int64)
@@ -279,38 +376,12 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str) -> None:
     lengths = code_lengths(counts)
     code_row = [(bytearray(lengths.tobytes()), CODE_LIMIT)]
     spark.createDataFrame(code_row, "lengths binary, `limit` int").write.parquet(f"{folder}/code")
-    shared = spark.sparkContext.broadcast(lengths)
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, code = _encoder(tokenizer_file), Code(shared.value)
-        shard = TaskContext.get().partitionId()
-        block = start = held = number = 0
-        docs_held: list[dict] = []
-        ids_held: list[np.ndarray] = []
-        for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.concatenate((encoder.encode(text), end))
-                whole = len(ids) <= BLOCK_IDS
-                for piece, i in enumerate(range(0, len(ids), BLOCK_IDS)):
-                    part = ids[i : i + BLOCK_IDS]
-                    if held and held + len(part) > BLOCK_IDS:
-                        yield _write_block(shard, block, start, docs_held, np.concatenate(ids_held), code)
-                        block, start, held, docs_held, ids_held = block + 1, start + held, 0, [], []
-                    docs_held.append(
-                        {"doc_id": doc_id, "number": number, "piece": piece, "whole": whole, "n": len(part)}
-                    )
-                    ids_held.append(part)
-                    held += len(part)
-                number += 1
-        if held:
-            yield _write_block(shard, block, start, docs_held, np.concatenate(ids_held), code)
-
-    key = F.xxhash64("text")
     (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(partitions(spark), "doc_id", key)
-        .sortWithinPartitions("doc_id", key)
-        .mapInArrow(packed, BLOCK_SCHEMA)
+        ids.select("doc_id", F.monotonically_increasing_id().alias("uid"), "ids")
+        .mapInArrow(_packed(spark.sparkContext.broadcast(lengths)), PIECE_SCHEMA)
+        .repartitionByRange(partitions(spark), "doc_id", "uid", "piece")
+        .sortWithinPartitions("doc_id", "uid", "piece")
+        .mapInArrow(_blocks, BLOCK_SCHEMA)
         .write.parquet(f"{folder}/blocks")
     )
 
@@ -354,8 +425,16 @@ def _pieces(blocks: list[dict], code: Code, with_ids: bool) -> pa.RecordBatch:
     rows: dict[str, list] = {
         k: [] for k in ("doc_id", "shard", "number", "piece", "whole", "start", "n", "ids_crc32")
     }
-    flat = code.unpack([(b["n_ids"], b["bits"], b["checkpoints"]) for b in blocks])
-    for block, ids in zip(blocks, flat, strict=True):
+    flat = code.unpack(
+        [
+            ([d["n"] for d in b["docs"]], [d["words"] for d in b["docs"]], b["bits"], b["checkpoints"])
+            for b in blocks
+        ]
+    )
+    to = 0
+    for block in blocks:
+        ids = flat[to : to + block["n_ids"]]
+        to += len(ids)
         data = memoryview(ids.astype("<u4").tobytes())
         at = 0
         for doc in block["docs"]:
@@ -372,7 +451,7 @@ def _pieces(blocks: list[dict], code: Code, with_ids: bool) -> pa.RecordBatch:
     if not with_ids:
         return pa.record_batch(arrays, names=list(rows))
     ends = np.cumsum([0, *rows["n"]])
-    values = pa.array(np.concatenate([*flat, np.empty(0, np.uint16)]).astype(np.int32))
+    values = pa.array(flat.astype(np.int32))
     arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
     return pa.record_batch(arrays, names=[*rows, "ids"])
 
