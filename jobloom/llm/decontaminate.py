@@ -20,11 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import LOWER, prepare, table
+from jobloom.llm.common import LOWER, LOWER_BYTES, prepare, table, utf8
 from jobloom.session import stage
 
 K = 5
@@ -36,9 +35,6 @@ FILTER_BITS = 22
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
-_WORD_HASHES: dict[str, int] = {}
-_WORD_HASHES_MOST = 300_000
-
 SEEDS = (
     "array<struct<print:bigint,place:int,size:int,gram:string,"
     "before:array<string>,after:array<string>>>"
@@ -49,13 +45,48 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").translate(LOWER))
 
 
-def _word_hashes(words: list[str]) -> np.ndarray:
-    if len(_WORD_HASHES) > _WORD_HASHES_MOST:
-        _WORD_HASHES.clear()
-    known = _WORD_HASHES
-    for word in set(words).difference(known):
-        known[word] = xxhash.xxh64_intdigest(word)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+_IS_WORD = np.array([WORD.fullmatch(chr(b)) is not None or b >= 0x80 for b in range(256)])
+_BASE = 0x9E3779B97F4A7C15 | 1
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """The first powers of the hash base and of its inverse, modulo 2**64."""
+    if len(_POWERS[0]) < size:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            factors = np.full(1 << (size - 1).bit_length(), base, np.uint64)
+            factors[0] = 1
+            _POWERS[i] = np.multiply.accumulate(factors)
+    return _POWERS
+
+
+class Words:
+    """The words of a text as places in its lower-cased UTF-8 bytes, with their hashes.
+
+    The hash of a word is a polynomial in its bytes, so one running sum over the text serves
+    all words.
+    """
+
+    def __init__(self, text: str | None):
+        self.data = utf8(text or "").translate(LOWER_BYTES)
+        points = np.frombuffer(self.data, np.uint8)
+        inside = np.concatenate(([False], _IS_WORD[points], [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.starts, self.ends = edges[::2], edges[1::2]
+        power, inverse = _powers(len(points) + 1)
+        total = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum((points + np.uint64(1)) * power[: len(points)], out=total[1:])
+        value = (total[self.ends] - total[self.starts]) * inverse[self.starts]
+        self.hashes = (value ^ (value >> np.uint64(31))) * _MIX
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __getitem__(self, part: slice) -> list[str]:
+        return [
+            self.data[a:b].decode("utf-8", "surrogatepass")
+            for a, b in zip(self.starts[part].tolist(), self.ends[part].tolist(), strict=True)
+        ]
 
 
 def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -86,7 +117,7 @@ def _filter_places(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return prints >> bits, (prints << np.uint64(FILTER_BITS)) >> bits
 
 
-def _rows(words: list[str], size: int, grams: np.ndarray, places: np.ndarray, sides: bool):
+def _rows(words: Words, size: int, grams: np.ndarray, places: np.ndarray, sides: bool):
     for p in places.tolist():
         yield {
             "print": int(grams[p].view(np.int64)),
@@ -100,10 +131,10 @@ def _rows(words: list[str], size: int, grams: np.ndarray, places: np.ndarray, si
 
 
 def _item_seeds(text: str | None) -> list[dict]:
-    words = words_of(text)
-    if not words:
+    words = Words(text)
+    if not len(words):
         return []
-    hashes = _word_hashes(words)
+    hashes = words.hashes
     if len(words) < SPAN:
         # Sizes of whole short items are told apart from k-grams by their sign.
         grams = _grams(hashes, len(words))
@@ -113,10 +144,8 @@ def _item_seeds(text: str | None) -> list[dict]:
     return list(_rows(words, K, grams, winnowed(grams), True))
 
 
-def _doc_seeds(words: list[str], short_sizes: list[int], bits: np.ndarray) -> list[dict]:
-    if not words:
-        return []
-    hashes = _word_hashes(words)
+def _doc_seeds(words: Words, short_sizes: list[int], bits: np.ndarray) -> list[dict]:
+    hashes = words.hashes
 
     def hit(prints: np.ndarray) -> np.ndarray:
         a, b = _filter_places(prints)
@@ -197,7 +226,7 @@ def matches(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
         for batch in batches:
             counts, seeds = [], []
             for text in batch.column(2).to_pylist():
-                words = words_of(text)
+                words = Words(text)
                 counts.append(len(words))
                 seeds.append(_doc_seeds(words, short, bits.value))
             yield pa.record_batch(
