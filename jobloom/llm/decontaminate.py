@@ -324,10 +324,9 @@ def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
     hit = spans.select(
         F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")
     ).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (
-        F.xxhash64(docs["text"]) == F.col("hit_hash")
-    )
-    return docs.join(stage(hit, "hit"), same, "left_anti")
+    hit = stage(hit, "hit")
+    same = docs["doc_id"].eqNullSafe(hit["hit_id"]) & (F.xxhash64(docs["text"]) == hit["hit_hash"])
+    return docs.join(hit, same, "left_anti")
 
 
 def op8_decontaminate(spark, sf_dir: str) -> DataFrame:

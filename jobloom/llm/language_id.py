@@ -87,6 +87,9 @@ class LanguageModel:
     @classmethod
     def of_counts(cls, languages: list[str], counts: np.ndarray) -> LanguageModel:
         code = codewords(len(languages))
+        if len(languages) < 2:
+            none = np.zeros(0)
+            return cls(languages, code, np.zeros((BUCKETS, 0)), none, none, none)
         share = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
         weights = np.empty((BUCKETS, code.shape[1]))
         for bit in range(code.shape[1]):

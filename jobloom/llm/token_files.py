@@ -6,7 +6,7 @@ A folder holds two Parquet tables, so any store that Spark reads can hold them.
   the longest. Codes are canonical: by length, then by id.
 * ``blocks``: one row per block. ``shard`` and ``block`` give the order; ``start`` is the
   number of ids before the block in its shard. ``docs`` lists the pieces of documents in the
-  block: doc_id, the document's number in the shard, which piece it is, whether it is the
+  block: doc_id, a number that only this document has, which piece it is, whether it is the
   whole document, its number of ids and the number of 32-bit words of its code. ``bits`` has
   the codes, most significant bit first; every piece begins on a word, and an empty word ends
   the block. ``checkpoints`` has, for each run of CHECKPOINT ids of a piece, the number of bits
@@ -323,7 +323,7 @@ def _packed(lengths):
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted pieces, gathered into blocks of at most BLOCK_IDS ids."""
     shard = TaskContext.get().partitionId()
-    block, start, number, held = 0, 0, -1, 0
+    block, start, held = 0, 0, 0
     docs, bits, checkpoints = [], [], []
 
     def row():
@@ -342,10 +342,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held and held + piece["n"] > BLOCK_IDS:
                 yield row()
                 block, start, held, docs, bits, checkpoints = block + 1, start + held, 0, [], [], []
-            number += piece["piece"] == 0
             docs.append(
                 {k: piece[k] for k in ("doc_id", "piece", "whole", "n")}
-                | {"number": number, "words": len(piece["bits"]) // 4}
+                | {"number": piece["uid"], "words": len(piece["bits"]) // 4}
             )
             bits.append(piece["bits"])
             checkpoints.append(piece["checkpoints"])
@@ -389,8 +388,8 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str) -> None:
 def read(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """The files, decoded: one row per piece of a document, long documents have several.
 
-    doc_id, shard, number (of the document in its shard), piece, whole, start (ids of all
-    documents before, in the whole folder), n, ids_crc32 and, if asked for, ids of the piece.
+    doc_id, shard, number (of the document; a long one may lie in two shards), piece, whole,
+    start (ids before the piece in the whole folder), n, ids_crc32 and, if asked for, ids of the piece.
     """
     prepare(spark)
     lengths = np.frombuffer(spark.read.parquet(f"{folder}/code").first().lengths, np.uint8)
@@ -475,7 +474,7 @@ def digests(spark: SparkSession, folder: str) -> DataFrame:
     whole = pieces.where("whole").select("doc_id", "start", F.col("n").alias("n_tokens"), "ids_crc32")
     long = (
         pieces.where("not whole")
-        .groupBy("shard", "number")
+        .groupBy("number")
         .agg(
             F.first("doc_id").alias("doc_id"),
             F.min("start").alias("start"),
