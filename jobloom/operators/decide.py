@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -14,16 +15,10 @@ from jobloom import fixed_values as fv
 from jobloom.functions.extract import NO_AMOUNT, least_annual_amount, most_years, whole
 from jobloom.functions.text import (
     apart_pattern,
-    contains_keyword,
     normalized,
     normalized_literal,
 )
 
-# Lists up to this size are unrolled into plain expressions, which keeps them in
-# generated code. Longer ones become one array and a lambda, so that the size of the
-# plan does not follow the size of the sheet.
-UNROLL_LIMIT = 100
-
 
 @dataclass(frozen=True)
 class InclusionRules:
@@ -56,44 +51,37 @@ def no_reasons() -> Column:
     return F.array().cast("array<string>")
 
 
+def _literal_table(rows: list[dict], fields: str) -> Column:
+    """Rows as one array of structs. It is a single literal in the plan, however long."""
+    shape = ", ".join(f"{name}: string" for name in fields.split())
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{shape}>>")
+
+
 def keyword_hits(
     posting: Posting, field: str, keywords: Sequence[str], reason: str
 ) -> tuple[Column, Column]:
-    """Whether any keyword occurs in the field, and a reason for each that does."""
+    """Whether any keyword occurs in the field, and a reason for each that does.
+
+    Short tokens must stand apart from letters, longer ones match anywhere; blank keywords
+    match nothing. Lists of any length take the same path.
+    """
     text, lowered = posting[field], posting[f"{field}_lower"]
-    if not keywords:
-        return F.lit(False), no_reasons()
-    if len(keywords) > UNROLL_LIMIT:
-        return _hits_of_long_list(text, lowered, keywords, reason)
-    tests = [contains_keyword(text, lowered, k) for k in keywords]
-    named = [
-        F.when(test, reason.format(k)).otherwise("") for test, k in zip(tests, keywords)
-    ]
-    return reduce(or_, tests), F.array_remove(F.array(*named), "")
-
-
-def _hits_of_long_list(
-    text: Column, lowered: Column, keywords: Sequence[str], reason: str
-) -> tuple[Column, Column]:
-    items = []
+    rows = []
     for keyword in keywords:
         needle = keyword.strip()
         pattern = apart_pattern(needle) if len(needle) <= fv.SHORT_KEYWORD_LENGTH else None
         if needle:
-            items.append(_literals(reason=reason.format(keyword), needle=needle.lower(), pattern=pattern))
+            rows.append(
+                {"reason": reason.format(keyword), "needle": needle.lower(), "pattern": pattern}
+            )
 
     def hit(item: Column) -> Column:
-        inside = F.contains(lowered, item["needle"])
-        apart = F.regexp_like(text, item["pattern"])
-        return F.when(item["pattern"].isNull(), inside).otherwise(apart)
+        apart = F.contains(lowered, item["needle"]) & F.regexp_like(text, item["pattern"])
+        return F.when(item["pattern"].isNull(), F.contains(lowered, item["needle"])).otherwise(apart)
 
-    table = F.array(*items)
+    table = _literal_table(rows, "reason needle pattern")
     found = F.transform(F.filter(table, hit), lambda item: item["reason"])
-    return F.exists(table, hit), found
-
-
-def _literals(**values: str | None) -> Column:
-    return F.struct(*[F.lit(v).cast("string").alias(name) for name, v in values.items()])
+    return F.size(found) > 0, found
 
 
 def match_location(location: Column, allowed: Sequence[str]) -> Column:
@@ -102,36 +90,26 @@ def match_location(location: Column, allowed: Sequence[str]) -> Column:
     ``location`` is normalised text. Each entry is tried as a substring and then, for
     the states that have one, as a two-letter token.
     """
-    entries = []
+    rows = []
     for name in allowed:
         wanted = normalized_literal(name)
         token = fv.STATE_TOKENS.get(wanted)
-        pattern = apart_pattern(token, ignore_case=False) if token else None
         if wanted:
-            entries.append((name, wanted, pattern))
-    as_place, as_token = fv.REASON_LOCATION, fv.REASON_STATE_TOKEN
-    if len(entries) > UNROLL_LIMIT:
-        table = F.array(
-            *[
-                _literals(place=as_place.format(n), token=as_token.format(n), wanted=w, pattern=p)
-                for n, w, p in entries
-            ]
-        )
-        reasons = F.transform(
-            table,
-            lambda e: F.when(F.contains(location, e["wanted"]), e["place"]).when(
-                F.regexp_like(location, e["pattern"]), e["token"]
-            ),
-        )
-        return F.try_element_at(F.filter(reasons, lambda r: r.isNotNull()), F.lit(1))
-    reasons = []
-    for name, wanted, pattern in entries:
-        inside = F.contains(location, F.lit(wanted))
-        reasons.append(F.when(inside, as_place.format(name)))
-        if pattern:
-            apart = F.regexp_like(location, F.lit(pattern))
-            reasons.append(F.when(apart, as_token.format(name)))
-    return F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
+            rows.append(
+                {
+                    "place": fv.REASON_LOCATION.format(name),
+                    "token": fv.REASON_STATE_TOKEN.format(name),
+                    "wanted": wanted,
+                    "pattern": apart_pattern(token, ignore_case=False) if token else None,
+                }
+            )
+    reasons = F.transform(
+        _literal_table(rows, "place token wanted pattern"),
+        lambda e: F.when(F.contains(location, e["wanted"]), e["place"]).when(
+            F.regexp_like(location, e["pattern"]), e["token"]
+        ),
+    )
+    return F.try_element_at(F.filter(reasons, lambda r: r.isNotNull()), F.lit(1))
 
 
 def prepared(**columns: Callable[[Posting, object], Column]):

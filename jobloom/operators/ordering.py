@@ -1,53 +1,29 @@
 """Dense numbering and running values over input order, without one-task windows.
 
-Rows are cut into buckets by the high bits of a unique BIGINT order column, so a
-bucket holds at most 2**12 rows whatever the data look like, and a group of buckets at
-most 2**20 of them. Each window below runs over one bucket or one group of buckets,
-also when a single key holds most of the rows.
+Numbers come from range partitions (``ranks``). For running values, rows are cut into buckets
+by the high bits of a unique BIGINT order column, so a bucket holds at most 2**12 rows whatever
+the data look like, and a group of buckets at most 2**20 of them; each window runs over one
+bucket or one group of buckets, also when a single key holds most of the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom import fixed_values as fv
+from jobloom.operators.ranks import ranked
 
 BUCKET_BITS = 12
 GROUP_BITS = 20
 
 
 def _earlier(keys: Sequence[str], order: str):
-    window = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    return window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _earlier_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """For each bucket, the number of rows in all earlier buckets of the same keys."""
-    per_bucket = (
-        df.groupBy(*keys, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_group", F.shiftright("_bucket", GROUP_BITS))
-    )
-    in_group = F.coalesce(F.sum("_rows").over(_earlier([*keys, "_group"], "_bucket")), F.lit(0))
-    per_group = (
-        per_bucket.groupBy(*keys, "_group")
-        .agg(F.sum("_rows").alias("_group_rows"))
-        .withColumn(
-            "_before_group",
-            F.coalesce(F.sum("_group_rows").over(_earlier(keys, "_group")), F.lit(0)),
-        )
-        .drop("_group_rows")
-    )
-    # Left joins, here and below, though every row has a match: an inner join would add
-    # a filter to one reading of the counts, and Spark would not share their shuffle.
-    return (
-        per_bucket.withColumn("_before", in_group)
-        .join(per_group, [*keys, "_group"], "left")
-        .select(*keys, "_bucket", (F.col("_before") + F.col("_before_group")).alias("_offset"))
-    )
+    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def number_rows(
@@ -55,18 +31,20 @@ def number_rows(
 ) -> DataFrame:
     """Add the 1-based position in ``order``, over all rows or within each key.
 
-    ``df`` is read twice, once for its order and key columns only: stage it when it is
-    costly. Key columns must not be null.
+    Rows are sorted once by range partitions, whatever the order values and however many rows
+    a key has; null is a key like any other.
     """
     keys = list(within)
-    rows = df.withColumn("_bucket", F.shiftright(order, BUCKET_BITS))
-    place = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(order))
-    offsets = _earlier_rows(rows.select(*keys, "_bucket"), keys)
-    return (
-        rows.withColumn("_place", place)
-        .join(offsets, [*keys, "_bucket"], "left")
-        .withColumn(name, F.col("_offset") + F.col("_place"))
-        .select(*df.columns, name)
+    placed = ranked(df, *keys, order, rank="_rank")
+    if not keys:
+        return placed.select(*df.columns, (F.col("_rank") + 1).alias(name))
+    firsts = (
+        placed.groupBy(*keys).agg(F.min("_rank").alias("_first"))
+        .withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return placed.join(firsts, same, "left").select(
+        *df.columns, (F.col("_rank") - F.col("_first") + 1).alias(name)
     )
 
 

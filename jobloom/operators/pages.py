@@ -29,24 +29,28 @@ def block_reason(
     html: Column, status: Column | None = None, site_name: str = fv.SITE_NAME
 ) -> Column:
     """Why a page holds no results, or null for a usable page. First reason wins."""
-    lowered = F.lower(html)
-    reason = F
-    if status is not None:
-        for code in fv.BLOCK_STATUS_CODES:
-            text = fv.BLOCKED_STATUS.format(status=code, site=site_name)
-            reason = reason.when(status == code, text)
-    reason = reason.when(html.isNull() | (strip(html) == ""), fv.BLOCKED_EMPTY)
-    for marker in fv.BLOCK_MARKERS:
-        reason = reason.when(
-            F.contains(lowered, F.lit(marker)), fv.BLOCKED_MARKER.format(marker)
-        )
-    if status is not None:
-        marked = F.lit(False)
-        for marker in fv.JOB_MARKERS:
-            marked = marked | F.contains(html, F.lit(marker))
-        short = (status == 200) & (F.length(lowered) < fv.SHORT_PAGE_LENGTH)
-        reason = reason.when(short & ~marked, fv.BLOCKED_SHORT)
-    return reason.otherwise(F.lit(None).cast("string"))
+
+    def first_reason(lowered: Column) -> Column:
+        reason = F
+        if status is not None:
+            for code in fv.BLOCK_STATUS_CODES:
+                text = fv.BLOCKED_STATUS.format(status=code, site=site_name)
+                reason = reason.when(status == code, text)
+        reason = reason.when(lowered.isNull() | (strip(lowered) == ""), fv.BLOCKED_EMPTY)
+        for marker in fv.BLOCK_MARKERS:
+            reason = reason.when(
+                F.contains(lowered, F.lit(marker)), fv.BLOCKED_MARKER.format(marker)
+            )
+        if status is not None:
+            marked = F.lit(False)
+            for marker in fv.JOB_MARKERS:
+                marked = marked | F.contains(html, F.lit(marker))
+            short = (status == 200) & (F.length(lowered) < fv.SHORT_PAGE_LENGTH)
+            reason = reason.when(short & ~marked, fv.BLOCKED_SHORT)
+        return reason.otherwise(F.lit(None).cast("string"))
+
+    # As the element of an array, the lower-cased page is made once for all tests.
+    return F.get(F.transform(F.array(F.lower(html)), first_reason), F.lit(0))
 
 
 def block_counts(pages: DataFrame, status: str | None = None) -> DataFrame:

@@ -259,7 +259,7 @@ def loc_match(spark, sf):
 @_query
 def loc_match_long_list(spark, sf):
     # Past the unrolling limit: a hundred places that never match come before the states.
-    places = tuple(f"Parish {i}" for i in range(decide.UNROLL_LIMIT)) + INCLUSION.locations
+    places = tuple(f"Parish {i}" for i in range(1_000)) + INCLUSION.locations
     rules = decide.InclusionRules(locations=places)
     return _one_rule(spark, sf, decide.location_inclusion, inclusion=rules)
 
@@ -276,7 +276,7 @@ def excl_title(spark, sf):
 
 @_query
 def excl_title_long_list(spark, sf):
-    words = tuple(f"Surgeon {i}" for i in range(decide.UNROLL_LIMIT))
+    words = tuple(f"Surgeon {i}" for i in range(1_000))
     rules = decide.ExclusionRules(title_keywords=words + EXCLUSION.title_keywords)
     return _one_rule(spark, sf, decide.title_exclusion, exclusion=rules)
 

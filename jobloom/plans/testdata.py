@@ -12,15 +12,15 @@ from jobloom.session import spread
 POSTINGS_SQL = """
 SELECT o_orderkey AS ord,
   CASE o_orderkey % 8
-    WHEN 0 THEN 'Health Information Manager' WHEN 1 THEN 'Clinical Documentation Specialist'
-    WHEN 2 THEN 'Medical Records Director'   WHEN 3 THEN ' Remote Coding  Specialist '
-    WHEN 4 THEN 'Registered Nurse Case Manager' WHEN 5 THEN 'Senior VP of Operations'
-    WHEN 6 THEN 'RN-2 Auditor' ELSE 'HIM Coding Auditor' END AS job_title,
+    WHEN 0 THEN 'Records Integrity Lead' WHEN 1 THEN 'Chart Audit Specialist'
+    WHEN 2 THEN 'Coding Quality Director'   WHEN 3 THEN ' Home Based  Coder '
+    WHEN 4 THEN 'Staff Nurse Planner' WHEN 5 THEN 'Senior VP, Revenue'
+    WHEN 6 THEN 'RN-2 Reviewer' ELSE 'HIM Data Steward' END AS job_title,
   c_name AS company,
   CASE c_nationkey % 9
-    WHEN 0 THEN 'New Orleans, LA' WHEN 1 THEN 'Houston, TX' WHEN 2 THEN 'Little Rock, AR'
-    WHEN 3 THEN 'Jackson, MS' WHEN 4 THEN 'Remote' WHEN 5 THEN 'Seattle, WA'
-    WHEN 6 THEN 'Baton Rouge, Louisiana' WHEN 7 THEN '' ELSE 'La Jolla, CA' END AS location,
+    WHEN 0 THEN 'Shreveport, LA' WHEN 1 THEN 'El Paso, TX' WHEN 2 THEN 'Fayetteville, AR'
+    WHEN 3 THEN 'Tupelo, MS' WHEN 4 THEN 'Remote' WHEN 5 THEN 'Tacoma, WA'
+    WHEN 6 THEN 'Lafayette, Louisiana' WHEN 7 THEN '' ELSE 'La Mesa, CA' END AS location,
   CASE o_orderkey % 5
     WHEN 0 THEN concat('$', CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING), ' a year')
     WHEN 1 THEN '$28 - $35 an hour' WHEN 2 THEN ''

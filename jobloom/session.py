@@ -56,7 +56,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_run_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder for stage tables. All of an application's are removed when it ends."""
+    context = spark.sparkContext
+    own = f"{shared_folder(spark)}/jobloom-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(own)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -221,7 +221,10 @@ def _card(node, fields, site_url):
         return " ".join(fields[name][1]) if name in fields else ""
 
     link = attribute("link", "href")
-    link = urljoin(site_url, link) if link else ""
+    try:
+        link = urljoin(site_url, link) if link else ""
+    except ValueError:  # a link that is none costs its card the link, not the page its cards
+        link = ""
     in_link = re.search("[?&]jk=([a-zA-Z0-9]+)", link)
     job_key = (
         node.attrs.get("data-jk")

@@ -104,5 +104,8 @@ def page_postings(
         "page_id", "html", keyword.alias("search_keyword"), location.alias("search_location")
     )
     cards = first_of_page(read_cards(named))
-    order = F.shiftleft("page_id", CARD_BITS) + F.col("card_ord")
+    fits = (F.col("page_id") >= 0) & (F.col("page_id") < 1 << (63 - CARD_BITS))
+    order = F.when(fits, F.shiftleft("page_id", CARD_BITS) + F.col("card_ord")).otherwise(
+        F.raise_error(F.lit("page_id out of range for an order column")).cast("bigint")
+    )
     return cards_to_postings(cards, order=order, as_of=as_of)

@@ -7,6 +7,11 @@ run collects one sheet's rules, after a check of their number.
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +22,7 @@ from jobloom.functions.text import (
     java_pattern,
     section_of,
     split_list,
+    split_keyword_text,
     strip,
     word_count,
 )
@@ -24,28 +30,32 @@ from jobloom.operators.decide import ExclusionRules, InclusionRules
 from jobloom.operators.ordering import carry_down
 from jobloom.operators.validate import Dictionary
 
-MAX_SHEET_RULES = 10_000
+# Rules of one sheet that a run takes to the driver, unless it says otherwise.
+MAX_SHEET_RULES = 1_000_000
 _THRESHOLDS = ("experience_rules", "salary_rules")
 
 
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            rows = [r for r in csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline="")) if r]
+            yield pa.record_batch([pa.array(rows, pa.list_(pa.string()))], names=["cells"])
+
+
 def read_sheet(spark: SparkSession, path: str, sheet_id: str | None = None) -> DataFrame:
-    """A sheet without header, every cell as trimmed text, missing cells blank."""
-    raw = (
-        spark.read.option("header", False)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
+    """A sheet without header, every cell as trimmed text, missing cells blank.
+
+    The sheet is as wide as its widest line. Empty lines are left out.
+    """
+    files = spark.read.option("wholetext", True).text(path)
+    lines = files.mapInArrow(_lines, "cells array<string>").select(
+        F.monotonically_increasing_id().alias("ord"), "cells"
     )
+    width = lines.agg(F.max(F.size("cells"))).first()[0] or 0
     cells = [
-        F.coalesce(strip(F.col(name)), F.lit("")).alias(f"c{i}")
-        for i, name in enumerate(raw.columns)
+        F.coalesce(strip(F.get("cells", F.lit(i))), F.lit("")).alias(f"c{i}") for i in range(width)
     ]
-    return raw.select(
-        F.lit(sheet_id or path).alias("sheet_id"),
-        F.monotonically_increasing_id().alias("ord"),
-        *cells,
-    )
+    return lines.select(F.lit(sheet_id or path).alias("sheet_id"), "ord", *cells)
 
 
 def inclusion_rules(sheets: DataFrame) -> DataFrame:
@@ -239,9 +249,7 @@ def load_dictionary(sheet: DataFrame) -> Dictionary:
     if not fields:
         raise ValueError("the sheet has no 'Variable Name' header or no fields below it")
     allowed = {
-        row["variable_name"]: tuple(
-            part.strip() for part in row["allowed_values_kept"].split(";") if part.strip()
-        )
+        row["variable_name"]: tuple(split_keyword_text(row["allowed_values_kept"], ";"))
         for row in fields
     }
     return Dictionary(

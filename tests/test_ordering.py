@@ -2,7 +2,6 @@ import random
 
 from pyspark.sql import functions as F
 
-from jobloom.operators import ordering
 from jobloom.operators.ordering import carry_down, number_rows, record_id
 
 
@@ -47,8 +46,20 @@ def test_negative_orders_and_empty_input(spark):
     assert number_rows(df.limit(0)).count() == 0
 
 
-def test_windows_are_bounded():
-    assert 2 ** (ordering.BUCKET_BITS + ordering.GROUP_BITS) == 2**32
+def test_no_task_numbers_more_than_the_partitions(spark):
+    """Sparse orders, as of pages: every row in a range of its own, and one hot key."""
+    df = spark.range(4000).select((F.col("id") * (1 << 28)).alias("ord"), F.lit("hot").alias("k"))
+    numbered = number_rows(df)
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "partition" not in plan.lower() or "_part" in plan
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "_rows" in windows[0]
+    assert [r.seq for r in numbered.orderBy("ord").select("seq").collect()] == list(range(1, 4001))
+
+
+def test_null_keys_are_numbered(spark):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, None)], "ord bigint, k string")
+    assert {r.ord: r.seq for r in number_rows(df, within=["k"]).collect()} == {1: 1, 2: 1, 3: 2}
 
 
 def test_ids_are_padded_and_never_cut(spark):

@@ -32,22 +32,22 @@ def test_block_reasons_in_order(spark):
 def test_card_fields():
     first, second, inner, untitled = parse_cards(RESULTS_PAGE)
     assert first == {
-        "job_title": "Health Information Manager",
-        "company": "A & B Health",
-        "location": "New Orleans, LA",
-        "salary": "$70,000 - $85,000 a year",
+        "job_title": "Records Integrity Lead",
+        "company": "Reed & Sons Imaging",
+        "location": "Shreveport, LA",
+        "salary": "$66,000 - $81,000 a year",
         "description": "First point",
-        "url": "https://www.indeed.com/viewjob?jk=abc123",
+        "url": "https://www.indeed.com/viewjob?jk=k71f",
         "posting_date": "",
-        "job_key": "abc123",
+        "job_key": "k71f",
         "repeated": False,
     }
-    assert second["job_title"] == "Registered Nurse"
-    assert second["url"] == "https://other.example/x?a=1&jk=def456"
+    assert second["job_title"] == "Charge Nurse"
+    assert second["url"] == "https://other.example/x?a=1&jk=m82g"
     assert second["description"] == "RN license required."
-    assert (second["location"], second["salary"]) == ("Baton Rouge, LA", "")
+    assert (second["location"], second["salary"]) == ("Lafayette, LA", "")
     # The block inside the second card counts as a card too, and repeats its job.
-    assert (inner["job_key"], inner["repeated"], inner["company"]) == ("def456", True, "")
+    assert (inner["job_key"], inner["repeated"], inner["company"]) == ("m82g", True, "")
     assert (untitled["job_title"], untitled["url"]) == ("", "https://www.indeed.com/viewjob?jk=none")
 
 
@@ -89,7 +89,7 @@ def test_cards_table(spark):
     cards = pages.read_cards(df)
     assert cards.count() == 5  # four cards, and the page without any
     first = pages.first_of_page(cards)
-    assert [r.job_key for r in first.orderBy("card_ord").collect()] == ["abc123", "def456"]
+    assert [r.job_key for r in first.orderBy("card_ord").collect()] == ["k71f", "m82g"]
     table = pages.first_of_page_in_table(cards.drop("repeated"))
     assert sorted(table.select(first.columns).collect()) == sorted(first.collect())
     assert cards.where("parse_error is not null").count() == 0
@@ -143,7 +143,7 @@ def test_saved_pages(spark, tmp_path):
     found = page_postings(scan_saved_pages(spark, str(tmp_path)), as_of="2026-01-01")
     found = found.orderBy("ord").collect()
     assert [(r.job_title, r.search_location, r.search_keyword) for r in found] == [
-        ("Health Information Manager", "louisiana", "him"), ("Registered Nurse", "louisiana", "him"),
+        ("Records Integrity Lead", "louisiana", "him"), ("Charge Nurse", "louisiana", "him"),
     ]
 
 

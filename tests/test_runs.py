@@ -19,17 +19,17 @@ DICTIONARY = Dictionary(
 
 def demo_rows():
     places = [
-        ("Health Information Manager", "New Orleans, LA", "$70,000 - $85,000 a year", "2-4 years HIM."),
-        ("Clinical Documentation Specialist", "Houston, TX", "$65,000", "CCS or CDIP preferred."),
-        ("Medical Records Director", "Little Rock, AR", "$90,000", "5 years experience preferred."),
-        ("Health Informatics Analyst", "Jackson, MS", "$60,000", "SQL and FHIR."),
-        ("Remote Coding Specialist", "Remote", "$28 - $35 an hour", "CPT."),
-        ("Registered Nurse Case Manager", "Baton Rouge, LA", "$80,000", "RN case management."),
-        ("Senior VP of Operations", "Dallas, TX", "$180,000", "Over 10 years."),
-        ("HIM Coding Auditor", "Remote", "$55,000", "3+ years."),
+        ("Chart Audit Specialist", "Shreveport, LA", "$61,000 - $72,500 a year", "1-3 years audit."),
+        ("Coding Quality Director", "El Paso, TX", "$98,000", "CCS preferred."),
+        ("Cancer Registrar", "Fayetteville, AR", "$58,250", "4 years experience preferred."),
+        ("Data Governance Analyst", "Tupelo, MS", "$77,000", "SQL."),
+        ("Home Based Coder", "Remote", "$31 - $39 an hour", "CPT."),
+        ("Nurse Planner", "Lafayette, LA", "$83,000", "Ward planning."),
+        ("Senior VP, Revenue", "Plano, TX", "$210,000", "Over 12 years."),
+        ("HIM Data Steward", "Remote", "$52,000", "2+ years."),
     ]
     return [
-        posting(job_title=t, location=p, salary=s, description=d, url=f"https://x/v?jk=demo000{i}")
+        posting(job_title=t, location=p, salary=s, description=d, url=f"https://x/v?jk=run{i}")
         for i, (t, p, s, d) in enumerate(places, 1)
     ]
 
@@ -44,7 +44,7 @@ def test_whole_run(spark, make_postings, tmp_path):
     assert final.columns == list(RECORD_FIELDS)
     found = final.orderBy("record_id").collect()
     assert [r.record_id for r in found] == [f"IND000{i}" for i in range(1, 7)]
-    assert found[5].job_title == "HIM Coding Auditor" and found[0].beebe_domain == ""
+    assert found[5].job_title == "HIM Data Steward" and found[0].beebe_domain == ""
     stage = {r.ord: r.record_id for r in spark.read.parquet(f"{out}/records").collect()}
     assert list(sorted(stage.values()))[5:] == ["IND0008", "IND0009"]
     audit = read_csv(spark, f"{out}/filter_audit_trail")
@@ -88,7 +88,7 @@ def test_folder_of_pages_to_records(spark, tmp_path):
     assert [r.search_location for r in df.orderBy("ord").collect()] == ["louisiana"] * 2 + ["Texas"] * 2
     assert spark.read.parquet(archive).count() == 2
     coded = filter_and_code(df, PostingFilter(INCLUSION, EXCLUSION))
-    assert [r.job_title for r in coded.collect()] == ["Health Information Manager"] * 2
+    assert [r.job_title for r in coded.collect()] == ["Records Integrity Lead"] * 2
     plan = coded._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
@@ -109,9 +109,9 @@ def test_pages_as_they_arrive(spark, tmp_path):
         assert query.exception() is None
 
     arrive(1, RESULTS_PAGE)
-    arrive(2, RESULTS_PAGE + RESULTS_PAGE.replace("abc123", "new789"))
+    arrive(2, RESULTS_PAGE + RESULTS_PAGE.replace("k71f", "new789"))
     records = spark.read.parquet(f"{out}/records")
-    assert sorted(r.source_url[-6:] for r in records.collect()) == ["abc123", "new789"]
+    assert sorted(r.source_url[-6:] for r in records.collect()) == ["k=k71f", "new789"]
 
 
 @pytest.mark.parametrize("folder", ["jobloom", "tests"])
