@@ -114,17 +114,21 @@ def without_errors(records: DataFrame, dictionary: Dictionary) -> DataFrame:
     return records.where(~reduce(or_, errors)) if errors else records
 
 
-def not_allowed_values(records: DataFrame, allowed: DataFrame) -> DataFrame:
+def not_allowed_values(
+    records: DataFrame, allowed: DataFrame, fields: Sequence[str] | None = None
+) -> DataFrame:
     """Values outside the allowed ones, with the allowed values as a table.
 
     ``allowed`` has ``variable_name`` and ``value``. This is the form for dictionaries
     too long to unroll; it gives the rows of the opt-in check in
-    :func:`validation_issues`.
+    :func:`validation_issues`. Name the ``fields`` that the table has values for, and no other
+    column of the records is read.
     """
     long_fields = F.max(F.length("value")) <= fv.ALLOWED_VALUE_LENGTH
     short = allowed.groupBy("variable_name").agg(long_fields.alias("_short")).where("_short")
     checked = allowed.join(short, "variable_name", "left_semi")
-    names = [name for name in fv.RECORD_DEFAULTS if name in records.columns]
+    wanted = fv.RECORD_DEFAULTS if fields is None else fields
+    names = [name for name in wanted if name in records.columns]
     melted = records.unpivot(["ord", "record_id"], names, "field", "value").where(
         ~F.lower(strip(F.col("value"))).isin(*fv.SOFT_DEFAULTS)
     )

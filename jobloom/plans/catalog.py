@@ -546,10 +546,15 @@ def validate_allowed(spark, sf):
 
 @_query
 def validate_allowed_table(spark, sf):
-    # The allowed values as a table: the customers whose name ends in 0 or 5.
-    customers = td.table(spark, sf, "customer").where(F.col("c_custkey") % 5 == 0)
-    allowed = customers.select(F.lit("employer").alias("variable_name"), F.col("c_name").alias("value"))
-    return validate.not_allowed_values(_records(spark, sf), allowed)
+    # The allowed values as a table: every employer is one of the customers, no place a nation.
+    employers = td.table(spark, sf, "customer").select(
+        F.lit("employer").alias("variable_name"), F.col("c_name").alias("value")
+    )
+    places = td.table(spark, sf, "nation").select(
+        F.lit("location").alias("variable_name"), F.col("n_name").alias("value")
+    )
+    allowed = employers.union(places)
+    return validate.not_allowed_values(_records(spark, sf), allowed, ["employer", "location"])
 
 
 @_query

@@ -535,9 +535,12 @@ def oracle_sql() -> dict[str, str]:
         "validate_allowed": _steps(*_TO_RECORDS, _issues(DICTIONARY, enforce=True))
         + f"SELECT {_ISSUE_COLUMNS} FROM issues",
         "validate_allowed_table": _steps(*_TO_RECORDS)
-        + """SELECT ord, record_id, 'employer' AS field, employer AS value FROM records
-          WHERE lower(trim(employer)) NOT IN ('', 'not specified', 'not listed', 'not applicable')
-            AND employer NOT IN (SELECT c_name FROM customer WHERE c_custkey % 5 = 0)""",
+        + """SELECT ord, record_id, field, value FROM (
+            SELECT ord, record_id, 'employer' AS field, employer AS value FROM records
+            WHERE employer NOT IN (SELECT c_name FROM customer)
+            UNION ALL SELECT ord, record_id, 'location', location FROM records
+            WHERE location NOT IN (SELECT n_name FROM nation))
+          WHERE lower(trim(value)) NOT IN ('', 'not specified', 'not listed', 'not applicable')""",
         "validate_coverage": _steps(*_TO_RECORDS, _issues(WIDER_DICTIONARY))
         + f"SELECT {_ISSUE_COLUMNS} FROM issues WHERE field IN ('shift_pattern', 'revised_date')",
         "validate_split": _steps(*_TO_RECORDS)
