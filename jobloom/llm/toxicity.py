@@ -138,16 +138,17 @@ def _mined(sample: DataFrame) -> list[str]:
 
 @dataclass
 class Features:
-    """Columns of the classifier: mined features, then the three word lists."""
+    """Columns of the classifier: mined features, the word lists, and listed words repeated."""
 
     place: dict[str, int]
 
     @property
     def width(self) -> int:
-        return len(self.place) + len(LEXICONS)
+        return len(self.place) + len(LEXICONS) + 1
 
     def of(self, text: str | None) -> list[int]:
-        words = set(words_of(text))
+        all_words = words_of(text)
+        words = set(all_words)
         place = self.place
         found = {place[w] for w in words if w in place}
         for n in PREFIXES:
@@ -157,13 +158,15 @@ class Features:
             hits = words.intersection(listed)
             if hits and (strong or len(hits) > 1):
                 found.add(len(place) + i)
+        if strong and sum(w in _STRONG for w in all_words) > 1:
+            found.add(len(place) + len(LEXICONS))
         return sorted(found)
 
 
 def votes_of(rows: list[list[int]], features: Features) -> np.ndarray:
     """texts x voters: +1 toxic, -1 clean, 0 no vote."""
     mined = len(features.place)
-    votes = np.zeros((len(rows), MINED_VOTERS + len(LEXICONS) + 3), np.int8)
+    votes = np.zeros((len(rows), MINED_VOTERS + len(LEXICONS) + 4), np.int8)
     for vote, row in zip(votes, rows, strict=True):
         for f in row:
             vote[f % MINED_VOTERS if f < mined else MINED_VOTERS + f - mined] = 1
@@ -253,7 +256,7 @@ class ToxicityModel:
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Fit on the sampled labelled rows outside the held-out fold. Without rows of both
-    labels the word lists alone decide: one list is not enough, two are."""
+    labels the word lists alone decide: one listed word is not enough, two are."""
     sample = _sample(docs, labels)
     features = Features({f: i for i, f in enumerate(_mined(sample))})
     shared = docs.sparkSession.sparkContext.broadcast(features)
@@ -271,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     found = sample.mapInArrow(rows_of, "toxic long, signature long, row array<int>").toArrow()
     toxic = np.array(found.column("toxic").to_pylist(), np.int64)
     if len(set(toxic.tolist())) < 2:
-        plain = np.concatenate((np.zeros(len(features.place)), np.full(len(LEXICONS), 3.0)))
+        plain = np.concatenate((np.zeros(len(features.place)), np.full(len(LEXICONS) + 1, 3.0)))
         return ToxicityModel(features, plain, -4.0)
     rows = found.column("row").to_pylist()
     _, group, size = np.unique(
