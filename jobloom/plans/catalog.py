@@ -621,10 +621,13 @@ def sink_roundtrip_audit(spark, sf):
 
 @_query
 def raw_archive(spark, sf):
+    # Written twice under one name: the second writing replaces the first.
     folder = new_run_folder(spark, "raw-postings")
-    archive(td.postings(spark, sf), folder, F.col("collected_at").substr(1, 7))
-    return spark.read.parquet(folder).groupBy(F.col("ingest_date").cast("string")).agg(
-        F.count(F.lit(1)).alias("postings")
+    for _ in range(2):
+        archive(td.postings(spark, sf), folder, F.col("collected_at").substr(1, 7), run="r1")
+    return spark.read.parquet(folder).select(
+        "ord", "job_title", "company", "location", "salary", "description", "url", "run",
+        F.col("ingest_date").cast("string"),
     )
 
 

@@ -100,15 +100,17 @@ def postings_of_folder(
     keywords: tuple[str, ...] = fv.DEFAULT_SEARCH_KEYWORDS,
     locations: tuple[str, ...] = (),
     archive_folder: str | None = None,
+    archive_run: str | None = None,
     as_of: str | None = None,
 ) -> DataFrame:
-    """Postings of a folder of saved pages; the pages are archived if a place is named.
+    """Postings of a folder of saved pages; the pages are archived if a place is named, under
+    the name of the run if there is one.
 
     File names without provenance take the first keyword and the first location.
     """
     pages = scan_saved_pages(spark, folder)
     if archive_folder:
-        archive(pages, archive_folder)
+        archive(pages, archive_folder, run=archive_run)
     return page_postings(
         pages,
         default_keyword=keywords[0] if keywords else "",

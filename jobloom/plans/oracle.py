@@ -557,7 +557,8 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT url AS source_url, source_platform, job_title, company AS employer, location,
             CASE WHEN included THEN 'True' ELSE 'False' END AS included, stage, reasons FROM decided""",
         "raw_archive": _steps(POSTINGS)
-        + "SELECT left(collected_at, 7) AS ingest_date, count(*) AS postings FROM postings GROUP BY 1",
+        + """SELECT ord, job_title, company, location, salary, description, url, 'r1' AS run,
+          left(collected_at, 7) AS ingest_date FROM postings""",
         "rules_inclusion": _steps(
             _sheet_value(td.INCLUSION_SHEETS_SQL),
             f"""marked AS (SELECT *, {_SECTION} AS section, max({_ENDS}::INT) OVER w AS ended,

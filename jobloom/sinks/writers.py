@@ -30,12 +30,22 @@ def write_json(rows: DataFrame, folder: str, mode: str = "errorifexists") -> Non
     rows.write.mode(mode).option("ignoreNullFields", False).json(folder)
 
 
-def archive(rows: DataFrame, folder: str, ingest_date: Column | None = None) -> None:
-    """Append raw pages or postings under the date they came in."""
+def archive(
+    rows: DataFrame, folder: str, ingest_date: Column | None = None, run: str | None = None
+) -> None:
+    """Add raw pages or postings under the date they came in.
+
+    With a ``run`` name its rows lie in partitions of their own, so repeating the run replaces
+    them and nothing else. Without one every call adds rows. Use one way in one folder.
+    """
     date = F.date_format(F.current_date(), "yyyy-MM-dd") if ingest_date is None else ingest_date
-    rows.withColumn("ingest_date", date).write.mode("append").partitionBy(
-        "ingest_date"
-    ).parquet(folder)
+    dated = rows.withColumn("ingest_date", date)
+    if run is None:
+        dated.write.mode("append").partitionBy("ingest_date").parquet(folder)
+    else:
+        dated.withColumn("run", F.lit(run)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("ingest_date", "run").parquet(folder)
 
 
 def read_csv(spark, folder: str) -> DataFrame:
