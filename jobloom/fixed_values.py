@@ -147,6 +147,7 @@ DICTIONARY_HEADINGS = {
     "source columns": "source_columns",
     "notes for coding": "notes",
 }
+DICTIONARY_DESCRIPTIONS = ("label", "definition", "applies_to", "source_columns", "notes")
 
 # --- fixed values: rule evaluation -------------------------------------------
 

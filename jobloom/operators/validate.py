@@ -17,10 +17,12 @@ from jobloom.operators.ordering import number_rows, record_id
 
 @dataclass(frozen=True)
 class Dictionary:
-    """Field names in output order with their data types, and the allowed values."""
+    """Field names in output order with their data types, the allowed values, and what else
+    the sheet says of a field, by column."""
 
     data_types: Mapping[str, str]
     allowed_values: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    descriptions: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
     @property
     def fields(self) -> tuple[str, ...]:

@@ -140,9 +140,12 @@ def rule_rows(
 
 
 def dictionary_rows(spark: SparkSession, dictionary: Dictionary) -> DataFrame:
-    rows = [
-        (pos, name, kind, list(dictionary.allowed_values.get(name, ())))
-        for pos, (name, kind) in enumerate(dictionary.data_types.items())
-    ]
-    shape = "pos int, variable_name string, data_type string, allowed_values array<string>"
+    """The fields of a run's dictionary with all that its sheet says of them, for the record."""
+    rows = []
+    for pos, (name, kind) in enumerate(dictionary.data_types.items()):
+        said = dictionary.descriptions.get(name, {})
+        described = [said.get(key, "") for key in fv.DICTIONARY_DESCRIPTIONS]
+        rows.append((pos, name, kind, list(dictionary.allowed_values.get(name, ())), *described))
+    described = ", ".join(f"{key} string" for key in fv.DICTIONARY_DESCRIPTIONS)
+    shape = f"pos int, variable_name string, data_type string, allowed_values array<string>, {described}"
     return spark.createDataFrame(rows, shape).coalesce(1)

@@ -255,4 +255,5 @@ def load_dictionary(sheet: DataFrame) -> Dictionary:
     return Dictionary(
         {row["variable_name"]: row["data_type"] for row in fields},
         {name: values for name, values in allowed.items() if values},
+        {row["variable_name"]: {key: row[key] for key in fv.DICTIONARY_DESCRIPTIONS} for row in fields},
     )

@@ -57,6 +57,9 @@ def test_dictionary_sheet(sheet):
     assert dictionary.allowed_values == {
         "job_title": ("Coder", "Auditor"), "seen": ("2026-01", "2026"),
     }
+    assert {name: said["label"] for name, said in dictionary.descriptions.items()} == {
+        "job_title": "Job again", "seen": "Seen",
+    }
 
 
 def test_dictionary_without_header_is_an_error(sheet):
