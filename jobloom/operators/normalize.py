@@ -44,11 +44,14 @@ def normalize(
     dataset_source: str = fv.SITE_NAME,
     default_platform: str = fv.SITE_NAME,
     id_prefix: str = fv.RECORD_ID_PREFIX,
+    text_length: int | None = fv.TEXT_LENGTH,
+    long_text_length: int | None = fv.LONG_TEXT_LENGTH,
 ) -> DataFrame:
     """The record columns, after ``ord``; and ``decision`` when the rows carry one.
 
     ``position`` names the column the record id is made from. ``as_of`` is the date for
-    rows that carry none; it defaults to today.
+    rows that carry none; it defaults to today. ``text_length`` and ``long_text_length``
+    cut the text columns and the long description; None keeps them whole.
     """
     decided = "decision" in postings.columns
     # Steps that later columns share are projected first, so each is computed once.
@@ -74,6 +77,9 @@ def normalize(
     def or_else(value: Column, default: str) -> Column:
         return F.coalesce(blank_to_null(value), F.lit(default))
 
+    def cut(value: Column, length: int | None) -> Column:
+        return value if length is None else F.substring(value, 1, length)
+
     collected = blank_to_null(F.col("collected_at"))
     filled = {
         "record_id": record_id(F.col(position), id_prefix) if position else F.lit(""),
@@ -86,17 +92,17 @@ def normalize(
         "location": strip(F.col("location")),
         "work_setting": ex.work_setting(F.col("location"), body, lowered),
         "education_requirements": ex.education(body),
-        "required_qualifications": F.substring(required, 1, fv.TEXT_LENGTH),
-        "preferred_qualifications": F.substring(preferred, 1, fv.TEXT_LENGTH),
+        "required_qualifications": cut(required, text_length),
+        "preferred_qualifications": cut(preferred, text_length),
         "credential_required": or_else(ex.credentials(body), fv.NOT_SPECIFIED),
         "credential_preferred": or_else(
             ex.preferred_credentials(body, preferred), fv.NOT_SPECIFIED
         ),
         "experience_requirements": ex.experience_phrases(body),
-        "long_description": F.substring(body, 1, fv.LONG_TEXT_LENGTH),
-        "primary_responsibilities": F.substring(body, 1, fv.TEXT_LENGTH),
+        "long_description": cut(body, long_text_length),
+        "primary_responsibilities": cut(body, text_length),
         # A required block is blank only when the whole text is.
-        "qualifications": F.substring(required, 1, fv.TEXT_LENGTH),
+        "qualifications": cut(required, text_length),
         "technical_skills": ex.skills(lowered, fv.TECHNICAL_SKILLS),
         "soft_skills": ex.skills(lowered, fv.SOFT_SKILLS),
         "ai_or_emerging_technology_skills": ex.skills(lowered, fv.AI_SKILLS),

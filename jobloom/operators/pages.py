@@ -26,9 +26,15 @@ _PARSED_DDL = (
 
 
 def block_reason(
-    html: Column, status: Column | None = None, site_name: str = fv.SITE_NAME
+    html: Column,
+    status: Column | None = None,
+    site_name: str = fv.SITE_NAME,
+    short_page_length: int = fv.SHORT_PAGE_LENGTH,
 ) -> Column:
-    """Why a page holds no results, or null for a usable page. First reason wins."""
+    """Why a page holds no results, or null for a usable page. First reason wins.
+
+    A page of status 200 below ``short_page_length`` characters must show a job.
+    """
 
     def first_reason(lowered: Column) -> Column:
         reason = F
@@ -45,7 +51,7 @@ def block_reason(
             marked = F.lit(False)
             for marker in fv.JOB_MARKERS:
                 marked = marked | F.contains(html, F.lit(marker))
-            short = (status == 200) & (F.length(lowered) < fv.SHORT_PAGE_LENGTH)
+            short = (status == 200) & (F.length(lowered) < short_page_length)
             reason = reason.when(short & ~marked, fv.BLOCKED_SHORT)
         return reason.otherwise(F.lit(None).cast("string"))
 
@@ -162,8 +168,9 @@ def detail_texts(details: DataFrame) -> DataFrame:
         return pa.array([parse_detail(page or "") for page in html.to_pylist()], pa.string())
 
     usable = details.where((F.col("url") != "") & block_reason(F.col("html")).isNull())
-    first = keep_first(usable.select("url", "html", "ord"), F.col("url"))
-    return first.select("url", text("html").alias("_detail"))
+    # Texts, not pages, go through the shuffle that finds the first page of a url.
+    read = usable.select("url", text("html").alias("_detail"), "ord")
+    return keep_first(read, F.col("url")).select("url", "_detail")
 
 
 def cards_to_postings(

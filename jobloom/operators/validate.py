@@ -48,7 +48,9 @@ def _date_like(value: Column) -> Column:
     )
 
 
-def _checks(dictionary: Dictionary, enforce_allowed_values: bool) -> list[_Check]:
+def _checks(
+    dictionary: Dictionary, enforce_allowed_values: bool, value_length: int = fv.ALLOWED_VALUE_LENGTH
+) -> list[_Check]:
     checks = [
         _Check(strip(F.col(name)) == "", name, F.lit(fv.ISSUE_REQUIRED), "error")
         for name in fv.REQUIRED_FIELDS
@@ -64,7 +66,7 @@ def _checks(dictionary: Dictionary, enforce_allowed_values: bool) -> list[_Check
             text = F.concat(F.lit(fv.ISSUE_DATE), value)
             checks.append(_Check((value != "") & ~_date_like(value), name, text, "warning"))
         allowed = dictionary.allowed_values.get(name, ())
-        short = all(len(item) <= fv.ALLOWED_VALUE_LENGTH for item in allowed)
+        short = all(len(item) <= value_length for item in allowed)
         if enforce_allowed_values and allowed and short:
             soft = F.lower(strip(value)).isin(*fv.SOFT_DEFAULTS)
             text = F.concat(F.lit(fv.ISSUE_ALLOWED[0]), value, F.lit(fv.ISSUE_ALLOWED[1]))
@@ -73,13 +75,18 @@ def _checks(dictionary: Dictionary, enforce_allowed_values: bool) -> list[_Check
 
 
 def validation_issues(
-    records: DataFrame, dictionary: Dictionary, *, enforce_allowed_values: bool = False
+    records: DataFrame,
+    dictionary: Dictionary,
+    *,
+    enforce_allowed_values: bool = False,
+    value_length: int = fv.ALLOWED_VALUE_LENGTH,
 ) -> DataFrame:
     """One row per finding: ``ord``, ``issue_pos``, record id, field, message, severity.
 
-    Required fields come first in their fixed order, then dictionary order.
+    Required fields come first in their fixed order, then dictionary order. A field with an
+    allowed value longer than ``value_length`` is described rather than listed, and not checked.
     """
-    checks = _checks(dictionary, enforce_allowed_values)
+    checks = _checks(dictionary, enforce_allowed_values, value_length)
     if not checks:
         return _flat_issues(records.limit(0).withColumn("_issues", _issue_array([])))
     found = records.where(reduce(or_, [check.fails for check in checks]))
@@ -117,7 +124,11 @@ def without_errors(records: DataFrame, dictionary: Dictionary) -> DataFrame:
 
 
 def not_allowed_values(
-    records: DataFrame, allowed: DataFrame, fields: Sequence[str] | None = None
+    records: DataFrame,
+    allowed: DataFrame,
+    fields: Sequence[str] | None = None,
+    *,
+    value_length: int = fv.ALLOWED_VALUE_LENGTH,
 ) -> DataFrame:
     """Values outside the allowed ones, with the allowed values as a table.
 
@@ -126,8 +137,8 @@ def not_allowed_values(
     :func:`validation_issues`. Name the ``fields`` that the table has values for, and no other
     column of the records is read.
     """
-    long_fields = F.max(F.length("value")) <= fv.ALLOWED_VALUE_LENGTH
-    short = allowed.groupBy("variable_name").agg(long_fields.alias("_short")).where("_short")
+    listed = F.max(F.length("value")) <= value_length
+    short = allowed.groupBy("variable_name").agg(listed.alias("_short")).where("_short")
     checked = allowed.join(short, "variable_name", "left_semi")
     wanted = fv.RECORD_DEFAULTS if fields is None else fields
     names = [name for name in wanted if name in records.columns]

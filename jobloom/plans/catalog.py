@@ -95,7 +95,7 @@ def _records(spark, sf):
 
 
 def _description(spark, sf):
-    return td.postings(spark, sf).withColumn("text", tx.strip(F.col("description")))
+    return td.texts(spark, sf).withColumn("text", tx.strip(F.col("description")))
 
 
 # --- keys and first-seen rows ---
@@ -234,7 +234,7 @@ def provenance_from_name(spark, sf):
 # --- rules one by one ---
 
 
-def _one_rule(spark, sf, handler, inclusion=None, exclusion=None):
+def _one_rule(spark, sf, handler, inclusion=None, exclusion=None, source=td.postings):
     alone = decide.PostingFilter(
         inclusion or decide.InclusionRules(),
         exclusion or decide.ExclusionRules(),
@@ -242,7 +242,7 @@ def _one_rule(spark, sf, handler, inclusion=None, exclusion=None):
         exclusion_handlers=None if inclusion else [("rule", handler)],
     )
     alone.stages = [stage for stage in alone.stages if stage[0].endswith(":rule")]
-    decided = alone.decide(td.postings(spark, sf))
+    decided = alone.decide(source(spark, sf))
     reasons = F.when(
         F.col("decision.included"), F.slice("decision.reasons", 1, F.size("decision.reasons") - 1)
     ).otherwise(F.col("decision.reasons"))
@@ -283,22 +283,30 @@ def excl_title_long_list(spark, sf):
 
 @_query
 def excl_description(spark, sf):
-    return _one_rule(spark, sf, decide.description_exclusion, exclusion=WITH_DESCRIPTION)
+    return _one_rule(
+        spark, sf, decide.description_exclusion, exclusion=WITH_DESCRIPTION, source=td.texts
+    )
 
 
 @_query
 def excl_career(spark, sf):
-    return _one_rule(spark, sf, decide.career_level_exclusion, exclusion=EXCLUSION)
+    return _one_rule(
+        spark, sf, decide.career_level_exclusion, exclusion=EXCLUSION, source=td.texts
+    )
 
 
 @_query
 def excl_experience(spark, sf):
-    return _one_rule(spark, sf, decide.experience_exclusion, exclusion=EXCLUSION)
+    return _one_rule(
+        spark, sf, decide.experience_exclusion, exclusion=EXCLUSION, source=td.texts
+    )
 
 
 @_query
 def excl_salary(spark, sf):
-    return _one_rule(spark, sf, decide.salary_exclusion, exclusion=EXCLUSION)
+    return _one_rule(
+        spark, sf, decide.salary_exclusion, exclusion=EXCLUSION, source=td.texts
+    )
 
 
 @_query
@@ -306,7 +314,7 @@ def years_extract(spark, sf):
     text = F.concat_ws(" ", "job_title", "description")
     years = ex.years_mentioned(text).cast("array<string>")
     most = F.col("most")
-    return td.postings(spark, sf).select(
+    return td.texts(spark, sf).select(
         "ord", F.array_join(years, "; ").alias("years"), ex.most_years(text).alias("most")
     ).select("ord", "years", F.when(most >= 0, ex.whole(most)).alias("most_years"))
 
@@ -316,7 +324,7 @@ def pay_annual(spark, sf):
     text = F.concat_ws(" ", "salary", "description")
     amounts = ex.annual_amounts(text).cast("array<string>")
     least = F.col("least")
-    return td.postings(spark, sf).select(
+    return td.texts(spark, sf).select(
         "ord",
         F.array_join(amounts, "; ").alias("amounts"),
         ex.least_annual_amount(text).alias("least"),

@@ -19,7 +19,7 @@ from jobloom.plans.catalog import (
 )
 
 _SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_TABLES = {name: name for name in ("orders", "customer", "postings", "cards_html", "page_bodies")}
+_TABLES = {name: name for name in ("orders", "customer", "documents", "postings", "cards_html", "page_bodies")}
 
 
 def _q(text: str) -> str:
@@ -270,7 +270,8 @@ RECORDS = _records(
 _NO_ERROR = " AND ".join(f"trim({name}) <> ''" for name in fv.REQUIRED_FIELDS)
 FINAL = f"""final AS (SELECT * REPLACE (printf('IND%04d', row_number() OVER (ORDER BY ord)) AS record_id)
   FROM records WHERE {_NO_ERROR})"""
-_TEXT = f"SELECT *, {_strip('description')} AS txt FROM postings"
+TEXTS = f"texts AS ({td.TEXTS_SQL.format(**_TABLES)})"
+_TEXT = f"SELECT *, {_strip('description')} AS txt FROM texts"
 
 _TO_RECORDS = (POSTINGS, UNIQUE, DECIDED, RECORDS)
 _TO_DECIDED = (POSTINGS, UNIQUE, DECIDED)
@@ -389,12 +390,12 @@ fields AS (SELECT sheet_id, min(ord) AS ord, variable_name, arg_max(label, ord)
   FROM rows_ GROUP BY sheet_id, variable_name)"""
 
 
-def _rule_query(passes: str, reasons: str) -> str:
-    return _steps(POSTINGS) + f"SELECT ord, {passes} AS passes, {reasons} AS reasons FROM postings"
+def _rule_query(passes: str, reasons: str, source: str = "postings") -> str:
+    return _steps(POSTINGS, TEXTS) + f"SELECT ord, {passes} AS passes, {reasons} AS reasons FROM {source}"
 
 
-def _exclusion_query(reasons: str) -> str:
-    return _rule_query(f"({reasons}) = ''", reasons)
+def _exclusion_query(reasons: str, source: str = "postings") -> str:
+    return _rule_query(f"({reasons}) = ''", reasons, source)
 
 
 def _skill_query(catalogue) -> str:
@@ -406,7 +407,7 @@ def _skill_query(catalogue) -> str:
 
 
 def _text_query(expression: str, name: str) -> str:
-    return _steps(POSTINGS) + f"SELECT ord, {expression} AS {name} FROM ({_TEXT})"
+    return _steps(POSTINGS, TEXTS) + f"SELECT ord, {expression} AS {name} FROM ({_TEXT})"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -465,21 +466,25 @@ def oracle_sql() -> dict[str, str]:
         "excl_title": _exclusion_query(title),
         "excl_title_long_list": _exclusion_query(title),
         "excl_description": _exclusion_query(
-            _hits([("description", WITH_DESCRIPTION.description_keywords, "excluded description keyword '{}'")])
+            _hits([("description", WITH_DESCRIPTION.description_keywords, "excluded description keyword '{}'")]),
+            "texts",
         ),
         "excl_career": _exclusion_query(
-            _hits([(_BLOB, EXCLUSION.career_level_keywords, "excluded career-level keyword '{}'")])
+            _hits([(_BLOB, EXCLUSION.career_level_keywords, "excluded career-level keyword '{}'")]),
+            "texts",
         ),
         "excl_experience": _exclusion_query(
-            f"CASE WHEN {_MOST_YEARS} > 7 THEN concat('experience requirement ', {_MOST_YEARS}, ' years exceeds maximum 7') ELSE '' END"
+            f"CASE WHEN {_MOST_YEARS} > 7 THEN concat('experience requirement ', {_MOST_YEARS}, ' years exceeds maximum 7') ELSE '' END",
+            "texts",
         ),
         "excl_salary": _exclusion_query(
-            f"CASE WHEN {_LEAST_PAY} > 150000 THEN concat('salary/pay ', {_LEAST_PAY}, ' exceeds maximum annual 150000') ELSE '' END"
+            f"CASE WHEN {_LEAST_PAY} > 150000 THEN concat('salary/pay ', {_LEAST_PAY}, ' exceeds maximum annual 150000') ELSE '' END",
+            "texts",
         ),
-        "years_extract": _steps(POSTINGS)
-        + f"SELECT ord, array_to_string({years}, '; ') AS years, list_max({years}) AS most_years FROM postings",
-        "pay_annual": _steps(POSTINGS)
-        + f"SELECT ord, array_to_string({_amounts()}, '; ') AS amounts, {_LEAST_PAY} AS least_amount FROM postings",
+        "years_extract": _steps(POSTINGS, TEXTS)
+        + f"SELECT ord, array_to_string({years}, '; ') AS years, list_max({years}) AS most_years FROM texts",
+        "pay_annual": _steps(POSTINGS, TEXTS)
+        + f"SELECT ord, array_to_string({_amounts()}, '; ') AS amounts, {_LEAST_PAY} AS least_amount FROM texts",
         "filter_decision": _steps(POSTINGS, UNIQUE, _decided(RELEVANCE, WITH_DESCRIPTION))
         + "SELECT ord, included, stage, reasons FROM decided",
         "filter_audit": _steps(*_TO_DECIDED)

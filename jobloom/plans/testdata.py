@@ -48,6 +48,14 @@ SELECT o_orderkey AS ord,
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 """
 
+# Postings, and every document as the description of one more.
+TEXTS_SQL = """
+SELECT ord, job_title, location, salary, description FROM {postings}
+UNION ALL
+SELECT -1 - doc_id AS ord, '' AS job_title, '' AS location, '' AS salary, coalesce(text, '') AS description
+FROM {documents}
+"""
+
 CARDS_HTML_SQL = """
 SELECT ord, CAST(floor(ord / 10) AS BIGINT) AS page_id,
   concat('<div class="', CASE WHEN CAST(floor(ord / 10) AS BIGINT) % 12 = 4 THEN 'x' ELSE 'job_seen_beacon' END,
@@ -133,6 +141,11 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return spark.sql(TEXTS_SQL, postings=postings(spark, sf_dir), documents=documents)
+
+
 def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards = spark.sql(CARDS_HTML_SQL, postings=postings(spark, sf_dir))
     bodies = spark.sql(PAGE_BODIES_SQL, cards_html=cards)

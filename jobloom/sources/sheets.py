@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from jobloom import fixed_values as fv
 from jobloom.functions.text import (
+    WS,
     ascii_digits,
     blank_to_null,
     java_pattern,
@@ -190,7 +191,7 @@ def dictionary_fields(sheets: DataFrame) -> DataFrame:
         .where(~F.lower("variable_name").isin("", "variable name"))
     )
     others = [key for key in keys if key not in ("variable_name", "allowed_values_raw")]
-    has_values = F.regexp_replace("allowed_values_raw", "[;\\s]+", "") != ""
+    has_values = F.regexp_replace("allowed_values_raw", f"(?:;|{WS})+", "") != ""
     return (
         fields.groupBy("sheet_id", "variable_name")
         .agg(
