@@ -154,6 +154,12 @@ def _classes(marked: DataFrame) -> DataFrame:
     return rooted.join(least, "root").select("print", "component_id", "root")
 
 
+def print_groups(prints: DataFrame) -> DataFrame:
+    """(print, root) of the fingerprints in the column ``print``, which is read once."""
+    unnamed = prints.withColumn("doc_id", F.lit(None).cast("long"))
+    return _classes(unnamed).select("print", "root")
+
+
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint and component_id.
 

@@ -21,12 +21,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobloom.llm.common import id_crc, prepare, table
+from jobloom.llm.simhash_dedup import print_groups, text_fingerprint
+from jobloom.session import stage
 
 FOLDS = 3
 HELD_OUT_FOLD = 1
@@ -70,9 +71,8 @@ def features_of(words: set[str]) -> set[str]:
     return found
 
 
-def _signature(words: set[str]) -> int:
-    """Alike for most near copies: the least hash of the words."""
-    return min((xxhash.xxh64_intdigest(w) for w in words), default=0) >> 1
+def _is_repeated(words: list[str]) -> bool:
+    return sum(w in _STRONG for w in words) > 1
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -96,34 +96,70 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(toxic, print, words, repeated): the different words in order, and whether listed ones
+    come again."""
     for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = set(words_of(text))
-            found = list(features_of(words))
-            n = len(found)
-            yield pa.record_batch(
-                [
-                    pa.array(found, pa.string()), pa.array([toxic] * n, pa.int64()),
-                    pa.array([_signature(words)] * n, pa.int64()),
-                ],
-                names=["feature", "toxic", "signature"],
-            )
+        texts = batch.column(0).to_pylist()
+        words = [words_of(t) for t in texts]
+        yield pa.record_batch(
+            [
+                batch.column(1), pa.array(map(text_fingerprint, texts), pa.int64()),
+                pa.array([" ".join(sorted(set(w))) for w in words], pa.string()),
+                pa.array(map(_is_repeated, words), pa.bool_()),
+            ],
+            names=["toxic", "print", "words", "repeated"],
+        )
+
+
+def _grouped(labelled: DataFrame) -> DataFrame:
+    """(toxic, root, words, repeated) of labelled texts, those of equal words and print once.
+    Near copies have the same root: the component of their fingerprint."""
+    texts = stage(
+        labelled.select("text", "toxic")
+        .mapInArrow(_described, "toxic long, print long, words string, repeated boolean")
+        .distinct(),
+        "toxicity-texts",
+    )
+    return texts.join(print_groups(texts.select("print")), "print").select(
+        "toxic", "root", "words", "repeated"
+    )
+
+
+def _feature_names(words: Column) -> Column:
+    """What features_of gives, as an array column."""
+    each = F.split(words, " ")
+
+    def begun(n: int) -> Column:
+        longer = F.filter(each, lambda w: F.length(w) > n)
+        return F.transform(longer, lambda w: F.concat(F.substring(w, 1, n), F.lit("~")))
+
+    return F.array_distinct(
+        F.concat(F.filter(each, lambda w: F.length(w) > 2), *map(begun, PREFIXES))
+    )
+
 
+def _totals(grouped: DataFrame) -> tuple[int, int]:
+    """Groups with a toxic and with a clean text."""
+    found = {
+        r.toxic: r["count"]
+        for r in grouped.select("toxic", "root").distinct().groupBy("toxic").count().collect()
+    }
+    return found.get(1, 0), found.get(0, 0)
 
-def _mined(sample: DataFrame) -> list[str]:
-    """Features of unlike toxic texts that few clean texts have; at most MOST_FEATURES."""
+
+def _mined(grouped: DataFrame, toxic: int, clean: int) -> list[str]:
+    """Features of unlike toxic texts that few clean texts have, a group of near copies counted
+    once on each side; at most MOST_FEATURES."""
+    if not toxic or not clean:
+        return []
     counted = (
-        sample.mapInArrow(_exploded, "feature string, toxic long, signature long")
+        grouped.select("toxic", "root", F.explode(_feature_names(F.col("words"))).alias("feature"))
         .distinct()
         .groupBy("feature")
         .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
         .where(F.col("a") >= LEAST_TEXTS)
     )
-    totals = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    if not toxic or not clean:
-        return []
     ratio = F.log((F.col("a") + 0.5) / F.lit(toxic + 1.0)) - F.log(
         (F.col("b") + 0.5) / F.lit(clean + 1.0)
     )
@@ -147,8 +183,10 @@ class Features:
         return len(self.place) + len(LEXICONS) + 1
 
     def of(self, text: str | None) -> list[int]:
-        all_words = words_of(text)
-        words = set(all_words)
+        words = words_of(text)
+        return self.of_words(set(words), _is_repeated(words))
+
+    def of_words(self, words: set[str], repeated: bool) -> list[int]:
         place = self.place
         found = {place[w] for w in words if w in place}
         for n in PREFIXES:
@@ -158,7 +196,7 @@ class Features:
             hits = words.intersection(listed)
             if hits and (strong or len(hits) > 1):
                 found.add(len(place) + i)
-        if strong and sum(w in _STRONG for w in all_words) > 1:
+        if repeated:
             found.add(len(place) + len(LEXICONS))
         return sorted(found)
 
@@ -257,28 +295,19 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Fit on the sampled labelled rows outside the held-out fold. Without rows of both
     labels the word lists alone decide: one listed word is not enough, two are."""
-    sample = _sample(docs, labels)
-    features = Features({f: i for i, f in enumerate(_mined(sample))})
-    shared = docs.sparkSession.sparkContext.broadcast(features)
-
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            rows = [shared.value.of(t) for t in texts]
-            signatures = [_signature(set(words_of(t))) for t in texts]
-            yield pa.record_batch(
-                [batch.column(1), pa.array(signatures, pa.int64()), pa.array(rows, pa.list_(pa.int32()))],
-                names=["toxic", "signature", "row"],
-            )
-
-    found = sample.mapInArrow(rows_of, "toxic long, signature long, row array<int>").toArrow()
+    grouped = stage(_grouped(_sample(docs, labels)), "toxicity-groups")
+    features = Features({f: i for i, f in enumerate(_mined(grouped, *_totals(grouped)))})
+    found = grouped.select("toxic", "root", "words", "repeated").toArrow()
     toxic = np.array(found.column("toxic").to_pylist(), np.int64)
     if len(set(toxic.tolist())) < 2:
         plain = np.concatenate((np.zeros(len(features.place)), np.full(len(LEXICONS) + 1, 3.0)))
         return ToxicityModel(features, plain, -4.0)
-    rows = found.column("row").to_pylist()
+    rows = [
+        features.of_words(set(w.split()), r)
+        for w, r in zip(*(found.column(c).to_pylist() for c in ("words", "repeated")), strict=True)
+    ]
     _, group, size = np.unique(
-        found.column("signature").to_numpy(), return_inverse=True, return_counts=True
+        found.column("root").to_numpy(), return_inverse=True, return_counts=True
     )
     prior = float(np.clip(toxic.mean(), 0.01, 0.5))
     posterior = LabelModel(votes_of(rows, features), prior).posterior
