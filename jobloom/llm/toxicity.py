@@ -6,16 +6,19 @@
 2. A generative label model estimates by EM how often each voter votes what in each class,
    and how strongly voters agree beyond the class; voters that repeat one another count
    less. It gives every training text a probability.
+   It is fitted to the votes on all documents, without labels.
 3. A linear classifier (logistic, L1) on the features is trained on those probabilities.
    Groups of near copies weigh as one text, and what only they share gets no weight.
 
-Fitting uses a bounded sample of labelled rows (SAMPLE_TOXIC, SAMPLE_CLEAN); scoring reads
-every whole text.
+Mining and the prior count all labelled training rows, the label model the votes on all
+documents. Only the classifier is fitted on a bounded sample of the labelled training texts
+(SAMPLE_TOXIC, SAMPLE_CLEAN), weighted back to the classes' true sizes.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +35,7 @@ from jobloom.session import stage
 FOLDS = 3
 HELD_OUT_FOLD = 1
 THRESHOLD = 0.7
-# Labelled rows that fitting reads at most, by label; those of the least id hash.
+# Labelled texts that the classifier is fitted on at most, by label; those of the least hash.
 SAMPLE_TOXIC = 4000
 SAMPLE_CLEAN = 8000
 # Mined features: least number of unlike texts, least log-ratio, most features.
@@ -75,24 +78,18 @@ def _is_repeated(words: list[str]) -> bool:
     return sum(w in _STRONG for w in words) > 1
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the sampled labelled rows."""
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, toxic) of all labelled rows outside the held-out fold."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .where(id_crc() % FOLDS != HELD_OUT_FOLD)
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg(F.max("toxic").cast("long").alias("toxic"))
     )
-
-    def least(value: int, most: int) -> DataFrame:
-        return known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-
-    chosen = least(1, SAMPLE_TOXIC).union(least(0, SAMPLE_CLEAN)).select(
-        F.col("doc_id").alias("chosen_id"), F.col("toxic").alias("chosen_toxic")
-    )
-    # At most SAMPLE_TOXIC + SAMPLE_CLEAN pairs of numbers.
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("chosen_id")).select(
-        docs["text"].alias("text"), F.col("chosen_toxic").cast("long").alias("toxic")
+    # The fold again, so that texts of the held-out one are not shuffled.
+    return (
+        docs.where(id_crc() % FOLDS != HELD_OUT_FOLD).select("doc_id", "text")
+        .join(known, "doc_id").select("text", "toxic")
     )
 
 
@@ -148,6 +145,25 @@ def _totals(grouped: DataFrame) -> tuple[int, int]:
     return found.get(1, 0), found.get(0, 0)
 
 
+def _sample(grouped: DataFrame) -> pa.Table:
+    """At most SAMPLE_TOXIC + SAMPLE_CLEAN of the labelled texts, by the hash of their words."""
+    def least(value: int, most: int) -> DataFrame:
+        of_label = grouped.where(F.col("toxic") == value)
+        return of_label.orderBy(F.xxhash64("words"), "words", "root", "repeated").limit(most)
+
+    return least(1, SAMPLE_TOXIC).union(least(0, SAMPLE_CLEAN)).toArrow()
+
+
+def _sample_weights(toxic: np.ndarray, root: np.ndarray, totals: tuple[int, int]) -> np.ndarray:
+    """A group weighs as one text on each side, and each side as all its groups."""
+    _, group, size = np.unique(np.stack((toxic, root)), axis=1, return_inverse=True, return_counts=True)
+    weight = 1 / size[group.reshape(-1)]
+    for value, total in zip((1, 0), totals, strict=True):
+        side = toxic == value
+        weight[side] *= total / weight[side].sum()
+    return weight
+
+
 def _mined(grouped: DataFrame, toxic: int, clean: int) -> list[str]:
     """Features of unlike toxic texts that few clean texts have, a group of near copies counted
     once on each side; at most MOST_FEATURES."""
@@ -215,20 +231,41 @@ def votes_of(rows: list[list[int]], features: Features) -> np.ndarray:
     return votes
 
 
+def _vote_kinds(docs: DataFrame, features: Features) -> tuple[np.ndarray, np.ndarray]:
+    """Kinds of votes on all documents, and how many documents have each. A few thousand kinds
+    at most: a voter is bound to one vote besides none, and the last three to the others."""
+    shared = docs.sparkSession.sparkContext.broadcast(features)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+        for batch in batches:
+            rows = [shared.value.of(t) for t in batch.column(0).to_pylist()]
+            counts.update(vote.tobytes() for vote in votes_of(rows, shared.value))
+        yield pa.record_batch(
+            [pa.array(list(counts), pa.binary()), pa.array(counts.values(), pa.int64())],
+            names=["votes", "n"],
+        )
+
+    found = (
+        docs.select("text").mapInArrow(counted, "votes binary, n long")
+        .groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
+    )
+    kinds = np.array([np.frombuffer(r.votes, np.int8) for r in found], np.int64)
+    return kinds, np.array([r.n for r in found], float)
+
+
 class LabelModel:
     """P(toxic | votes) from a naive model of the voters, with correlated voters sharing
     their weight. Classes are told apart by the start: toxic is where toxic votes are."""
 
-    def __init__(self, votes: np.ndarray, prior: float, rounds: int = 25):
-        n, voters = votes.shape
-        choice = votes.astype(np.int64) + 1
-        kinds, group, size = np.unique(choice, axis=0, return_inverse=True, return_counts=True)
-        group = group.reshape(-1)
+    def __init__(self, kinds: np.ndarray, size: np.ndarray, prior: float, rounds: int = 25):
+        voters = kinds.shape[1]
         self.weight = np.ones(voters)
-        margin = (kinds - 1).sum(axis=1)
+        margin = kinds.sum(axis=1)
         chance = np.clip(1 / (1 + np.exp(-2.0 * margin)), 0.02, 0.98)
         chance[margin == 0] = prior
-        hot = np.stack([(kinds == k).astype(float) for k in range(3)], 2)  # kinds x voters x 3
+        self.prior = prior
+        hot = self._hot(kinds)
         for _ in range(rounds):
             table = []
             for share in (1 - chance, chance):
@@ -237,18 +274,29 @@ class LabelModel:
             self.log_ratio = np.log(table[1]) - np.log(table[0])
             self.accuracy = table
             self.weight = self._weights(kinds, size, chance, table)
-            score = np.log(prior / (1 - prior)) + np.einsum(
-                "kvc,vc,v->k", hot, self.log_ratio, self.weight
-            )
-            chance = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        self.posterior = chance[group]
+            chance = self._chance(hot)
+
+    @staticmethod
+    def _hot(kinds: np.ndarray) -> np.ndarray:
+        """kinds x voters x 3"""
+        return np.stack([(kinds == k).astype(float) for k in (-1, 0, 1)], 2)
+
+    def _chance(self, hot: np.ndarray) -> np.ndarray:
+        score = np.log(self.prior / (1 - self.prior)) + np.einsum(
+            "kvc,vc,v->k", hot, self.log_ratio, self.weight
+        )
+        return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """P(toxic) of texts x voters."""
+        return self._chance(self._hot(votes))
 
     def _weights(self, kinds, size, chance, table) -> np.ndarray:
         """1 / (1 + the correlations left to the other voters once the class is known)."""
         values = np.array([-1.0, 0.0, 1.0])
         residual = 0.0
         for share, t in ((1 - chance, table[0]), (chance, table[1])):
-            centred = (kinds - 1) - t @ values
+            centred = kinds - t @ values
             residual = residual + np.einsum("k,ki,kj->ij", share * size, centred, centred)
         scale = np.sqrt(np.maximum(np.diag(residual), 1e-9))
         self.correlation = residual / np.outer(scale, scale)
@@ -293,25 +341,27 @@ class ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """Fit on the sampled labelled rows outside the held-out fold. Without rows of both
-    labels the word lists alone decide: one listed word is not enough, two are."""
-    grouped = stage(_grouped(_sample(docs, labels)), "toxicity-groups")
-    features = Features({f: i for i, f in enumerate(_mined(grouped, *_totals(grouped)))})
-    found = grouped.select("toxic", "root", "words", "repeated").toArrow()
-    toxic = np.array(found.column("toxic").to_pylist(), np.int64)
-    if len(set(toxic.tolist())) < 2:
+    """Fit on the labelled rows outside the held-out fold, and on the votes on all documents.
+    Without rows of both labels the word lists alone decide: one listed word is not enough,
+    two are."""
+    grouped = stage(_grouped(_labelled(docs, labels)), "toxicity-groups")
+    totals = _totals(grouped)
+    features = Features({f: i for i, f in enumerate(_mined(grouped, *totals))})
+    if not all(totals):
         plain = np.concatenate((np.zeros(len(features.place)), np.full(len(LEXICONS) + 1, 3.0)))
         return ToxicityModel(features, plain, -4.0)
+    prior = float(np.clip(totals[0] / sum(totals), 0.01, 0.5))
+    model = LabelModel(*_vote_kinds(docs, features), prior)
+    sample = _sample(grouped)
     rows = [
         features.of_words(set(w.split()), r)
-        for w, r in zip(*(found.column(c).to_pylist() for c in ("words", "repeated")), strict=True)
+        for w, r in zip(*(sample.column(c).to_pylist() for c in ("words", "repeated")), strict=True)
     ]
-    _, group, size = np.unique(
-        found.column("root").to_numpy(), return_inverse=True, return_counts=True
+    toxic, root = (sample.column(c).to_numpy() for c in ("toxic", "root"))
+    weights, bias = _logistic(
+        rows, model.posterior(votes_of(rows, features)), _sample_weights(toxic, root, totals),
+        features.width,
     )
-    prior = float(np.clip(toxic.mean(), 0.01, 0.5))
-    posterior = LabelModel(votes_of(rows, features), prior).posterior
-    weights, bias = _logistic(rows, posterior, 1 / size[group], features.width)
     return ToxicityModel(features, weights, bias)
 
 

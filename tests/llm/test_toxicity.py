@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from jobloom.llm import toxicity
 
 SHAPE = "text string, toxic long"
@@ -36,3 +38,33 @@ def test_features_by_columns_as_by_words(spark):
     found = {r.i: r.f for r in rows.select("i", toxicity._feature_names(rows.words).alias("f")).collect()}
     for i, text in enumerate(texts):
         assert sorted(found[i]) == sorted(toxicity.features_of(set(toxicity.words_of(text))))
+
+
+def _tables(spark, toxic, clean):
+    rows = [(i, f"zorgulent {_prose(30, i)}" if i < toxic else _prose(30, i), int(i < toxic)) for i in range(toxic + clean)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    return docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+
+
+def test_the_sample_bounds_the_classifier_only(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 3)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 5)
+    docs, labels = _tables(spark, 30, 400)
+    seen = {}
+
+    def looked_at(kinds, size, prior):
+        seen.update(size=size.sum(), prior=prior)
+        return label_model(kinds, size, prior)
+
+    label_model = toxicity.LabelModel
+    monkeypatch.setattr(toxicity, "LabelModel", looked_at)
+    model = toxicity.fit(docs, labels)
+    # Three toxic texts are too few to mine from; thirty in 430 are not.
+    assert "zorgulent" in model.features.place
+    assert seen["size"] == 430 and 0.03 < seen["prior"] < 0.12
+
+
+def test_sample_is_weighted_back_to_all_groups():
+    toxic, root = np.array([1, 1, 1, 0, 0]), np.array([7, 7, 8, 7, 9])
+    weight = toxicity._sample_weights(toxic, root, (10, 100))
+    assert weight.tolist() == [2.5, 2.5, 5, 50, 50]
