@@ -1,6 +1,8 @@
 """License scan: Dice coefficient over word bigrams between text and licence templates.
 
-Lines, paragraphs (lines up to a blank one) and the whole text are compared. Both sides are
+Windows of words anywhere in the text are compared, besides lines, paragraphs (lines up to a
+blank one) and the whole text. A window begins and ends with a bigram of its template and has no
+more bigrams than the size bounds allow; of places that overlap the best one counts. Both sides are
 reduced to their words, A-Z lower-cased; a segment matches the template with the highest
 coefficient of LEAST_DICE or more, of equal ones the first listed. Sets of a and b bigrams
 cannot reach a coefficient t unless t / (2 - t) <= b / a <= (2 - t) / t, so templates are kept
@@ -10,9 +12,12 @@ templates is not looked at, however long the text is.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,6 +81,8 @@ class Match:
     licence: str
     dice: float
     order: int
+    begin: int = 0
+    end: int = 0
 
 
 class Templates:
@@ -90,6 +97,9 @@ class Templates:
         self.rows = sorted(rows, key=lambda r: r[:2])
         self.sizes = [r[0] for r in self.rows]
         self.all = set().union(*(r[3] for r in rows))
+        # Places of the template bigrams in ``held``: templates x bigrams.
+        self.place = {b: i for i, b in enumerate(sorted(self.all))}
+        self.held = np.array([[b in r[3] for b in self.place] for r in self.rows], bool)
         self.longest = max(self.sizes, default=0) * (2 - least) / least
 
     def best(self, words: list[str]) -> Match | None:
@@ -110,33 +120,72 @@ class Templates:
                 found = Match(licence, dice, order)
         return found
 
+    def windows(self, words: list[str]) -> list[Match]:
+        """For each template and each of its bigrams in the text that may begin a window: the
+        best one."""
+        bigrams = list(zip(words, words[1:]))
+        places = np.array([self.place.get(b, -1) for b in bigrams], np.int64)
+        at = np.flatnonzero(places >= 0)
+        found = []
+        if not len(at):
+            return found
+        ratio = self.least / (2 - self.least)
+        for (n, order, licence, template), held in zip(self.rows, self.held, strict=True):
+            if not n:
+                continue
+            own = at[held[places[at]]]
+            need, most = math.ceil(n * ratio * (1 - 1e-12)), int(n / ratio * (1 + 1e-12))
+            if len(own) < need:
+                continue
+            near = own[need - 1 :] - own[: len(own) - need + 1] < most
+            for begin in own[: len(near)][near].tolist():
+                seen, common, best = set(), 0, None
+                for p, bigram in enumerate(bigrams[begin : begin + most], begin):
+                    if bigram in seen:
+                        continue
+                    seen.add(bigram)
+                    if bigram in template:
+                        common += 1
+                        dice = 2 * common / (len(seen) + n)
+                        if dice >= self.least and (best is None or dice > best.dice):
+                            best = Match(licence, dice, order, begin, p + 2)
+                if best:
+                    found.append(best)
+        return found
+
     def scan(self, text: str | None) -> list[Match]:
-        """Matches of the lines, paragraphs and the whole text, each segment once."""
+        """Matches that do not overlap, the best first: of windows, lines, paragraphs and the
+        whole text."""
         lines = [words_of(line) for line in (text or "").split("\n")]
-        segments = [words for words in lines if len(words) > 1]
-        blocks: list[list[list[str]]] = [[]]
-        for words in lines:
-            if words:
-                blocks[-1].append(words)
-            elif blocks[-1]:
-                blocks.append([])
-        blocks = [b for b in blocks if b]
-        joined = [b for b in blocks if len(b) > 1]
-        if len(blocks) > 1:
-            joined.append([line for b in blocks for line in b])
+        words = [w for line in lines for w in line]
+        if self.all.isdisjoint(zip(words, words[1:])):
+            return []
+        ends = list(accumulate(map(len, lines)))
+        segments = {(end - len(line), end) for line, end in zip(lines, ends, strict=True)}
+        blank = [0, *(end for line, end in zip(lines, ends, strict=True) if not line), len(words)]
+        segments.update(zip(blank, blank[1:]))
+        segments.add((0, len(words)))
+        found = self.windows(words)
         # A set of few bigrams may come from many words, so only its words' number of kinds
         # bounds it from below: long segments of few kinds are looked at as well.
-        for block in joined:
-            words = [w for line in block for w in line]
-            if len(words) - 1 <= self.longest or len(set(words)) <= self.longest + 1:
-                segments.append(words)
-        return [m for m in map(self.best, segments) if m]
+        for begin, end in segments:
+            part = words[begin:end]
+            if len(part) - 1 <= self.longest or len(set(part)) <= self.longest + 1:
+                match = self.best(part)
+                if match:
+                    found.append(Match(match.licence, match.dice, match.order, begin, end))
+        kept, taken = [], bytearray(len(words))
+        for m in sorted(found, key=lambda m: (-m.dice, m.order, m.end - m.begin, m.begin)):
+            if not any(taken[m.begin : m.end]):
+                taken[m.begin : m.end] = b"\x01" * (m.end - m.begin)
+                kept.append(m)
+        return kept
 
 
 def scan_documents(docs: DataFrame, templates=TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_segments, licences, licence, dice.
 
-    n_segments counts matching segments, licences lists their ids in order, once each;
+    n_segments counts matching places that do not overlap, licences lists their ids in order, once each;
     licence and dice are those of the best one (null without a match). ``docs`` needs doc_id
     and text; other columns are not read. Null, empty and one-word texts match nothing.
     Repeated rows give repeated rows; an empty table gives none.
