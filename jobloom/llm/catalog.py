@@ -10,11 +10,14 @@ from jobloom.llm import (
     consistent_shards,
     decontaminate,
     decontaminate_sql,
+    fill_in_middle,
     language_id,
     license_scan,
+    minhash,
     quality_divergence,
     sentencepiece_codec,
     simhash_dedup,
+    source_divergence,
     token_files,
     toxicity,
     url_model,
@@ -33,9 +36,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         decontaminate.op8_decontaminate,
         language_id.op9_language_id,
         toxicity.op10_toxicity,
+        fill_in_middle.op11_fill_in_middle,
+        source_divergence.op12_source_divergence,
+        minhash.op13_minhash_fingerprints,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontaminate": decontaminate_sql.SQL}
+    return {
+        "op8_decontaminate": decontaminate_sql.SQL,
+        "op11_fill_in_middle": fill_in_middle.SQL,
+        "op12_source_divergence": source_divergence.SQL,
+    }

@@ -4,13 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobloom.llm import (
-    consistent_shards, decontaminate, language_id, license_scan, quality_divergence,
-    sentencepiece_codec, simhash_dedup, token_files, toxicity, url_model,
+    consistent_shards, decontaminate, fill_in_middle, language_id, license_scan, minhash,
+    quality_divergence, sentencepiece_codec, simhash_dedup, token_files, toxicity, url_model,
 )
 from jobloom.session import new_run_folder
 
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHING = ("print", "row", "place", "score", "found", "rank", "shard", "ids", "seeds", "hit_id", "root")
+CLASHING = ("print", "row", "place", "score", "found", "rank", "shard", "ids", "seeds", "hit_id", "root",
+            "n", "form", "output", "range", "sent", "at", "node", "mark")
 LONG = "many words make one very long line of text " * 30_000
 ROWS = [
     (1, "the cat sat on the mat and the dog ran far away from the big red house", "en", "a", 1),
@@ -57,6 +58,9 @@ PER_ROW = {
     "contamination": lambda s, d: decontaminate.contamination(d, _items(s)),
     "language": lambda s, d: language_id.identify(d),
     "toxicity": lambda s, d: toxicity.score_documents(d, _labels(s)),
+    "middle": lambda s, d: fill_in_middle.fill_in_middle(d),
+    "minhash": lambda s, d: minhash.fingerprint_documents(d),
+    "minhash classes": lambda s, d: minhash.near_duplicates(d),
     "urls": lambda s, d: url_model.judge(
         d.withColumn("url", F.concat(F.lit("http://a.org/"), "text")).withColumn("page_id", F.col("doc_id"))
     ),
