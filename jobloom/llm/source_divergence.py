@@ -14,10 +14,9 @@ that begin alike share nodes, and a node's multiplicity is that of all paths thr
 correction of two sources depends on a node and one of its ancestors alone, so it is worked
 out once for each such combination and taken times the node's multiplicity.
 
-The tree is never held whole. Paths are range-partitioned and sorted, so a task walks its
-part of the tree in depth-first order and holds one path at a time; a node that two tasks
-share has its multiplicity in two parts, whose corrections add up. Sums by pair leave each
-task, at most PAIRS_HELD at a time, and are added by a shuffle.
+The tree is never held whole. Paths that begin alike come to one task, sorted, which builds
+the tree of some of them at a time (NODES_HELD); a node that two such parts share has its
+multiplicity in two parts, whose corrections add up. Sums by pair are added by a shuffle.
 """
 
 from __future__ import annotations
@@ -28,53 +27,62 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import LOWER, prepare, table
+from jobloom.llm.common import LOWER_BYTES, partitions, prepare, table, utf8
 from jobloom.session import stage
 
 LEAST_DOCUMENTS = 30
 SMOOTHING = 5
 SCALE = 1_000_000_000
 MOST_TERMS = 50  # of the report
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+# Letters, and all bytes of code points beyond ASCII, in UTF-8.
+TERM = re.compile(rb"[a-z\x80-\xff]+")
 # Entries that a task holds before it hands them on; their number changes no result.
-COUNTS_HELD = 200_000
-PAIRS_HELD = 500_000
+COUNTS_HELD = 600_000
+NODES_HELD = 1 << 21  # rows times the longest path
+SHARED_NODES = 6  # paths that begin with the same so many nodes come to one task
 
 
-def terms_of(text: str | None) -> list[str]:
-    return TERM.findall((text or "").translate(LOWER))
+def terms_of(text: str | None) -> list[bytes]:
+    return TERM.findall(utf8(text or "").translate(LOWER_BYTES))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, term, n, docs): occurrences and documents, summed within the task as
     long as there is room. An empty term stands for the group itself."""
-    counts: Counter = Counter()
-    docs: Counter = Counter()
-
-    def rows() -> pa.RecordBatch:
-        keys = list(zip(*docs)) or [(), (), ()]
-        values = [[of[key] for key in docs] for of in (counts, docs)]
-        return pa.record_batch(
-            [*(pa.array(k, pa.string()) for k in keys), *(pa.array(v, pa.int64()) for v in values)],
-            names=["lang", "source", "term", "n", "docs"],
-        )
+    counts: dict[tuple[str, str], Counter[bytes]] = {}
+    docs: dict[tuple[str, str], Counter[bytes]] = {}
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for (lang, source), found in docs.items():
+            of_group = counts[lang, source]
+            yield pa.record_batch(
+                [
+                    pa.repeat(pa.scalar(lang), len(found)), pa.repeat(pa.scalar(source), len(found)),
+                    pa.array(list(found), pa.binary()).cast(pa.string()),
+                    pa.array([of_group[term] for term in found], pa.int64()),
+                    pa.array(found.values(), pa.int64()),
+                ],
+                names=["lang", "source", "term", "n", "docs"],
+            )
+        counts.clear()
+        docs.clear()
 
     for batch in batches:
         for text, lang, source in zip(*(batch.column(i).to_pylist() for i in range(3))):
             group = lang or "", source or ""
-            for term, n in Counter(terms_of(text)).items():
-                key = *group, term
-                counts[key] += n
-                docs[key] += 1
-            docs[*group, ""] += 1
-            if len(docs) > COUNTS_HELD:
-                yield rows()
-                counts.clear()
-                docs.clear()
-    yield rows()
+            if group not in docs:
+                counts[group], docs[group] = Counter(), Counter()
+            terms = terms_of(text)
+            counts[group].update(terms)
+            docs[group].update(set(terms))
+            docs[group][b""] += 1
+        if sum(map(len, docs.values())) > COUNTS_HELD:
+            yield from rows()
+    yield from rows()
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -97,62 +105,86 @@ def share(n: Column, total: Column, v: Column) -> Column:
     return F.lit(1) + F.call_function("div", above, below.cast("decimal(20,0)"))
 
 
+def _pair_sums(langs: pa.Array, paths: pa.ListArray, times: np.ndarray) -> pa.RecordBatch:
+    """(lang, a, b, value) of sorted paths: the corrections of their tree, a before b.
+
+    Nodes stand in columns by depth. A node begins in the first row of a run of paths that
+    agree up to it; its multiplicity is that of the run, its ancestors are the entries of that
+    row before it. Each depth takes all its nodes and their ancestors at once.
+    """
+    offsets = paths.offsets.to_numpy().astype(np.int64)
+    nodes = paths.values.slice(offsets[0], offsets[-1] - offsets[0])
+    names = nodes.field("source").dictionary_encode()
+    tongues = langs.dictionary_encode()
+    sizes = np.diff(offsets)
+    rows, width = len(sizes), int(sizes.max(initial=0))
+    at = np.arange(width) < sizes[:, None]
+
+    def spread(values: np.ndarray) -> np.ndarray:
+        table = np.zeros((rows, width), np.int64)
+        table[at] = values
+        return table
+
+    source = spread(names.indices.to_numpy())
+    n, p, z = (spread(nodes.field(f).to_numpy()) for f in ("n", "p", "z"))
+    lang = tongues.indices.to_numpy().astype(np.int64)
+    same = np.zeros((rows, width), bool)
+    same[1:] = at[1:] & at[:-1] & (source[1:] == source[:-1]) & (n[1:] == n[:-1])
+    same[1:] &= (lang[1:] == lang[:-1])[:, None]
+    same = np.logical_and.accumulate(same, axis=1)
+    number = len(names.dictionary)
+    keys, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+    for depth in range(1, width):
+        first = np.flatnonzero(at[:, depth] & ~same[:, depth])
+        if not len(first):
+            continue
+        often = np.add.reduceat(np.where(at[:, depth], times, 0), first)
+        above, above_z = p[first, :depth], z[first, :depth]
+        own, own_z = p[first, depth, None], z[first, depth, None]
+        change = (
+            np.abs(above - own) + np.abs(above_z - own_z)
+            - np.abs(above - own_z) - np.abs(own - above_z)
+        )
+        key = (lang[first, None] * number + source[first, :depth]) * number + source[first, depth, None]
+        keys = np.concatenate((keys, key.ravel()))
+        keys, at_key = np.unique(keys, return_inverse=True)
+        values = np.concatenate((sums, (change * often[:, None]).ravel()))
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, at_key, values)
+    taken = lambda codes, words: words.take(pa.array(codes))
+    return pa.record_batch(
+        [
+            taken(keys // number // number, tongues.dictionary),
+            taken(keys // number % number, names.dictionary),
+            taken(keys % number, names.dictionary), pa.array(sums),
+        ],
+        names=["lang", "a", "b", "value"],
+    )
+
+
 def _corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, a, b, value) from sorted paths: the tree's corrections, a before b.
+    """(lang, a, b, value) from sorted rows (lang, path, times), some at a time.
 
     ``path`` has for each source of a term, in order: source, n, its share and its zero share.
     """
-    sums: Counter = Counter()
-    lang: str | None = None
-    path: list[tuple[str, int]] = []  # from the root to the last node
-    shares = np.empty(0, np.int64)
-    zeros = np.empty(0, np.int64)
-    times: list[int] = []  # multiplicity of each node on the path
-
-    def close(depth: int) -> None:
-        """Nodes below this depth are complete: no later path goes through them."""
-        while len(path) > depth:
-            i, often = len(path) - 1, times.pop()
-            source, _ = path.pop()
-            if i:
-                p, z, own, own_z = shares[:i], zeros[:i], shares[i], zeros[i]
-                none = np.abs(z - own_z)
-                change = (
-                    np.abs(p - own) - none
-                    - (np.abs(p - own_z) - none)
-                    - (np.abs(own - z) - none)
-                )
-                for (other, _), value in zip(path, change.tolist()):
-                    if value:
-                        sums[lang, other, source] += value * often
-
-    def rows() -> pa.RecordBatch:
-        keys = list(zip(*sums)) or [(), (), ()]
-        found = pa.record_batch(
-            [*(pa.array(k, pa.string()) for k in keys), pa.array(sums.values(), pa.int64())],
-            names=["lang", "a", "b", "value"],
-        )
-        sums.clear()
-        return found
+    held: list[pa.RecordBatch] = []
+
+    def sums() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        lang, path, times = (table.column(c).chunk(0) for c in ("lang", "path", "times"))
+        return _pair_sums(lang, path, times.to_numpy())
 
+    rows = width = 0
     for batch in batches:
-        columns = batch.to_pydict()
-        for of_lang, nodes, often in zip(columns["lang"], columns["path"], columns["times"]):
-            new = [(node["source"], node["n"]) for node in nodes]
-            same = 0
-            if of_lang == lang:
-                while same < min(len(path), len(new)) and path[same] == new[same]:
-                    same += 1
-            close(same)
-            lang = of_lang
-            times = [t + often for t in times] + [often] * (len(new) - same)
-            path += new[same:]
-            shares = np.concatenate((shares[:same], [node["p"] for node in nodes[same:]])).astype(np.int64)
-            zeros = np.concatenate((zeros[:same], [node["z"] for node in nodes[same:]])).astype(np.int64)
-            if len(sums) > PAIRS_HELD:
-                yield rows()
-    close(0)
-    yield rows()
+        longest = pc.max(pc.list_value_length(batch.column("path"))).as_py() or 0
+        if held and (rows + batch.num_rows) * max(width, longest) > NODES_HELD:
+            yield sums()
+            held, rows, width = [], 0, 0
+        if batch.num_rows:
+            held.append(batch)
+            rows, width = rows + batch.num_rows, max(width, longest)
+    if held:
+        yield sums()
 
 
 def tree_corrections(counted: DataFrame) -> DataFrame:
@@ -165,8 +197,9 @@ def tree_corrections(counted: DataFrame) -> DataFrame:
         counted.groupBy("lang", "term").agg(F.array_sort(F.collect_list(node)).alias("path"))
         .groupBy("lang", "path").agg(F.count(F.lit(1)).alias("times"))
     )
+    begun = F.slice("path", 1, SHARED_NODES)
     return (
-        paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+        paths.repartition(partitions(counted.sparkSession), "lang", begun).sortWithinPartitions("lang", "path")
         .mapInArrow(_corrections, "lang string, a string, b string, value long")
         .groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     )

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,16 +63,55 @@ def test_audit_equals_the_naive_one(spark, sources):
     assert found == naive(rows)
 
 
-def test_tree_shares_paths_and_does_not_depend_on_batches(spark, monkeypatch):
-    rows = _rows(5, ["a", "b", "c"], [f"t{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)])
-    docs = spark.createDataFrame(rows, SHAPE)
-    whole = sorted(tuple(r) for r in sd.audit(docs).collect())
+def _summed(batches):
+    found = Counter()
+    for batch in batches:
+        for row in batch.to_pylist():
+            found[row["lang"], row["a"], row["b"]] += row["value"]
+    return {k: v for k, v in found.items() if v}
+
+
+def test_tree_equals_all_terms_one_by_one(monkeypatch):
+    rng = random.Random(4)
+    zero = {f"s{i:02}": rng.randint(1, 9) for i in range(12)}
+    paths = []
+    for _ in range(600):
+        sources = sorted(rng.sample(sorted(zero), rng.randint(1, 6)))
+        nodes = [{"source": s, "n": (n := rng.randint(1, 3)), "p": 10 * n + zero[s], "z": zero[s]} for s in sources]
+        paths.append((rng.choice(["de", "en"]), nodes, rng.randint(1, 4)))
+    paths.sort(key=lambda r: (r[0], [(x["source"], x["n"]) for x in r[1]]))
+    expected = Counter()
+    for lang, nodes, times in paths:
+        for j, b in enumerate(nodes):
+            for a in nodes[:j]:
+                none = abs(a["z"] - b["z"])
+                both, left, right = abs(a["p"] - b["p"]), abs(a["p"] - b["z"]), abs(b["p"] - a["z"])
+                expected[lang, a["source"], b["source"]] += times * (both - none - (left - none) - (right - none))
+    node = pa.struct([("source", pa.string()), ("n", pa.int64()), ("p", pa.int64()), ("z", pa.int64())])
+    columns = [pa.array(c, k) for c, k in zip(zip(*paths), (pa.string(), pa.list_(node), pa.int64()))]
+    table = pa.table(columns, names=["lang", "path", "times"])
+    for held, size in ((1 << 21, 1000), (1 << 21, 7), (1, 1), (60, 13)):
+        monkeypatch.setattr(sd, "NODES_HELD", held)
+        found = _summed(sd._corrections(iter(table.to_batches(size))))
+        assert found == {k: v for k, v in expected.items() if v}
+    assert [*sd._corrections(iter([]))] == []
+
+
+def test_counts_do_not_depend_on_what_a_task_holds(monkeypatch):
+    rows = _rows(5, ["a", "b", None], [f"t{chr(97 + i % 26)}" for i in range(40)])[:200]
+    table = pa.table([pa.array(c, pa.string()) for c in zip(*rows)], names=["text", "lang", "source"])
+
+    def counted():
+        found = Counter()
+        for batch in sd._counted(iter(table.to_batches(9))):
+            for r in batch.to_pylist():
+                found[r["lang"], r["source"], r["term"], "n"] += r["n"]
+                found[r["lang"], r["source"], r["term"], "docs"] += r["docs"]
+        return found
+
+    whole = counted()
     monkeypatch.setattr(sd, "COUNTS_HELD", 5)
-    monkeypatch.setattr(sd, "PAIRS_HELD", 1)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
-    parts = [*sd._corrections(iter([]))]
-    assert parts[0].num_rows == 0
-    assert sorted(tuple(r) for r in sd.audit(docs.repartition(7)).collect()) == whole == naive(rows)
+    assert counted() == whole
 
 
 def test_counts_beyond_bigint_do_not_overflow(spark):
