@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobloom.llm.common import partitions, prepare, table, utf8
-from jobloom.session import new_run_folder
+from jobloom.session import new_run_folder, stage
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -276,45 +276,92 @@ def _block_type() -> pa.Schema:
     )
 
 
+IDS_SCHEMA = "doc_id long, ids binary, counts binary"
+
+
 def _encoded(file: str):
+    """(doc_id, ids) of every document, and last one row with the counts of the task's ids."""
+    kind = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
+
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(file), array("H", [END_ID]).tobytes()
+        counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
             ids = [encoder.encode(t) + end for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            counts += np.bincount(np.frombuffer(b"".join(ids), np.uint16), minlength=1 << 16)
+            arrays = [batch.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())]
+            yield pa.record_batch(arrays, schema=kind)
+        own = pa.array([counts.astype("<i8").tobytes()], pa.binary())
+        yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), own], schema=kind)
 
     return encoded
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << 16, np.int64)
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n) of the counts of tasks."""
+    total = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint16)
-        counts += np.bincount(ids, minlength=1 << 16)
-    used = np.flatnonzero(counts)
-    yield pa.record_batch([pa.array(used), pa.array(counts[used])], names=["id", "n"])
+        for counts in batch.column(0).to_pylist():
+            total += np.frombuffer(counts, "<i8")
+    used = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(used), pa.array(total[used])], names=["id", "n"])
+
+
+class Shards:
+    """Ranges of (doc_id, uid) with about equal numbers of documents, one a shard.
+
+    The bounds are as many numbers as there are shards; a doc_id that fills whole shards by
+    itself is divided by its rows' own numbers.
+    """
+
+    def __init__(self, keys: DataFrame, number: int):
+        self.bounds = _quantiles(keys, "place", number)
+        values, first, times = np.unique(self.bounds, return_index=True, return_counts=True)
+        self.inside = {
+            v: (f + 1, _quantiles(keys.where(F.col("place") == v), "uid", k - 1))
+            for v, f, k in zip(values.tolist(), first.tolist(), times.tolist()) if k > 1
+        }
+
+    def of(self, place: np.ndarray, uid: np.ndarray) -> np.ndarray:
+        found = np.searchsorted(self.bounds, place, "right")
+        for value, (first, bounds) in self.inside.items():
+            here = place == value
+            found[here] = first + np.searchsorted(bounds, uid[here], "right")
+        return found.astype(np.int32)
+
+
+def _quantiles(keys: DataFrame, column: str, number: int) -> np.ndarray:
+    """What divides the column into so many parts."""
+    if number < 2:
+        return np.empty(0, np.int64)
+    parts = [i / number for i in range(1, number)]
+    found = keys.agg(F.percentile_approx(column, parts, max(10_000, 20 * number)).alias("at")).first()
+    return np.array(found["at"] or [], np.int64)
 
 
 PIECE_SCHEMA = (
-    "doc_id long, uid long, piece int, whole boolean, n long, bits binary, checkpoints binary"
+    "shard int, doc_id long, uid long, piece int, whole boolean, n long, bits binary, checkpoints binary"
 )
 
 
-def _packed(lengths):
+def _packed(lengths, shards: Shards):
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(lengths.value)
         for batch in batches:
             rows, pieces = [], []
-            for doc_id, uid, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            place, uids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            shard = shards.of(place, uids).tolist()
+            columns = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            for to, doc_id, uid, data in zip(shard, *columns, strict=True):
                 ids = np.frombuffer(data, np.uint16)
                 for piece, i in enumerate(range(0, len(ids), BLOCK_IDS)):
                     pieces.append(ids[i : i + BLOCK_IDS])
-                    rows.append((doc_id, uid, piece, len(ids) <= BLOCK_IDS, len(pieces[-1])))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64())
+                    rows.append((to, doc_id, uid, piece, len(ids) <= BLOCK_IDS, len(pieces[-1])))
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             arrays += [pa.array(c, pa.binary()) for c in code.pack(pieces)]
-            names = ["doc_id", "uid", "piece", "whole", "n", "bits", "checkpoints"]
+            names = ["shard", "doc_id", "uid", "piece", "whole", "n", "bits", "checkpoints"]
             yield pa.record_batch(arrays, names=names)
 
     return packed
@@ -356,18 +403,19 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write(docs: DataFrame, folder: str, tokenizer_file: str) -> None:
     """Encode all documents and write them, in ascending doc_id order, to a new folder.
 
-    The ids are kept as a table while they are counted; then every document is packed where it
-    is, and only packed documents are shuffled into order. The driver holds one count per id of
-    the vocabulary. Null texts are empty ones; rows of one doc_id stand together, null first.
+    The ids are kept as a table, with their counts; then every document is packed where it
+    is, and only packed documents are shuffled into order, once, by ranges that come from
+    the ids of documents alone. The driver holds one count per id of the vocabulary, and
+    a bound per shard. Null texts are empty ones; rows of one doc_id stand together, null first.
     """
     spark = docs.sparkSession
     prepare(spark)
     docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _encoded(tokenizer_file), "doc_id long, ids binary"
+        _encoded(tokenizer_file), IDS_SCHEMA
     ).write.option("compression", "zstd").parquet(f"{folder}/ids")
-    ids = spark.read.schema("doc_id long, ids binary").parquet(f"{folder}/ids")
+    written = spark.read.schema(IDS_SCHEMA).parquet(f"{folder}/ids")
     totals = (
-        ids.select("ids").mapInArrow(_counted, "id long, n long")
+        written.where("counts IS NOT NULL").select("counts").mapInArrow(_summed, "id long, n long")
         .groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     )
     counts = np.zeros(1 << 16, np.int64)
@@ -375,11 +423,17 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str) -> None:
     lengths = code_lengths(counts)
     code_row = [(bytearray(lengths.tobytes()), CODE_LIMIT)]
     spark.createDataFrame(code_row, "lengths binary, `limit` int").write.parquet(f"{folder}/code")
+    ids = written.select(
+        "doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("place"),
+        F.monotonically_increasing_id().alias("uid"), "ids", "counts",
+    ).where("counts IS NULL")
+    number = partitions(spark)
+    shards = Shards(ids.select("place", "uid"), number)
     (
-        ids.select("doc_id", F.monotonically_increasing_id().alias("uid"), "ids")
-        .mapInArrow(_packed(spark.sparkContext.broadcast(lengths)), PIECE_SCHEMA)
-        .repartitionByRange(partitions(spark), "doc_id", "uid", "piece")
-        .sortWithinPartitions("doc_id", "uid", "piece")
+        ids.select("doc_id", "place", "uid", "ids")
+        .mapInArrow(_packed(spark.sparkContext.broadcast(lengths), shards), PIECE_SCHEMA)
+        .repartitionById(number, "shard")
+        .sortWithinPartitions("shard", "doc_id", "uid", "piece")
         .mapInArrow(_blocks, BLOCK_SCHEMA)
         .write.parquet(f"{folder}/blocks")
     )
@@ -470,7 +524,7 @@ def digests(spark: SparkSession, folder: str) -> DataFrame:
 
     A document in several pieces gets the checksum of all its ids from those of the pieces.
     """
-    pieces = read(spark, folder, with_ids=False)
+    pieces = stage(read(spark, folder, with_ids=False), "token-pieces")
     whole = pieces.where("whole").select("doc_id", "start", F.col("n").alias("n_tokens"), "ids_crc32")
     long = (
         pieces.where("not whole")
