@@ -100,15 +100,15 @@ def shingles(text: bytes) -> np.ndarray:
     return _runs(_word_hashes(text))
 
 
-def least_values(hashes: np.ndarray) -> np.ndarray:
+def least_values(hashes: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
     """The least value of the hashes under each permutation; of no hashes, the largest number."""
-    least = _EMPTY.copy()
-    room = np.empty((PERMUTATIONS, min(_PIECE, len(hashes))), np.uint64)
+    least = _EMPTY[:permutations].copy()
+    room = np.empty((permutations, min(_PIECE, len(hashes))), np.uint64)
     for i in range(0, len(hashes), _PIECE):
         piece = hashes[i : i + _PIECE]
         values = room[:, : len(piece)]
-        np.multiply(_A, piece, out=values)
-        np.add(values, _B, out=values)
+        np.multiply(_A[:permutations], piece, out=values)
+        np.add(values, _B[:permutations], out=values)
         np.minimum(least, values.min(axis=1), out=least)
     return least
 

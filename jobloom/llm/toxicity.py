@@ -1,35 +1,52 @@
 """Toxicity by weak supervision.
 
-1. Voters look at a text: word lists, groups of mined words and word beginnings, and
-   patterns. Each votes toxic, clean, or not at all. Mined features are those that training
-   rows labelled toxic have far more often than the others.
+1. Voters look at a text (``toxicity_votes``): word lists by language and kind, patterns such
+   as masked or spaced insults, and families of mined words and word beginnings. Each votes
+   toxic, clean, or not at all. Mined features are those that training rows labelled toxic
+   have significantly and far more often than the others.
 2. A generative label model estimates by EM how often each voter votes what in each class,
-   and how strongly voters agree beyond the class; voters that repeat one another count
-   less. It gives every training text a probability.
-   It is fitted to the votes on all documents, without labels.
+   and how strongly voters agree beyond the class and beyond what their construction makes
+   them; voters that repeat one another count less. It starts from the labelled training
+   rows, is fitted to the votes on all documents, and gives every training text a
+   probability.
 3. A linear classifier (logistic, L1) on the features is trained on those probabilities.
-   Groups of near copies weigh as one text, and what only they share gets no weight.
 
-Mining and the prior count all labelled training rows, the label model the votes on all
-documents. Only the classifier is fitted on a bounded sample of the labelled training texts
-(SAMPLE_TOXIC, SAMPLE_CLEAN), weighted back to the classes' true sizes.
+Mining and the prior count all labelled training rows, near copies once; the label model
+counts the votes on all documents. Only the classifier is fitted on a bounded sample of the
+labelled training texts (SAMPLE_TOXIC, SAMPLE_CLEAN), weighted back to the classes' true
+sizes; so of the mined features those count that its toxic texts have, and that bounds
+the model. Texts are described where they are read; what is shuffled are their different
+words, without repeats, of the training folds alone.
 """
 
 from __future__ import annotations
 
-import re
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobloom.llm.common import id_crc, prepare, table
-from jobloom.llm.simhash_dedup import print_groups, text_fingerprint
+from jobloom.llm.common import id_crc, prepare, table, utf8
+from jobloom.llm.minhash import least_values, shingles
+from jobloom.llm.toxicity_votes import (
+    BEGINNINGS,
+    LEXICONS,
+    PATTERNS,
+    Cues,
+    distinct_features,
+    features_of,
+    patterns_of,
+    wider,
+    without_blurred,
+    words_of,
+)
 from jobloom.session import stage
 
 FOLDS = 3
@@ -38,270 +55,309 @@ THRESHOLD = 0.7
 # Labelled texts that the classifier is fitted on at most, by label; those of the least hash.
 SAMPLE_TOXIC = 4000
 SAMPLE_CLEAN = 8000
-# Mined features: least number of unlike texts, least log-ratio, most features.
+# Mined features: least number of unlike toxic texts, least log-ratio, and the number of
+# features that may seem toxic by chance alone.
 LEAST_TEXTS = 4
-LEAST_LOG_RATIO = 4.0
-MOST_FEATURES = 2000
-MINED_VOTERS = 6
-PREFIXES = (4, 5)
+LEAST_LOG_RATIO = 3.0
+BY_CHANCE = 0.05
 L1 = 2e-4
+ROUNDS = 12
+# Labelled texts with a certain vote that each class may have besides those seen, and how
+# many times all documents together the labelled rows weigh.
+DOUBT = 5.0
+KNOWN_WEIGHT = 10.0
+COPY_VALUES = 4  # texts that agree in so many least values of MinHash count once
+FILTER_BITS = 22
+FEATURES_HELD = 200_000  # entries that a task counts before it hands them on
 
-# Insults and contempt, by kind.
-LEXICONS = {
-    "person": ["idiot", "moron", "loser", "clown", "imbecile", "fool", "jerk", "bastard",
-               "bitch", "asshole", "cretin", "dimwit", "scumbag", "whore", "slut"],
-    "contempt": ["worthless", "pathetic", "stupid", "dumb", "retarded", "useless", "brainless",
-                 "shut", "hate", "despise", "kill"],
-    "disgust": ["trash", "scum", "disgusting", "vermin", "filth", "garbage", "vile", "sick",
-                "shit", "crap", "fuck", "fucking", "damn"],
-}
-# Words of the lists that plain texts use too: they vote only beside another word.
-PLAIN_TOO = ["shut", "hate", "kill", "sick", "useless", "fool", "damn", "garbage", "vile", "despise"]
 
-WORD = re.compile(r"[^\W\d_]+")
-_STRONG = {w for words in LEXICONS.values() for w in words} - set(PLAIN_TOO)
+def _copy_key(text: str | None) -> int:
+    """Equal for copies, and mostly for near copies; never, but by chance, for unlike texts."""
+    least = least_values(shingles(utf8(text or "")), COPY_VALUES)
+    return xxhash.xxh64_intdigest(least.tobytes()) - (1 << 63)
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
-
-
-def features_of(words: set[str]) -> set[str]:
-    """The words, and their beginnings marked by a tilde."""
-    found = {w for w in words if len(w) > 2}
-    for n in PREFIXES:
-        found.update(w[:n] + "~" for w in words if len(w) > n)
-    return found
-
-
-def _is_repeated(words: list[str]) -> bool:
-    return sum(w in _STRONG for w in words) > 1
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, copy, words, patterns) of texts: the different words in order."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        words = [words_of(t) for t in texts]
+        distinct = list(map(set, words))
+        yield pa.record_batch(
+            [
+                batch.column(0), pa.array(map(_copy_key, texts), pa.int64()),
+                pa.array([" ".join(sorted(d)) for d in distinct], pa.string()),
+                pa.array(map(patterns_of, texts, words, distinct), pa.int32()),
+            ],
+            names=["doc_id", "copy", "words", "patterns"],
+        )
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of all labelled rows outside the held-out fold."""
+    """(toxic, copy, words, patterns) of all labelled rows outside the held-out fold, one row
+    for each group of near copies: that of the first words."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .where(id_crc() % FOLDS != HELD_OUT_FOLD)
-        .groupBy("doc_id")
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("toxic").cast("long").alias("toxic"))
     )
-    # The fold again, so that texts of the held-out one are not shuffled.
     return (
-        docs.where(id_crc() % FOLDS != HELD_OUT_FOLD).select("doc_id", "text")
-        .join(known, "doc_id").select("text", "toxic")
+        docs.where(id_crc() % FOLDS != HELD_OUT_FOLD)
+        .select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        .mapInArrow(_described, "doc_id long, copy long, words string, patterns int")
+        .join(known, "doc_id")
+        .groupBy("toxic", "copy").agg(F.min(F.struct("words", "patterns")).alias("text"))
+        .select("toxic", "copy", "text.words", "text.patterns")
     )
 
 
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, print, words, repeated): the different words in order, and whether listed ones
-    come again."""
-    for batch in batches:
-        texts = batch.column(0).to_pylist()
-        words = [words_of(t) for t in texts]
-        yield pa.record_batch(
-            [
-                batch.column(1), pa.array(map(text_fingerprint, texts), pa.int64()),
-                pa.array([" ".join(sorted(set(w))) for w in words], pa.string()),
-                pa.array(map(_is_repeated, words), pa.bool_()),
-            ],
-            names=["toxic", "print", "words", "repeated"],
-        )
+def _totals(rows: DataFrame) -> tuple[int, int]:
+    """Groups of toxic and of clean texts."""
+    found = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    return found.get(1, 0), found.get(0, 0)
 
 
-def _grouped(labelled: DataFrame) -> DataFrame:
-    """(toxic, root, words, repeated) of labelled texts, those of equal words and print once.
-    Near copies have the same root: the component of their fingerprint."""
-    texts = stage(
-        labelled.select("text", "toxic")
-        .mapInArrow(_described, "toxic long, print long, words string, repeated boolean")
-        .distinct(),
-        "toxicity-texts",
-    )
-    return texts.join(print_groups(texts.select("print")), "print").select(
-        "toxic", "root", "words", "repeated"
-    )
+def _feature_counts(rows: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """(feature, n): the rows that have it, summed within the task as long as there is room;
+    with ``bits`` only of features that pass this filter."""
+    shared = bits is not None and rows.sparkSession.sparkContext.broadcast(bits)
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        passes: dict[str, bool] = {}
+
+        def rows_of() -> pa.RecordBatch:
+            arrays = [pa.array(list(counts), pa.string()), pa.array(counts.values(), pa.int64())]
+            counts.clear()
+            passes.clear()
+            return pa.record_batch(arrays, names=["feature", "n"])
+
+        def wanted(feature: str) -> bool:
+            found = passes.get(feature)
+            if found is None:
+                place = xxhash.xxh64_intdigest(utf8(feature), 42) >> (64 - FILTER_BITS)
+                found = passes[feature] = bool(shared.value[place >> 3] >> (place & 7) & 1)
+            return found
+
+        for batch in batches:
+            for words in batch.column(0).to_pylist():
+                found = features_of(set(words.split(" ")))
+                counts.update(filter(wanted, found) if shared else found)
+                if len(counts) + len(passes) // 4 > FEATURES_HELD:
+                    yield rows_of()
+        yield rows_of()
 
-def _feature_names(words: Column) -> Column:
-    """What features_of gives, as an array column."""
-    each = F.split(words, " ")
+    return (
+        rows.select("words").mapInArrow(counted, "feature string, n long")
+        .groupBy("feature").agg(F.sum("n").alias("n"))
+    )
 
-    def begun(n: int) -> Column:
-        longer = F.filter(each, lambda w: F.length(w) > n)
-        return F.transform(longer, lambda w: F.concat(F.substring(w, 1, n), F.lit("~")))
 
-    return F.array_distinct(
-        F.concat(F.filter(each, lambda w: F.length(w) > 2), *map(begun, PREFIXES))
+def _filter_of(features: DataFrame) -> np.ndarray:
+    """A filter of 2**FILTER_BITS bits, of which at most a 64th as many numbers come to the
+    driver. A fuller filter only lets more features through to the join."""
+    bit = F.shiftrightunsigned(F.xxhash64("feature"), 64 - FILTER_BITS)
+    found = (
+        features.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")).collect()
     )
+    numbers = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for row in found:
+        numbers[row.word] = row.bits
+    return numbers.view(np.uint8)
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """(feature, a, b): the toxic and clean groups of all features of LEAST_TEXTS toxic ones."""
+    candidates = stage(
+        _feature_counts(rows.where("toxic = 1")).where(F.col("n") >= LEAST_TEXTS)
+        .select("feature", F.col("n").alias("a")),
+        "toxicity-candidates",
+    )
+    others = _feature_counts(rows.where("toxic = 0"), _filter_of(candidates))
+    counted = candidates.join(others, "feature", "left")
+    return stage(counted.select("feature", "a", F.coalesce("n", F.lit(0)).alias("b")), "toxicity-counted")
 
 
-def _totals(grouped: DataFrame) -> tuple[int, int]:
-    """Groups with a toxic and with a clean text."""
-    found = {
-        r.toxic: r["count"]
-        for r in grouped.select("toxic", "root").distinct().groupBy("toxic").count().collect()
-    }
-    return found.get(1, 0), found.get(0, 0)
+def _typical(counted: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """The features that are typical of toxic groups.
+
+    By Chernoff's bound, a feature without relation to the label has its share of toxic
+    groups with a chance of at most exp(-n * divergence); over all candidates BY_CHANCE of
+    them may pass.
+    """
+    number = counted.count()
+    n, share = F.col("a") + F.col("b"), toxic / (toxic + clean)
+    own = F.col("a") / n
+    rest = F.when(F.col("b") > 0, (1 - own) * F.log((1 - own) / F.lit(1 - share))).otherwise(0.0)
+    divergence = own * F.log(own / F.lit(share)) + rest
+    ratio = F.log((F.col("a") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("b") + 0.5) / F.lit(clean + 1.0))
+    surprise = math.log(max(number, 1) / BY_CHANCE)
+    return counted.where((ratio >= LEAST_LOG_RATIO) & (own > share) & (n * divergence >= surprise))
 
 
-def _sample(grouped: DataFrame) -> pa.Table:
+def _sample(rows: DataFrame) -> DataFrame:
     """At most SAMPLE_TOXIC + SAMPLE_CLEAN of the labelled texts, by the hash of their words."""
     def least(value: int, most: int) -> DataFrame:
-        of_label = grouped.where(F.col("toxic") == value)
-        return of_label.orderBy(F.xxhash64("words"), "words", "root", "repeated").limit(most)
+        of_label = rows.where(F.col("toxic") == value)
+        return of_label.orderBy(F.xxhash64("words"), "words", "copy").limit(most)
 
-    return least(1, SAMPLE_TOXIC).union(least(0, SAMPLE_CLEAN)).toArrow()
+    return stage(least(1, SAMPLE_TOXIC).union(least(0, SAMPLE_CLEAN)), "toxicity-sample")
 
 
-def _sample_weights(toxic: np.ndarray, root: np.ndarray, totals: tuple[int, int]) -> np.ndarray:
-    """A group weighs as one text on each side, and each side as all its groups."""
-    _, group, size = np.unique(np.stack((toxic, root)), axis=1, return_inverse=True, return_counts=True)
-    weight = 1 / size[group.reshape(-1)]
-    for value, total in zip((1, 0), totals, strict=True):
-        side = toxic == value
-        weight[side] *= total / weight[side].sum()
-    return weight
-
+def _features(counted: DataFrame, sample: DataFrame, totals: tuple[int, int]) -> list[str]:
+    """The mined features, of those that the sample's toxic texts have, which bounds them."""
+    spark = counted.sparkSession
+    seen = _feature_counts(sample.where("toxic = 1")).select("feature")
+    counts = {
+        r.feature: (r.a, r.b)
+        for r in _typical(counted, *totals).join(seen, "feature", "left_semi").collect()
+    }
+    wide = spark.createDataFrame([(w,) for w in sorted({w for f in counts for w in wider(f)})], "feature string")
+    stems = F.array_distinct(F.transform(
+        F.array(*map(F.lit, BEGINNINGS)), lambda n: F.substring(F.substring_index("feature", "~", 1), F.lit(1), n)
+    ))
+    # How many candidates begin alike.
+    crowds = counted.select(F.explode(stems).alias("stem")).groupBy("stem").agg(F.count(F.lit(1)).alias("candidates"))
+    around = {
+        r.feature: (r.a, r.b, r.candidates)
+        for r in counted.join(wide, "feature")
+        .withColumn("stem", F.substring_index("feature", "~", 1)).join(crowds, "stem").collect()
+    }
+    kept = distinct_features(counts, around, BY_CHANCE)
+    return without_blurred({f: counts[f] for f in kept})
 
-def _mined(grouped: DataFrame, toxic: int, clean: int) -> list[str]:
-    """Features of unlike toxic texts that few clean texts have, a group of near copies counted
-    once on each side; at most MOST_FEATURES."""
-    if not toxic or not clean:
-        return []
-    counted = (
-        grouped.select("toxic", "root", F.explode(_feature_names(F.col("words"))).alias("feature"))
-        .distinct()
-        .groupBy("feature")
-        .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-        .where(F.col("a") >= LEAST_TEXTS)
-    )
-    ratio = F.log((F.col("a") + 0.5) / F.lit(toxic + 1.0)) - F.log(
-        (F.col("b") + 0.5) / F.lit(clean + 1.0)
-    )
-    best = (
-        counted.withColumn("ratio", ratio)
-        .where(F.col("ratio") >= LEAST_LOG_RATIO)
-        .orderBy(F.desc(F.col("ratio") * F.col("a")), "feature")
-        .limit(MOST_FEATURES)
-    )
-    return [r.feature for r in best.collect()]
 
-
-@dataclass
-class Features:
-    """Columns of the classifier: mined features, the word lists, and listed words repeated."""
-
-    place: dict[str, int]
-
-    @property
-    def width(self) -> int:
-        return len(self.place) + len(LEXICONS) + 1
-
-    def of(self, text: str | None) -> list[int]:
-        words = words_of(text)
-        return self.of_words(set(words), _is_repeated(words))
-
-    def of_words(self, words: set[str], repeated: bool) -> list[int]:
-        place = self.place
-        found = {place[w] for w in words if w in place}
-        for n in PREFIXES:
-            found.update(place[p] for w in words if len(w) > n and (p := w[:n] + "~") in place)
-        strong = not words.isdisjoint(_STRONG)
-        for i, listed in enumerate(LEXICONS.values()):
-            hits = words.intersection(listed)
-            if hits and (strong or len(hits) > 1):
-                found.add(len(place) + i)
-        if repeated:
-            found.add(len(place) + len(LEXICONS))
-        return sorted(found)
-
-
-def votes_of(rows: list[list[int]], features: Features) -> np.ndarray:
-    """texts x voters: +1 toxic, -1 clean, 0 no vote."""
-    mined = len(features.place)
-    votes = np.zeros((len(rows), MINED_VOTERS + len(LEXICONS) + 4), np.int8)
-    for vote, row in zip(votes, rows, strict=True):
-        for f in row:
-            vote[f % MINED_VOTERS if f < mined else MINED_VOTERS + f - mined] = 1
-        hits = len(row)
-        vote[-3] = 1 if hits >= 2 else 0  # a pattern: insults come together
-        vote[-2] = 1 if hits >= 4 else 0
-        vote[-1] = -1 if hits == 0 else 0
-    return votes
-
-
-def _vote_kinds(docs: DataFrame, features: Features) -> tuple[np.ndarray, np.ndarray]:
-    """Kinds of votes on all documents, and how many documents have each. A few thousand kinds
-    at most: a voter is bound to one vote besides none, and the last three to the others."""
-    shared = docs.sparkSession.sparkContext.broadcast(features)
+def _vote_kinds(docs: DataFrame, cues: Cues) -> DataFrame:
+    """(votes, n): kinds of votes on all documents, and how many documents have each."""
+    shared = docs.sparkSession.sparkContext.broadcast(cues)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
+
+        def rows() -> pa.RecordBatch:
+            arrays = [pa.array(list(counts), pa.binary()), pa.array(counts.values(), pa.int64())]
+            counts.clear()
+            return pa.record_batch(arrays, names=["votes", "n"])
+
         for batch in batches:
-            rows = [shared.value.of(t) for t in batch.column(0).to_pylist()]
-            counts.update(vote.tobytes() for vote in votes_of(rows, shared.value))
-        yield pa.record_batch(
-            [pa.array(list(counts), pa.binary()), pa.array(counts.values(), pa.int64())],
-            names=["votes", "n"],
-        )
+            found = [shared.value.of(t) for t in batch.column(0).to_pylist()]
+            counts.update(vote.tobytes() for vote in shared.value.votes(found))
+            if len(counts) > FEATURES_HELD:
+                yield rows()
+        yield rows()
 
-    found = (
-        docs.select("text").mapInArrow(counted, "votes binary, n long")
-        .groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
+    return (
+        docs.select(F.col("text").cast("string")).mapInArrow(counted, "votes binary, n long")
+        .groupBy("votes").agg(F.sum("n").alias("n"))
     )
-    kinds = np.array([np.frombuffer(r.votes, np.int8) for r in found], np.int64)
-    return kinds, np.array([r.n for r in found], float)
 
 
 class LabelModel:
     """P(toxic | votes) from a naive model of the voters, with correlated voters sharing
-    their weight. Classes are told apart by the start: toxic is where toxic votes are."""
-
-    def __init__(self, kinds: np.ndarray, size: np.ndarray, prior: float, rounds: int = 25):
-        voters = kinds.shape[1]
-        self.weight = np.ones(voters)
-        margin = kinds.sum(axis=1)
-        chance = np.clip(1 / (1 + np.exp(-2.0 * margin)), 0.02, 0.98)
-        chance[margin == 0] = prior
-        self.prior = prior
-        hot = self._hot(kinds)
+    their weight.
+
+    What the labelled training rows show of the voters is its start and stays in the sums of
+    every round; a voter that votes alone could not be told from a wrong one otherwise. Every
+    round of EM is one pass over the kinds of votes, which brings the sums and products of
+    the voters in each class to the driver, voters x voters numbers.
+    """
+
+    def __init__(self, known: np.ndarray, prior: float, built_in: np.ndarray):
+        self.known, self.prior, self.built_in = known, prior, built_in
+        self.update(known, DOUBT)
+
+    def fit(self, kinds: DataFrame, rounds: int = ROUNDS) -> LabelModel:
+        """``kinds`` has votes and n, the number of documents with these votes."""
         for _ in range(rounds):
-            table = []
-            for share in (1 - chance, chance):
-                mass = np.einsum("k,kvc->vc", share * size, hot) + 0.1
-                table.append(mass / mass.sum(axis=1, keepdims=True))
-            self.log_ratio = np.log(table[1]) - np.log(table[0])
-            self.accuracy = table
-            self.weight = self._weights(kinds, size, chance, table)
-            chance = self._chance(hot)
-
-    @staticmethod
-    def _hot(kinds: np.ndarray) -> np.ndarray:
-        """kinds x voters x 3"""
-        return np.stack([(kinds == k).astype(float) for k in (-1, 0, 1)], 2)
-
-    def _chance(self, hot: np.ndarray) -> np.ndarray:
-        score = np.log(self.prior / (1 - self.prior)) + np.einsum(
-            "kvc,vc,v->k", hot, self.log_ratio, self.weight
-        )
-        return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+            guessed = vote_sums(kinds, self.sums, len(self.built_in))
+            scale = KNOWN_WEIGHT * guessed[:, 0, 0].sum() / max(self.known[:, 0, 0].sum(), 1)
+            self.update(self.known * scale + guessed, DOUBT * scale)
+        return self
+
+    def sums(self, votes: np.ndarray, size: np.ndarray) -> np.ndarray:
+        chance = self.posterior(votes)
+        return np.stack([_products(votes, share * size) for share in (1 - chance, chance)])
+
+    def update(self, total: np.ndarray, doubt: float) -> None:
+        """Accuracies and weights from the sums of the two classes; ``doubt`` is added to how
+        often each vote was seen in each class."""
+        self.accuracy = []
+        residual = np.zeros([len(self.built_in)] * 2)
+        for sums in total:
+            mass, first, second = sums[0, 0], sums[0, 1:], sums[1:, 1:]
+            square = np.diag(second)
+            votes = np.stack(((square - first) / 2, mass - square, (square + first) / 2), axis=1)
+            votes = np.maximum(votes, 0) + doubt
+            self.accuracy.append(votes / votes.sum(axis=1, keepdims=True))
+            residual += second - np.outer(first, first) / max(mass, 1e-9)
+        self.log_ratio = np.log(self.accuracy[1]) - np.log(self.accuracy[0])
+        self.log_ratio[:, 1] = 0  # no vote says nothing
+        scale = np.sqrt(np.maximum(np.diag(residual), 1e-9))
+        self.correlation = residual / np.outer(scale, scale)
+        # Voters that exclude each other, as those of two languages do, repeat nothing.
+        beyond = np.where(self.built_in, 0, self.correlation)
+        self.repeats = np.where(beyond > 0.1, beyond, 0).clip(0, 1)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """P(toxic) of texts x voters."""
-        return self._chance(self._hot(votes))
-
-    def _weights(self, kinds, size, chance, table) -> np.ndarray:
-        """1 / (1 + the correlations left to the other voters once the class is known)."""
-        values = np.array([-1.0, 0.0, 1.0])
-        residual = 0.0
-        for share, t in ((1 - chance, table[0]), (chance, table[1])):
-            centred = kinds - t @ values
-            residual = residual + np.einsum("k,ki,kj->ij", share * size, centred, centred)
-        scale = np.sqrt(np.maximum(np.diag(residual), 1e-9))
-        self.correlation = residual / np.outer(scale, scale)
-        beyond = np.abs(self.correlation) - np.eye(len(scale))
-        return 1 / (1 + np.where(beyond > 0.1, beyond, 0).clip(0, 1).sum(axis=1))
+        said = np.take_along_axis(self.log_ratio, votes.T.astype(np.int64) + 1, axis=1).T
+        # A vote is shared with the votes that it goes together with.
+        shared = 1 + (votes != 0) @ self.repeats
+        score = math.log(self.prior / (1 - self.prior)) + (said / shared).sum(axis=1)
+        return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+
+
+def _products(votes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Weighted sums of products of the voters, and of one more that always votes 1."""
+    wide = np.concatenate((np.ones((len(votes), 1)), votes), axis=1)
+    return (wide * size[:, None]).T @ wide
+
+
+def vote_sums(votes: DataFrame, sums, voters: int) -> np.ndarray:
+    """class x (1 + voters) x (1 + voters): ``sums`` of all rows (votes, n).
+
+    Tasks hand on whole numbers, in units of 2**-20, so their order changes nothing.
+    """
+    width = 1 + voters
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, width, width))
+        for batch in batches:
+            rows = np.array([np.frombuffer(v, np.int8) for v in batch.column(0).to_pylist()], np.int8)
+            total += sums(rows.reshape(len(rows), voters), batch.column(1).to_numpy())
+        at = np.flatnonzero(total.ravel())
+        values = np.round(total.ravel()[at] * (1 << 20)).astype(np.int64)
+        yield pa.record_batch([pa.array(at), pa.array(values)], names=["at", "value"])
+
+    found = (
+        votes.select("votes", "n").mapInArrow(summed, "at long, value long")
+        .groupBy("at").agg(F.sum("value").alias("value")).collect()
+    )
+    total = np.zeros(2 * width * width)
+    for row in found:
+        total[row["at"]] = row["value"] / (1 << 20)
+    return total.reshape(2, width, width)
+
+
+def _by_label(votes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    return np.stack([_products(votes, toxic == value) for value in (0, 1)])
+
+
+def _labelled_votes(rows: DataFrame, cues: Cues) -> DataFrame:
+    """(votes, n) of the labelled groups; n is the label."""
+    shared = rows.sparkSession.sparkContext.broadcast(cues)
+
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = zip(*(batch.column(i).to_pylist() for i in range(2)))
+            votes = shared.value.votes([shared.value.of_words(set(w.split(" ")), p) for w, p in texts])
+            yield pa.record_batch(
+                [pa.array([v.tobytes() for v in votes], pa.binary()), batch.column(2)], names=["votes", "n"]
+            )
+
+    return rows.select("words", "patterns", "toxic").mapInArrow(voted, "votes binary, n long")
 
 
 def _logistic(rows: list[list[int]], target: np.ndarray, weight: np.ndarray, width: int):
@@ -328,41 +384,48 @@ def _logistic(rows: list[list[int]], target: np.ndarray, weight: np.ndarray, wid
 
 @dataclass
 class ToxicityModel:
-    features: Features
+    cues: Cues
     weights: np.ndarray
     bias: float
 
     def scores(self, texts: list[str | None]) -> list[float]:
-        found = []
-        for text in texts:
-            score = self.bias + sum(self.weights[f] for f in self.features.of(text))
-            found.append(float(1 / (1 + np.exp(-np.clip(score, -30, 30)))))
-        return found
+        rows = self.cues.columns([self.cues.of(t) for t in texts])
+        score = np.array([self.bias + sum(self.weights[f] for f in row) for row in rows], float)
+        return np.round(1 / (1 + np.exp(-np.clip(score, -30, 30))), 9).tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Fit on the labelled rows outside the held-out fold, and on the votes on all documents.
-    Without rows of both labels the word lists alone decide: one listed word is not enough,
+    Without rows of both labels the word lists and patterns alone decide: one is not enough,
     two are."""
-    grouped = stage(_grouped(_labelled(docs, labels)), "toxicity-groups")
-    totals = _totals(grouped)
-    features = Features({f: i for i, f in enumerate(_mined(grouped, *totals))})
+    rows = stage(_labelled(docs, labels), "toxicity-labelled")
+    totals = _totals(rows)
     if not all(totals):
-        plain = np.concatenate((np.zeros(len(features.place)), np.full(len(LEXICONS) + 1, 3.0)))
-        return ToxicityModel(features, plain, -4.0)
-    prior = float(np.clip(totals[0] / sum(totals), 0.01, 0.5))
-    model = LabelModel(*_vote_kinds(docs, features), prior)
-    sample = _sample(grouped)
-    rows = [
-        features.of_words(set(w.split()), r)
-        for w, r in zip(*(sample.column(c).to_pylist() for c in ("words", "repeated")), strict=True)
+        return ToxicityModel(Cues({}), np.full(len(LEXICONS) + len(PATTERNS), 3.0), -4.0)
+    sample = _sample(rows)
+    cues = Cues({f: i for i, f in enumerate(_features(_counted(rows), sample, totals))})
+    known = vote_sums(_labelled_votes(rows, cues), _by_label, cues.voters)
+    model = LabelModel(known, totals[0] / sum(totals), cues.built_in())
+    model.fit(stage(_vote_kinds(docs, cues), "toxicity-votes"))
+    taken = sample.select("toxic", "words", "patterns").toArrow()
+    toxic = taken.column("toxic").to_numpy()
+    found = [
+        cues.of_words(set(w.split(" ")), p)
+        for w, p in zip(*(taken.column(c).to_pylist() for c in ("words", "patterns")), strict=True)
     ]
-    toxic, root = (sample.column(c).to_numpy() for c in ("toxic", "root"))
     weights, bias = _logistic(
-        rows, model.posterior(votes_of(rows, features)), _sample_weights(toxic, root, totals),
-        features.width,
+        cues.columns(found), model.posterior(cues.votes(found)), _sample_weights(toxic, totals), cues.width
     )
-    return ToxicityModel(features, weights, bias)
+    return ToxicityModel(cues, weights, bias)
+
+
+def _sample_weights(toxic: np.ndarray, totals: tuple[int, int]) -> np.ndarray:
+    """Each side weighs as all its groups."""
+    weight = np.ones(len(toxic))
+    for value, total in zip((1, 0), totals, strict=True):
+        side = toxic == value
+        weight[side] = total / max(side.sum(), 1)
+    return weight
 
 
 def toxicity_of(model: ToxicityModel, text: Column, docs: DataFrame) -> Column:

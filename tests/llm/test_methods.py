@@ -278,7 +278,7 @@ def test_held_out_accuracy(spark, name, truth):
         assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
     else:
         assert np.mean([r.predicted for r in rows if r.toxic == 0]) < 0.02
-        assert np.mean([r.predicted for r in rows if r.toxic == 1]) > 0.3
+        assert np.mean([r.predicted for r in rows if r.toxic == 1]) > 0.6
 
 
 def test_pipeline_stages(spark):
