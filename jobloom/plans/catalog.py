@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from jobloom import fixed_values as fv
 from jobloom.functions import extract as ex
 from jobloom.functions import text as tx
-from jobloom.operators import decide, normalize, pages, validate
+from jobloom.operators import decide, normalize, pages, rule_tables, validate
 from jobloom.operators.dedupe import first_postings, first_records, keep_first
 from jobloom.operators.ordering import number_rows, record_id
 from jobloom.plans import testdata as td
@@ -258,7 +258,7 @@ def loc_match(spark, sf):
 
 @_query
 def loc_match_long_list(spark, sf):
-    # Past the unrolling limit: a hundred places that never match come before the states.
+    # A thousand places that never match come before the states.
     places = tuple(f"Parish {i}" for i in range(1_000)) + INCLUSION.locations
     rules = decide.InclusionRules(locations=places)
     return _one_rule(spark, sf, decide.location_inclusion, inclusion=rules)
@@ -281,6 +281,54 @@ def excl_title_long_list(spark, sf):
     return _one_rule(spark, sf, decide.title_exclusion, exclusion=rules)
 
 
+# --- rules as tables ---
+
+
+def _searched(spark, sf):
+    text = F.concat_ws(" ", "job_title", "company", "url")
+    return td.postings(spark, sf).select("ord", text.alias("text"))
+
+
+@_query
+def keyword_table_hits(spark, sf):
+    return rule_tables.keyword_hits(_searched(spark, sf), td.keywords(spark, sf))
+
+
+@_query
+def keyword_table_any(spark, sf):
+    parts = td.keywords(spark, sf).where("startswith(keyword, 'D')")
+    return rule_tables.having_any(_searched(spark, sf), parts).select("ord")
+
+
+@_query
+def keyword_table_none(spark, sf):
+    parts = td.keywords(spark, sf).where("startswith(keyword, 'D')")
+    return rule_tables.having_none(_searched(spark, sf), parts).select("ord")
+
+
+@_query
+def location_table_first(spark, sf):
+    rules = spark.sql(td.PLACES_SQL, customer=td.table(spark, sf, "customer"))
+    rules = rules.withColumn("sheet_id", F.lit("places"))
+    placed = td.postings(spark, sf).select(
+        "ord", F.lit("places").alias("sheet_id"), tx.normalized(F.col("location")).alias("location")
+    )
+    reasons = rule_tables.location_reasons(placed, rules)
+    return placed.join(reasons, ["sheet_id", "location"], "left").select("ord", "location", "reason")
+
+
+@_query
+def decision_by_sheet(spark, sf):
+    postings, inclusion, exclusion = td.own_sheets(spark, sf)
+    decided = rule_tables.decide_by_sheet(
+        postings, sheets.inclusion_rules(inclusion), sheets.exclusion_rules(exclusion)
+    )
+    return decided.select(
+        "ord", "sheet_id", "decision.included", "decision.stage",
+        F.array_join("decision.reasons", "; ").alias("reasons"),
+    )
+
+
 @_query
 def excl_description(spark, sf):
     return _one_rule(

@@ -19,7 +19,7 @@ from jobloom.plans.catalog import (
 )
 
 _SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_TABLES = {name: name for name in ("orders", "customer", "documents", "postings", "cards_html", "page_bodies")}
+_TABLES = {name: name for name in ("orders", "customer", "part", "supplier", "documents", "postings", "cards_html", "page_bodies")}
 
 
 def _q(text: str) -> str:
@@ -377,6 +377,118 @@ _KIND = f"""CASE WHEN {_EXPERIENCE_RULE} <> '' THEN 'experience_rules' WHEN {_SA
     WHEN lower(value) IN ({', '.join(map(_q, fv.CAREER_LEVEL_WORDS))}) OR contains(lower(value), 'career level') THEN 'career_level_keywords'
     WHEN len(regexp_split_to_array(value, '\\s+')) <= 2 THEN 'title_keywords' ELSE 'description_keywords' END"""
 
+def _inclusion_steps(sql: str) -> tuple[str, str]:
+    return (
+        _sheet_value(sql),
+        f"""marked AS (SELECT *, {_SECTION} AS section, max({_ENDS}::INT) OVER w AS ended,
+              last_value(CASE WHEN value = '' THEN '' ELSE {_SECTION} END IGNORE NULLS) OVER w AS inside
+              FROM cells WINDOW w AS (PARTITION BY sheet_id ORDER BY ord ROWS UNBOUNDED PRECEDING))""",
+    )
+
+
+_INCLUSION_ROWS = """SELECT sheet_id, coalesce(nullif(inside, ''), 'other_rules') AS bucket, ord, value FROM marked
+          WHERE ended = 0 AND value <> '' AND section IS NULL"""
+
+
+def _exclusion_steps(sql: str) -> tuple[str, str]:
+    return (
+        _sheet_value(sql),
+        f"""kinds AS (SELECT *, {_KIND} AS bucket, CAST(replace(CASE WHEN {_EXPERIENCE_RULE} <> '' THEN {_EXPERIENCE_RULE}
+              ELSE nullif({_SALARY_RULE}, '') END, ',', '') AS BIGINT) AS num_value FROM cells WHERE value <> '')""",
+    )
+
+
+_EXCLUSION_ROWS = """SELECT sheet_id, 'raw_rules' AS bucket, ord, value, CAST(NULL AS BIGINT) AS num_value FROM kinds
+          UNION ALL SELECT sheet_id, bucket, ord, value, num_value FROM (SELECT * FROM kinds WHERE bucket LIKE '%keywords'
+            QUALIFY row_number() OVER (PARTITION BY sheet_id, bucket, value ORDER BY ord) = 1)
+          UNION ALL SELECT sheet_id, bucket, ord, value, num_value FROM (SELECT * FROM kinds WHERE bucket LIKE '%\\_rules' ESCAPE '\\'
+            QUALIFY row_number() OVER (PARTITION BY sheet_id, bucket ORDER BY ord DESC) = 1)"""
+
+
+# --- rules as tables: every rule with every row ---
+
+_KEYWORDS = f"words AS (SELECT DISTINCT keyword, {_strip('keyword')} AS needle FROM ({td.KEYWORDS_SQL.format(customer='customer', part='part', supplier='supplier')}))"
+_SEARCHED = "searched AS (SELECT ord, concat(job_title, ' ', company, ' ', url) AS txt, lower(txt) AS low FROM postings)"
+
+
+def _occurs(text: str, low: str, needle: str) -> str:
+    return (
+        f"CASE WHEN length({needle}) > {fv.SHORT_KEYWORD_LENGTH} THEN contains({low}, lower({needle})) "
+        f"WHEN contains({low}, lower({needle})) THEN "
+        f"regexp_matches({text}, concat('(?i)(^|[^A-Za-z])', regexp_escape({needle}), '([^A-Za-z]|$)')) ELSE false END"
+    )
+
+
+_PLACE_TOKEN = "CASE wanted " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fv.STATE_TOKENS.items()) + " END"
+
+
+def _place_reason(where: str) -> str:
+    """First matching rule for each location; ``where`` names (sheet_id, location) and rules."""
+    return f"""SELECT sheet_id, location, arg_min(CASE WHEN contains(location, wanted) THEN concat('matched location ''', value, '''')
+        ELSE concat('matched location abbreviation for ''', value, '''') END, ord) AS reason
+      FROM (SELECT *, {_PLACE_TOKEN} AS token FROM {where})
+      WHERE wanted <> '' AND location <> '' AND (contains(location, wanted)
+        OR coalesce(regexp_matches(location, '(^|[^A-Za-z])' || token || '([^A-Za-z]|$)'), false))
+      GROUP BY sheet_id, location"""
+
+
+_SHEET_BUCKETS = (
+    ("including", "title_keywords", "t", "job_title", "title inclusion keyword"),
+    ("including", "description_keywords", "d", "description", "description inclusion keyword"),
+    ("including", "keywords", "k", _BLOB, "inclusion keyword"),
+    ("excluding", "title_keywords", "xt", "job_title", "excluded title keyword"),
+    ("excluding", "description_keywords", "xd", "description", "excluded description keyword"),
+    ("excluding", "career_level_keywords", "xc", _BLOB, "excluded career-level keyword"),
+)
+
+
+def _own_sheet_steps() -> list[str]:
+    found = ",\n".join(
+        f"""hits_{name} AS (SELECT p.ord, string_agg(concat('{said} ''', value, ''''), '; ' ORDER BY r.ord) AS found
+          FROM own p JOIN {table} r USING (sheet_id) WHERE bucket = '{bucket}' AND {_occurs(text, f'lower({text})', 'value')} GROUP BY p.ord)"""
+        for table, bucket, name, text, said in _SHEET_BUCKETS
+    )
+    joined = " ".join(f"LEFT JOIN hits_{name} ON hits_{name}.ord = own.ord" for _, _, name, _, _ in _SHEET_BUCKETS)
+    return [
+        f"own AS (SELECT *, {_norm('location')} AS nloc FROM ({td.OWN_SHEETS_SQL.format(postings='postings')}))",
+        f"including AS ({_steps(*_inclusion_steps(td.OWN_INCLUSION_SQL))}{_INCLUSION_ROWS})",
+        f"excluding AS ({_steps(*_exclusion_steps(td.OWN_EXCLUSION_SQL))}{_EXCLUSION_ROWS})",
+        found,
+        "place AS (" + _place_reason(
+            "(SELECT DISTINCT o.sheet_id, nloc AS location, r.ord, r.value, " + _norm("r.value")
+            + " AS wanted FROM own o JOIN including r ON r.sheet_id = o.sheet_id AND r.bucket = 'locations')"
+        ) + ")",
+        """facts AS (SELECT sheet_id, bool_or(bucket = 'locations') AS has_locations,
+          bool_or(bucket IN ('keywords', 'title_keywords', 'description_keywords')) AS has_keywords FROM including GROUP BY sheet_id)""",
+        """limits AS (SELECT sheet_id, max(num_value) FILTER (WHERE bucket = 'experience_rules') AS most_years,
+          max(num_value) FILTER (WHERE bucket = 'salary_rules') AS most_pay FROM excluding GROUP BY sheet_id)""",
+        f"""ruled AS (SELECT own.ord, own.sheet_id,
+          CASE WHEN NOT coalesce(has_locations, false) THEN 'no location inclusion rules configured' WHEN nloc = '' THEN 'missing location'
+            ELSE coalesce(place.reason, 'location not in inclusion list') END AS r_location,
+          CASE WHEN NOT coalesce(has_keywords, false) THEN 'no keyword inclusion rules configured'
+            ELSE coalesce(nullif(concat_ws('; ', hits_t.found, hits_d.found, hits_k.found), ''), 'no inclusion keywords matched title/description') END AS r_relevance,
+          coalesce(hits_xt.found, '') AS r_title, coalesce(hits_xd.found, '') AS r_description, coalesce(hits_xc.found, '') AS r_career,
+          {_MOST_YEARS} AS n_years, {_LEAST_PAY} AS n_pay, most_years, most_pay
+        FROM own {joined} LEFT JOIN place ON place.sheet_id = own.sheet_id AND place.location = nloc
+          LEFT JOIN facts ON facts.sheet_id = own.sheet_id LEFT JOIN limits ON limits.sheet_id = own.sheet_id)""",
+        """limited AS (SELECT *,
+          CASE WHEN n_years > most_years THEN concat('experience requirement ', n_years, ' years exceeds maximum ', most_years) ELSE '' END AS r_experience,
+          CASE WHEN n_pay > most_pay THEN concat('salary/pay ', n_pay, ' exceeds maximum annual ', most_pay) ELSE '' END AS r_salary FROM ruled)""",
+        """staged AS (SELECT *, CASE WHEN r_location IN ('missing location', 'location not in inclusion list') THEN 'inclusion:location'
+            WHEN starts_with(r_relevance, 'no inclusion') THEN 'inclusion:relevance' WHEN r_title <> '' THEN 'exclusion:title_keywords'
+            WHEN r_description <> '' THEN 'exclusion:description_keywords' WHEN r_career <> '' THEN 'exclusion:career_level'
+            WHEN r_experience <> '' THEN 'exclusion:experience' WHEN r_salary <> '' THEN 'exclusion:salary' ELSE 'accepted' END AS stage FROM limited)""",
+    ]
+
+
+_OWN_SHEET_ROWS = """SELECT ord, sheet_id, stage = 'accepted' AS included, stage,
+  CASE stage WHEN 'inclusion:location' THEN r_location WHEN 'inclusion:relevance' THEN concat(r_location, '; ', r_relevance)
+    ELSE concat(r_location, '; ', r_relevance, '; ', CASE stage WHEN 'exclusion:title_keywords' THEN r_title
+      WHEN 'exclusion:description_keywords' THEN r_description WHEN 'exclusion:career_level' THEN r_career
+      WHEN 'exclusion:experience' THEN r_experience WHEN 'exclusion:salary' THEN r_salary ELSE 'passed all exclusion rules' END) END AS reasons
+FROM staged"""
+
+
 _DICTIONARY = f"""cells AS ({td.DICTIONARY_SHEETS_SQL.format(**_TABLES)}),
 heads AS (SELECT sheet_id, ord AS head, lower(trim(c1)) AS h1, lower(trim(c2)) AS h2, lower(trim(c3)) AS h3 FROM cells
   WHERE lower(coalesce(nullif(trim(c0), ''), nullif(trim(c1), ''), nullif(trim(c2), ''), nullif(trim(c3), ''))) = 'variable name'
@@ -564,24 +676,21 @@ def oracle_sql() -> dict[str, str]:
         "raw_archive": _steps(POSTINGS)
         + """SELECT ord, job_title, company, location, salary, description, url, 'r1' AS run,
           left(collected_at, 7) AS ingest_date FROM postings""",
-        "rules_inclusion": _steps(
-            _sheet_value(td.INCLUSION_SHEETS_SQL),
-            f"""marked AS (SELECT *, {_SECTION} AS section, max({_ENDS}::INT) OVER w AS ended,
-              last_value(CASE WHEN value = '' THEN '' ELSE {_SECTION} END IGNORE NULLS) OVER w AS inside
-              FROM cells WINDOW w AS (PARTITION BY sheet_id ORDER BY ord ROWS UNBOUNDED PRECEDING))""",
+        "rules_inclusion": _steps(*_inclusion_steps(td.INCLUSION_SHEETS_SQL)) + _INCLUSION_ROWS,
+        "rules_exclusion": _steps(*_exclusion_steps(td.EXCLUSION_SHEETS_SQL)) + _EXCLUSION_ROWS,
+        "keyword_table_hits": _steps(POSTINGS, _SEARCHED, _KEYWORDS)
+        + f"SELECT ord, keyword FROM searched JOIN words ON needle <> '' AND {_occurs('txt', 'low', 'needle')}",
+        "keyword_table_any": _steps(POSTINGS, _SEARCHED, _KEYWORDS)
+        + f"SELECT ord FROM searched WHERE EXISTS (SELECT 1 FROM words WHERE starts_with(keyword, 'D') AND contains(low, lower(needle)))",
+        "keyword_table_none": _steps(POSTINGS, _SEARCHED, _KEYWORDS)
+        + f"SELECT ord FROM searched WHERE NOT EXISTS (SELECT 1 FROM words WHERE starts_with(keyword, 'D') AND contains(low, lower(needle)))",
+        "location_table_first": _steps(
+            POSTINGS, f"placed AS (SELECT ord, 'places' AS sheet_id, {_norm('location')} AS location FROM postings)",
+            f"rules AS (SELECT ord, value, {_norm('value')} AS wanted FROM ({td.PLACES_SQL.format(customer='customer')}))",
+            "place AS (" + _place_reason("(SELECT * FROM (SELECT DISTINCT sheet_id, location FROM placed) CROSS JOIN rules)") + ")",
         )
-        + """SELECT sheet_id, coalesce(nullif(inside, ''), 'other_rules') AS bucket, ord, value FROM marked
-          WHERE ended = 0 AND value <> '' AND section IS NULL""",
-        "rules_exclusion": _steps(
-            _sheet_value(td.EXCLUSION_SHEETS_SQL),
-            f"""kinds AS (SELECT *, {_KIND} AS bucket, CAST(replace(CASE WHEN {_EXPERIENCE_RULE} <> '' THEN {_EXPERIENCE_RULE}
-              ELSE nullif({_SALARY_RULE}, '') END, ',', '') AS BIGINT) AS num_value FROM cells WHERE value <> '')""",
-        )
-        + """SELECT sheet_id, 'raw_rules' AS bucket, ord, value, CAST(NULL AS BIGINT) AS num_value FROM kinds
-          UNION ALL SELECT sheet_id, bucket, ord, value, num_value FROM (SELECT * FROM kinds WHERE bucket LIKE '%keywords'
-            QUALIFY row_number() OVER (PARTITION BY sheet_id, bucket, value ORDER BY ord) = 1)
-          UNION ALL SELECT sheet_id, bucket, ord, value, num_value FROM (SELECT * FROM kinds WHERE bucket LIKE '%\\_rules' ESCAPE '\\'
-            QUALIFY row_number() OVER (PARTITION BY sheet_id, bucket ORDER BY ord DESC) = 1)""",
+        + "SELECT ord, location, reason FROM placed LEFT JOIN place USING (sheet_id, location)",
+        "decision_by_sheet": _steps(POSTINGS, *_own_sheet_steps()) + _OWN_SHEET_ROWS,
         "dictionary_fields": _steps(_DICTIONARY)
         + "SELECT sheet_id, ord, variable_name, label, data_type, allowed_values_kept FROM fields",
         "allowed_values": _steps(

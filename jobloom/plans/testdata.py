@@ -126,6 +126,53 @@ FROM {{orders}}
 """
 
 
+# Postings whose rules are those of their company. A third of all names one company's sheet.
+OWN_SHEETS_SQL = """
+SELECT *, CASE WHEN ord % 3 = 0 THEN 'Customer#000000001' ELSE company END AS sheet_id FROM {postings}
+"""
+
+_LINES = "(VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) AS lines(i)"
+
+OWN_INCLUSION_SQL = f"""
+SELECT c_name AS sheet_id, c_custkey * 10 + i AS ord,
+  CASE i WHEN 0 THEN CASE WHEN c_custkey % 7 = 3 THEN '' ELSE 'Locations' END
+    WHEN 1 THEN CASE c_custkey % 4 WHEN 0 THEN 'Louisiana' WHEN 1 THEN 'Texas' WHEN 2 THEN 'Remote' ELSE ' El  Paso' END
+    WHEN 2 THEN CASE c_custkey % 3 WHEN 0 THEN 'Arkansas' WHEN 1 THEN 'LA' ELSE 'Mississippi' END
+    WHEN 3 THEN CASE WHEN c_custkey % 11 = 5 THEN '' ELSE 'Title Keywords' END
+    WHEN 4 THEN CASE c_custkey % 5 WHEN 0 THEN 'Coding' WHEN 1 THEN 'him' WHEN 2 THEN 'Nurse' WHEN 3 THEN 'rn' ELSE 'Lead' END
+    WHEN 5 THEN CASE c_custkey % 2 WHEN 0 THEN 'Chart Audit' ELSE 'STEWARD' END
+    WHEN 6 THEN CASE WHEN c_custkey % 5 = 2 THEN '' ELSE 'Keywords' END
+    WHEN 7 THEN CASE c_custkey % 3 WHEN 0 THEN 'FHIR' WHEN 1 THEN 'sql' ELSE 'role; maintain' END
+    WHEN 8 THEN 'Description Keyword' ELSE CASE c_custkey % 2 WHEN 0 THEN 'HIPAA' ELSE 'BI' END END AS c0
+FROM {{customer}} CROSS JOIN {_LINES}
+"""
+
+OWN_EXCLUSION_SQL = f"""
+SELECT c_name AS sheet_id, c_custkey * 10 + i AS ord,
+  CASE i WHEN 0 THEN concat('Surgeon ', CAST(c_custkey AS STRING)) WHEN 1 THEN CASE c_custkey % 3 WHEN 0 THEN 'RN' WHEN 1 THEN 'Planner' ELSE 'rn-2' END
+    WHEN 2 THEN CASE WHEN c_custkey % 2 = 0 THEN concat('Over ', CAST(c_custkey % 9 AS STRING), ' years experience required') ELSE '' END
+    WHEN 3 THEN CASE WHEN c_custkey % 5 < 2 THEN concat('Salary over $', CAST(40 + c_custkey % 200 AS STRING), ',000 annually') ELSE '' END
+    WHEN 4 THEN CASE WHEN c_custkey % 4 = 1 THEN 'Senior' ELSE 'Vice President' END
+    WHEN 5 THEN CASE WHEN c_custkey % 6 = 1 THEN 'contract work, communication' ELSE 'must hold active clearance' END
+    WHEN 6 THEN concat('Wing ', CAST(c_custkey AS STRING)) ELSE '' END AS c0
+FROM {{customer}} CROSS JOIN {_LINES}
+"""
+
+# Companies by name, parts as pieces of job keys, and numbers that must stand apart.
+KEYWORDS_SQL = """
+SELECT c_name AS keyword FROM {customer}
+UNION ALL SELECT concat('D', CAST(p_partkey AS STRING), 'X') AS keyword FROM {part}
+UNION ALL SELECT CAST(s_suppkey AS STRING) AS keyword FROM {supplier}
+UNION ALL SELECT concat('  ', p_name, ' ') AS keyword FROM {part}
+"""
+
+# Places, most of which nothing matches, in order.
+PLACES_SQL = """
+SELECT c_custkey AS ord, CASE c_custkey % 1000 WHEN 7 THEN 'Louisiana' WHEN 8 THEN 'Texas' WHEN 9 THEN 'remote'
+  WHEN 11 THEN 'Mesa' ELSE concat('Parish ', CAST(c_custkey AS STRING)) END AS value FROM {customer}
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -152,6 +199,20 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RESULT_PAGES_SQL, page_bodies=bodies)
 
 
+def own_sheets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Postings that name their sheet, and the two kinds of sheets."""
+    customer = table(spark, sf_dir, "customer")
+    return (
+        spark.sql(OWN_SHEETS_SQL, postings=postings(spark, sf_dir)),
+        spark.sql(OWN_INCLUSION_SQL, customer=customer), spark.sql(OWN_EXCLUSION_SQL, customer=customer),
+    )
+
+
+def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("customer", "part", "supplier")
+    return spark.sql(KEYWORDS_SQL, **{n: table(spark, sf_dir, n) for n in names})
+
+
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(DETAIL_PAGES_SQL, postings=postings(spark, sf_dir))
 
