@@ -15,6 +15,7 @@ from jobloom.functions import text as tx
 from jobloom.operators import decide, normalize, pages, rule_tables, validate
 from jobloom.operators.dedupe import first_postings, first_records, keep_first
 from jobloom.operators.ordering import number_rows, record_id
+from jobloom.plans import across_runs
 from jobloom.plans import testdata as td
 from jobloom.plans.coding_run import numbered_records
 from jobloom.session import configure, new_run_folder, spread, stage
@@ -23,6 +24,7 @@ from jobloom.sources import sheets
 from jobloom.sources.frontier import search_frontier
 from jobloom.sources.plugins import or_fallback, union_sources
 from jobloom.sources.saved_pages import page_postings, scan_saved_pages
+from jobloom.streaming.ingest import with_key
 
 AS_OF = "2026-08-03"
 INCLUSION = decide.InclusionRules(
@@ -687,6 +689,17 @@ def raw_archive(spark, sf):
     )
 
 
+@_query
+def unseen_by_archive(spark, sf):
+    # Two runs: what was collected on the day of the first, and all the rest.
+    folder = new_run_folder(spark, "archived-keys")
+    keys = across_runs.open_archive(spark, folder, "archive_" + folder[-32:], 16)
+    keyed = stage(with_key(td.postings(spark, sf)), "keyed-postings")
+    first = keyed.where("collected_at = '2026-08-03'")
+    across_runs.remember(keep_first(first, F.col("posting_key")), keys, "first")
+    return across_runs.unseen(keyed.where("collected_at != '2026-08-03'"), keys).select("ord", "posting_key")
+
+
 # --- sheets ---
 
 

@@ -676,6 +676,9 @@ def oracle_sql() -> dict[str, str]:
         "raw_archive": _steps(POSTINGS)
         + """SELECT ord, job_title, company, location, salary, description, url, 'r1' AS run,
           left(collected_at, 7) AS ingest_date FROM postings""",
+        "unseen_by_archive": _steps(POSTINGS, f"keyed AS (SELECT ord, collected_at, {_POSTING_KEY} AS posting_key FROM postings)")
+        + """SELECT ord, posting_key FROM keyed WHERE collected_at <> '2026-08-03'
+          AND posting_key NOT IN (SELECT posting_key FROM keyed WHERE collected_at = '2026-08-03')""",
         "rules_inclusion": _steps(*_inclusion_steps(td.INCLUSION_SHEETS_SQL)) + _INCLUSION_ROWS,
         "rules_exclusion": _steps(*_exclusion_steps(td.EXCLUSION_SHEETS_SQL)) + _EXCLUSION_ROWS,
         "keyword_table_hits": _steps(POSTINGS, _SEARCHED, _KEYWORDS)

@@ -1,15 +1,17 @@
 import json
 
+import pandas as pd
 import pytest
 
 from examples import EXCLUSION, INCLUSION, RESULTS_PAGE, posting
 from jobloom import fixed_values as fv
 from jobloom.operators.decide import PostingFilter
 from jobloom.operators.validate import Dictionary
+from jobloom.plans import across_runs
 from jobloom.plans.coding_run import filter_and_code, postings_of_folder, run_coding
 from jobloom.schemas import RECORD_FIELDS
 from jobloom.sinks.writers import read_csv, write_csv
-from jobloom.streaming.ingest import code_new_pages
+from jobloom.streaming.ingest import FirstSeen, code_new_pages, with_key
 
 DICTIONARY = Dictionary(
     {name: "Date" if name == "collection_date" else "String" for name in RECORD_FIELDS},
@@ -101,17 +103,65 @@ def test_default_search_words_and_order():
 def test_pages_as_they_arrive(spark, tmp_path):
     pages, out = str(tmp_path / "pages"), str(tmp_path / "out")
     chain = PostingFilter(INCLUSION, EXCLUSION)
+    scans = []
 
     def arrive(page_id, html):
         spark.createDataFrame([(page_id, "louisiana__him.html", html)], "page_id bigint, file_name string, html string").write.mode("append").parquet(pages)
         query = code_new_pages(spark, pages, out, chain, as_of="2026-08-03")
         query.awaitTermination()
         assert query.exception() is None
+        state = query.lastProgress["stateOperators"][0]
+        scans.append((state["numRowsTotal"], state["numRowsUpdated"]))
+        # One page is read, whatever came before.
+        assert query.lastProgress["numInputRows"] == 1
 
     arrive(1, RESULTS_PAGE)
     arrive(2, RESULTS_PAGE + RESULTS_PAGE.replace("k71f", "new789"))
+    arrive(3, RESULTS_PAGE + RESULTS_PAGE.replace("k71f", "other5"))
     records = spark.read.parquet(f"{out}/records")
-    assert sorted(r.source_url[-6:] for r in records.collect()) == ["k=k71f", "new789"]
+    assert sorted(r.source_url[-6:] for r in records.collect()) == ["k=k71f", "new789", "other5"]
+    new = [after - before for (before, _), (after, _) in zip(scans, scans[1:])]
+    assert new == [updated for _, updated in scans[1:]] and scans[0][0] == scans[0][1]
+
+
+def test_first_seen_is_the_first_in_order(spark):
+    rows = [("a", 5, "x"), ("a", 3, "y"), ("b", 9, "z"), ("a", 4, "x")]
+    processor = FirstSeen(["posting_key", "ord", "title"])
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+    frame = pd.DataFrame(rows, columns=["posting_key", "ord", "title"])
+    processor.seen = State()
+    pieces = [frame[frame.posting_key == "a"].iloc[i : i + 1] for i in range(3)]
+    [found] = processor.handleInputRows(("a",), iter(pieces), None)
+    assert found.values.tolist() == [["a", 3, "y"]] and processor.seen.value == (3,)
+    assert list(processor.handleInputRows(("a",), iter(pieces), None)) == []
+
+
+def test_archive_is_not_shuffled(spark, make_postings, tmp_path):
+    folder = str(tmp_path / "keys")
+    archive = across_runs.open_archive(spark, folder, "keys_of_runs", 4)
+    one = with_key(make_postings(posting(url="https://a/1"), posting(url="https://a/2")))
+    across_runs.remember(across_runs.unseen(one, archive), archive, "r1")
+    two = with_key(make_postings(posting(url="https://a/2"), posting(url="https://a/3")))
+    fresh = across_runs.unseen(two, archive)
+    assert [r.url for r in fresh.collect()] == ["https://a/3"]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    sides = plan.split("SortMergeJoin")[1].split("Final Plan")[0]
+    scan = sides.index("Bucketed: true")
+    assert "Exchange" not in sides[sides.rindex("Sort [", 0, scan):scan]
+    across_runs.remember(fresh, archive, "r2")
+    # Another application, with an empty catalog, finds the same archive.
+    spark.sql("DROP TABLE keys_of_runs")
+    again = across_runs.open_archive(spark, folder, "keys_again", 4)
+    assert spark.table(again).count() == 3 and across_runs.unseen(two, again).count() == 0
 
 
 @pytest.mark.parametrize("folder", ["jobloom", "tests"])
