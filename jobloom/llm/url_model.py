@@ -4,30 +4,34 @@ Two smoothed variable-order Markov models of characters are trained, one on the
 rules accept, one on those that rules reject. The probability of a character mixes the
 counts after its last 4, 3, 2, 1 and 0 characters, the longer context first, each smoothed
 towards the next shorter one. A URL is judged by the mean log-likelihood difference per
-character; the threshold is calibrated on the scores of the accepted and rejected URLs.
+character.
 
-Contexts are hashed into tables of fixed size, so a model's size does not depend on the data.
+The models are exact tables of n-grams that grow with the input: runs of five characters are
+counted by a shuffle, and the shorter contexts from those counts. What a character adds to a
+URL depends on its run of five alone, so every different run is scored once and the scores are
+joined back to the URLs and summed. The threshold is calibrated on a fold of the accepted and
+rejected URLs, by models trained without that fold; different URLs count once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from jobloom.llm.common import LOWER, prepare, table, utf8
+from jobloom.llm.common import prepare, table
+from jobloom.session import stage
 
 ORDER = 4
-CELLS = 1 << 16
 SMOOTHING = 4.0
+CHARACTERS = 256  # that an unknown one is thought to be one of
 LEAST_CHARACTERS = 3
+FOLDS, CALIBRATION_FOLD = 5, 0
 SCORE_BINS = 2000
 SCORE_LIMIT = 5.0
+_START = "\x01" * ORDER
+# accepted and rejected rows, of all folds and without the calibration fold
+_SIDES = ("allow_all", "block_all", "allow_fit", "block_fit")
 
 # Fixed values: (verdict, host, path).
 RULES = [
@@ -62,100 +66,80 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def _codes(text: str) -> np.ndarray:
-    """Bytes of the lower-cased text with a start mark, every digit alike."""
-    data = np.frombuffer(utf8(text.translate(LOWER)), np.uint8)
-    return np.where((data >= 48) & (data <= 57), np.uint8(48), data)
-
-
-def _contexts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all characters of all texts: (text number, hashed contexts, hashed grams), the last
-    two with one row per order."""
-    codes = [_codes(t) for t in texts]
-    padded = [np.concatenate((np.full(ORDER, 1, np.uint8), c)) for c in codes]
-    flat = np.concatenate([*padded, np.empty(0, np.uint8)]).astype(np.uint64)
-    keep = np.concatenate([np.arange(len(p)) >= ORDER for p in padded] or [np.empty(0, bool)])
-    number = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-    at = np.flatnonzero(keep)
-    contexts, grams = [], []
-    hashed = np.zeros(len(at), np.uint64)
-    for order in range(ORDER + 1):
-        if order:
-            hashed = (hashed + flat[at - order] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-            hashed ^= hashed >> np.uint64(31)
-        gram = (hashed + flat[at] + np.uint64(257)) * np.uint64(0xC2B2AE3D27D4EB4F)
-        contexts.append((hashed * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(48)).astype(np.int64))
-        grams.append((gram >> np.uint64(48)).astype(np.int64))
-    return number, np.stack(contexts), np.stack(grams)
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of the two models' tables: (cell, n) of what the task has read."""
-    counts = np.zeros((2, 2, ORDER + 1, CELLS), np.int64)
-    for batch in batches:
-        verdicts = np.array([v == "allow" for v in batch.column(1).to_pylist()], np.int64)
-        number, contexts, grams = _contexts(batch.column(0).to_pylist())
-        kind = verdicts[number] if len(number) else number
-        for side in (0, 1):
-            for order in range(ORDER + 1):
-                for what, cells in enumerate((contexts, grams)):
-                    counts[side, what, order] += np.bincount(
-                        cells[order][kind == side], minlength=CELLS
-                    )
-    flat = counts.reshape(-1)
-    used = np.flatnonzero(flat)
-    yield pa.record_batch([pa.array(used), pa.array(flat[used])], names=["cell", "n"])
-
-
-@dataclass
-class UrlModel:
-    counts: np.ndarray  # side (reject, accept) x (context, gram) x order x cell
-    threshold: float = 0.0
-
-    @property
-    def trained(self) -> bool:
-        return bool(self.counts[0, 0, 0].sum() and self.counts[1, 0, 0].sum())
-
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """Mean log-likelihood difference per character, accepted minus rejected."""
-        number, contexts, grams = _contexts(texts)
-        difference = np.zeros(len(number))
-        for side, sign in ((1, 1.0), (0, -1.0)):
-            chance = np.full(len(number), 1 / 256)
-            for order in range(ORDER + 1):
-                seen = self.counts[side, 0, order, contexts[order]]
-                gram = np.minimum(self.counts[side, 1, order, grams[order]], seen)
-                chance = (gram + SMOOTHING * chance) / (seen + SMOOTHING)
-            difference += sign * np.log(chance)
-        length = np.bincount(number, minlength=len(texts))
-        return np.bincount(number, difference, len(texts)) / np.maximum(length, 1)
-
-
-def _score(model, text: Column) -> Column:
-    @F.arrow_udf(T.DoubleType())
-    def scored(texts: pa.Array) -> pa.Array:
-        return pa.array(model.value.scores(texts.to_pylist()), pa.float64())
-
-    return scored(text)
-
-
-def fit(ruled: DataFrame) -> UrlModel:
-    """Train on the rows (url_text, verdict) that have a rule, and calibrate the threshold:
-    the middle of the scores that part the two sides with the least summed error rates."""
-    spark = ruled.sparkSession
-    cells = (
-        ruled.select("url_text", "verdict").mapInArrow(_counted, "cell long, n long")
-        .groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+def grams_of(text: Column) -> Column:
+    """The runs of ORDER + 1 characters that end in each character of the text, A-Z
+    lower-cased, every digit alike, with a start mark before it."""
+    plain = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz" + "0" * 9)
+    run = f"(?s)(?=(.{{{ORDER + 1}}}))"
+    return F.regexp_extract_all(F.concat(F.lit(_START), plain), F.lit(run), F.lit(1))
+
+
+def _by_order(grams: DataFrame, *columns: str) -> DataFrame:
+    """Each run once for every order: its context of so many characters, and the next one."""
+    orders = F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("order")
+    return grams.select("gram", *columns, orders).select(
+        "gram", *columns, "order",
+        F.substr("gram", F.lit(ORDER + 1) - F.col("order"), F.col("order")).alias("context"),
+        F.substr("gram", F.lit(ORDER + 1)).alias("next"),
+    )
+
+
+def gram_counts(ruled: DataFrame) -> DataFrame:
+    """(gram, *_SIDES) of different URLs (grams, verdict, fold)."""
+    sums = []
+    for name in _SIDES:
+        verdict, part = name.split("_")
+        counted = F.col("verdict") == verdict
+        if part == "fit":
+            counted &= F.col("fold") != CALIBRATION_FOLD
+        sums.append(F.count_if(counted).alias(name))
+    return ruled.select("verdict", "fold", F.explode("grams").alias("gram")).groupBy("gram").agg(*sums)
+
+
+def gram_scores(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """(gram, score_all, score_fit): the log-likelihood difference of the last character of each
+    run, accepted minus rejected."""
+    seen = _by_order(counts, *_SIDES)
+    after = seen.groupBy("context", "next").agg(*(F.sum(s).alias(s) for s in _SIDES))
+    totals = seen.groupBy("context").agg(*(F.sum(s).alias(f"of_{s}") for s in _SIDES))
+    known = [*_SIDES, *(f"of_{s}" for s in _SIDES)]
+    lined = (
+        _by_order(grams).join(after, ["context", "next"], "left").join(totals, "context", "left")
+        .groupBy("gram")
+        .agg(F.array_sort(F.collect_list(F.struct("order", *(F.coalesce(c, F.lit(0)).alias(c) for c in known)))).alias("orders"))
     )
-    counts = np.zeros((2, 2, ORDER + 1, CELLS), np.int64)
-    counts.reshape(-1)[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    model = UrlModel(counts)
-    if not model.trained:
-        return model
-    shared = spark.sparkContext.broadcast(model)
-    clipped = F.greatest(F.least(_score(shared, F.col("url_text")), F.lit(SCORE_LIMIT)), F.lit(-SCORE_LIMIT))
+
+    def chance(side: str) -> Column:
+        return F.aggregate(
+            "orders", F.lit(1.0 / CHARACTERS),
+            lambda shorter, x: (x[side] + SMOOTHING * shorter) / (x[f"of_{side}"] + SMOOTHING),
+        )
+
+    scores = (
+        (F.log(chance(f"allow_{part}")) - F.log(chance(f"block_{part}"))).alias(f"score_{part}") for part in ("all", "fit")
+    )
+    return lined.select("gram", *scores)
+
+
+def url_scores(urls: DataFrame, counts: DataFrame) -> DataFrame:
+    """(url_text, score_all, score_fit) of different URLs (url_text, grams): means per character."""
+    each = urls.select("url_text", F.explode("grams").alias("gram"))
+    scored = gram_scores(each.select("gram").distinct(), counts)
+    # Sums in whole numbers do not depend on the order of rows.
+    unit = 1 << 40
+    means = (
+        (F.sum(F.round(F.col(name) * unit).cast("decimal(20,0)")).cast("double") / F.count(F.lit(1)) / unit).alias(name)
+        for name in ("score_all", "score_fit")
+    )
+    return each.join(scored, "gram").groupBy("url_text").agg(*means)
+
+
+def threshold_of(scored: DataFrame) -> float:
+    """The middle of the scores that part the two sides with the least summed error rates, from
+    rows (verdict, score); 0 if a side has none. At most 2 * (SCORE_BINS + 1) counts come here."""
+    clipped = F.greatest(F.least("score", F.lit(SCORE_LIMIT)), F.lit(-SCORE_LIMIT))
     bins = (
-        ruled.select(
+        scored.select(
             (F.col("verdict") == "allow").cast("int").alias("side"),
             F.floor((clipped + SCORE_LIMIT) * (SCORE_BINS / (2 * SCORE_LIMIT))).cast("int").alias("bin"),
         )
@@ -164,23 +148,24 @@ def fit(ruled: DataFrame) -> UrlModel:
     histogram = np.zeros((2, SCORE_BINS + 1))
     for row in bins:
         histogram[row.side, row.bin] += row["count"]
+    if not histogram.sum(axis=1).all():
+        return 0.0
     share = histogram / histogram.sum(axis=1, keepdims=True)
     # Error at a threshold below bin b: accepted in bins under b, rejected from b on.
     errors = np.concatenate(([0], np.cumsum(share[1]))) + 1 - np.concatenate(([0], np.cumsum(share[0])))
     best = np.flatnonzero(errors <= errors.min() + 1e-12)
-    middle = (best[0] + best[-1]) / 2
-    model.threshold = float(middle * 2 * SCORE_LIMIT / SCORE_BINS - SCORE_LIMIT)
-    return model
+    return float((best[0] + best[-1]) / 2 * 2 * SCORE_LIMIT / SCORE_BINS - SCORE_LIMIT)
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, score.
 
     ``pages`` needs page_id and url; other columns are not read. A null url and one without
-    ``://`` have empty host and path. Without a rule the models decide on host and path; texts
-    of fewer than LEAST_CHARACTERS characters are blocked, and if rules accept or reject
-    nothing at all there is nothing to learn from and the rest is allowed. score is null where
-    a rule decides. Repeated rows are judged alike; an empty table gives no rows.
+    ``://`` have empty host and path. Without a rule the models decide on host and path: a
+    score at the threshold or above is allowed; texts of fewer than LEAST_CHARACTERS
+    characters are blocked, and if rules accept or reject nothing at all there is nothing to
+    learn from and the rest is allowed. score is null where a rule decides. Repeated rows are
+    judged alike; an empty table gives no rows.
     """
     spark = pages.sparkSession
     prepare(spark)
@@ -191,19 +176,30 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
         "page_id", "host", "path", "found.rule", "found.verdict",
         F.concat("host", "path").alias("url_text"),
     )
-    model = fit(ruled.where("rule is not null"))
-    shared = spark.sparkContext.broadcast(model)
-    score = F.when(F.col("rule").isNull(), _score(shared, F.col("url_text")))
-    accepted = (
-        F.when(F.length("url_text") < LEAST_CHARACTERS, "block")
-        .when(F.col("score") >= model.threshold, "allow")
-        .otherwise("block")
-        if model.trained
-        else F.when(F.length("url_text") < LEAST_CHARACTERS, "block").otherwise("allow")
+    urls = stage(
+        ruled.groupBy("url_text").agg(F.first("verdict").alias("verdict")).select(
+            "url_text", "verdict", grams_of(F.col("url_text")).alias("grams"),
+            (F.crc32(F.col("url_text").cast("binary")) % FOLDS).alias("fold"),
+        ),
+        "urls",
+    )
+    counts = stage(gram_counts(urls.where("verdict IS NOT NULL")), "url-grams")
+    scored = stage(
+        url_scores(urls.where(F.col("verdict").isNull() | (F.col("fold") == CALIBRATION_FOLD)), counts), "url-scores"
+    )
+    sides = counts.agg(F.max("allow_all"), F.max("block_all")).first()
+    calibration = urls.where(F.col("verdict").isNotNull()).select("url_text", "verdict").join(scored, "url_text")
+    threshold = threshold_of(calibration.select("verdict", F.col("score_fit").alias("score")))
+    short = F.length("url_text") < LEAST_CHARACTERS
+    learned = (
+        F.when(short, "block").when(F.col("score") >= threshold, "allow").otherwise("block")
+        if all(sides)
+        else F.when(short, "block").otherwise("allow")
     )
-    return ruled.withColumn("score", score).select(
+    score = F.when(F.col("rule").isNull() & F.lit(all(sides)), F.col("score_all"))
+    return ruled.join(scored, "url_text", "left").withColumn("score", score).select(
         "page_id", "host", "path", "rule",
-        F.coalesce("verdict", accepted).alias("verdict"), "score",
+        F.coalesce("verdict", learned).alias("verdict"), "score",
     )
 
 
