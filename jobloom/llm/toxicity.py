@@ -106,7 +106,8 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         docs.where(id_crc() % FOLDS != HELD_OUT_FOLD)
         .select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .mapInArrow(_described, "doc_id long, copy long, words string, patterns int")
-        .join(known, "doc_id")
+        # Labels of a small table would be sent to all; the plan is to be the same at every size.
+        .join(known.hint("merge"), "doc_id")
         .groupBy("toxic", "copy").agg(F.min(F.struct("words", "patterns")).alias("text"))
         .select("toxic", "copy", "text.words", "text.patterns")
     )

@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+from jobloom.llm.common import utf8
+
 # Insults and contempt, by language and kind.
 LEXICONS = {
     "en person": "idiot moron loser clown imbecile fool jerk cretin dimwit scumbag numbskull halfwit",
@@ -46,18 +48,30 @@ BEGINNINGS = (4, 5, 6, 7)
 SEVERAL = (2, 3)  # different words of one beginning
 FAMILY = 4  # features of one kind that begin alike in so many letters are one voter
 
-WORD = re.compile(r"[^\W\d_]+")
+# All ASCII but letters ends a word, and of the rest U+0080-00BF and general punctuation.
+_TO_SPACES = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
+_BEYOND = re.compile("[\u0080-\u00bf\u2000-\u206f\u3000-\u3003]")
+_IS_SIGN = np.isin(np.arange(256), np.frombuffer(b"*@$!|#0123456789", np.uint8))
 _MASKED = re.compile(r"[^\W_]+(?:[*@$!|#0-9.]+[^\W_]+)+")
 _SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-*]){3,}[^\W\d_](?!\w)")
 _STRETCH = re.compile(r"(.)\1{2,}")
+_SIGN = re.compile(r"[*@$!|#0-9]")
+_PHRASE_KEYS = frozenset(PHRASES)
 _LISTS = [frozenset(words.split()) for words in LEXICONS.values()]
 _LISTED = {w: tuple(i for i, words in enumerate(_LISTS) if w in words) for w in frozenset().union(*_LISTS)}
 STRONG = frozenset(_LISTED) - frozenset(PLAIN_TOO.split())
+_LONGEST = max(map(len, STRONG))
+_LETTERS = frozenset("".join(STRONG))
 WORDS_KEPT = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Runs of letters, lower-cased."""
+    lowered = (text or "").lower()
+    data = utf8(lowered)
+    if b"\xc2" in data or b"\xe2\x80" in data or b"\xe2\x81" in data or b"\xe3\x80" in data:
+        data = utf8(_BEYOND.sub(" ", lowered))
+    return data.translate(_TO_SPACES).decode("utf-8", "surrogatepass").split()
 
 
 def features_of(words: set[str]) -> set[str]:
@@ -141,39 +155,52 @@ def without_blurred(counts: dict[str, tuple[int, int]]) -> list[str]:
 
 def _is_masked(text: str) -> bool:
     """An insult with signs for letters, or with one to three letters starred out."""
-    for token in _MASKED.findall(text.lower()):
-        if token.translate(SIGNS) in STRONG and token not in STRONG:
-            return True
-        if "*" in token or "#" in token:
-            shape = re.compile("".join("." if c in "*#" else re.escape(c) for c in token))
-            if sum(c in "*#" for c in token) <= 3 < len(token) and any(map(shape.fullmatch, STRONG)):
+    data = np.frombuffer(utf8(text), np.uint8)
+    sign = _IS_SIGN[data]
+    # A sign behind a letter, with a letter or another sign behind it.
+    if not (sign[1:-1] & (data[:-2] > 64) & (sign[2:] | (data[2:] > 64))).any():
+        return False
+    for token in text.lower().split():
+        if not _SIGN.search(token):
+            continue
+        for part in _MASKED.findall(token):
+            if part.translate(SIGNS) in STRONG and part not in STRONG:
                 return True
+            if ("*" in part or "#" in part) and sum(c in "*#" for c in part) <= 3 < len(part) <= _LONGEST:
+                shape = re.compile("".join("." if c in "*#" else re.escape(c) for c in part))
+                if any(map(shape.fullmatch, STRONG)):
+                    return True
     return False
 
 
-def _is_spaced(text: str) -> bool:
+def _is_spaced(text: str, distinct: set[str]) -> bool:
+    if len(_LETTERS & distinct) < 3:
+        return False
     return any(re.sub(r"[ .\-*]", "", found).lower() in STRONG for found in _SPACED.findall(text))
 
 
-def _is_stretched(word: str) -> bool:
-    return _STRETCH.search(word) is not None and (
-        _STRETCH.sub(r"\1", word) in STRONG or _STRETCH.sub(r"\1\1", word) in STRONG
+def _is_stretched(lowered: str, distinct: set[str]) -> bool:
+    data = np.frombuffer(utf8(lowered), np.uint8)
+    if not ((data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & (data[2:] > 64)).any():
+        return False
+    return any(
+        _STRETCH.sub(r"\1", w) in STRONG or _STRETCH.sub(r"\1\1", w) in STRONG
+        for w in distinct if _STRETCH.search(w)
     )
 
 
 def patterns_of(text: str | None, words: list[str], distinct: set[str]) -> int:
     """A bit for each of PATTERNS."""
     text = text or ""
-    listed = distinct & _LISTED.keys()
-    strong = listed & STRONG
-    phrases = [p for key in PHRASES.keys() & distinct for p in PHRASES[key]]
+    strong = STRONG & distinct
+    phrases = [p for key in _PHRASE_KEYS & distinct for p in PHRASES[key]]
     joined = f" {' '.join(words)} " if phrases else ""
     lists = {i for w in strong for i in _LISTED[w]}
     at = [i for i, w in enumerate(words) if w in strong] if strong else []
     seen = (
         _is_masked(text),
-        _is_spaced(text),
-        any(map(_is_stretched, (w for w in distinct if _STRETCH.search(w)))),
+        _is_spaced(text, distinct),
+        _is_stretched(text.lower(), distinct),
         any(not ADDRESS.isdisjoint(words[max(0, i - 4) : i]) for i in at),
         any(f" {p} " in joined for p in phrases),
         len(at) > 1,
@@ -198,6 +225,8 @@ class Cues:
         number = {f: i for i, f in enumerate(sorted(set(map(family_of, self.place))))}
         self.family = np.array([number[family_of(f)] for f in self.place], np.int64)
         self.families = len(number)
+        # No other word has a cue.
+        self.stems = {f[:FAMILY] for f in (*self.place, *_LISTED)}
         # Fewer words say less where more of the kind are; then only those vote.
         both = [
             (number[stem, few], i) for (stem, many), i in number.items()
@@ -236,7 +265,10 @@ class Cues:
         begun: dict[str, int] = {}
         listed: dict[int, int] = {}
         met = self.met
+        stems = self.stems
         for word in words:
+            if word[:FAMILY] not in stems:
+                continue
             cue = met.get(word)
             if cue is None:
                 cue = self._meet(word)
