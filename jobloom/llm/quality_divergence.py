@@ -2,9 +2,13 @@
 
 A text's histograms of character classes and of its language's common words are compared with
 references of each language, taken from all documents, by Jensen-Shannon distance (the root of
-the divergence, base 2, from 0 to 1). The nearest language counts. Short texts are not judged
-by a histogram they cannot fill: below LEAST_CHARACTERS or LEAST_WORDS the comparison is left
-out. Counts for the base rules come with the verdict.
+the divergence, base 2, from 0 to 1): its own language's, or the nearest one's where that is not
+known. How far its texts may be is
+not fixed: of the distances of all its documents that pass the base rules, the lower half says
+how much is usual, and those far above the median are too far, so junk of up to half a language
+does not widen its limit. A text without any common word is too far in every language. Short
+texts are not judged by a histogram they cannot fill: below LEAST_CHARACTERS or LEAST_WORDS
+the comparison is left out. Counts for the base rules come with the verdict.
 """
 
 from __future__ import annotations
@@ -21,12 +25,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobloom.llm.common import WHITE_SPACE, prepare, table
+from jobloom.session import stage
 
 COMMON_WORDS = 50
 LEAST_CHARACTERS = 400
 LEAST_WORDS = 80
-MOST_CHARACTER_DISTANCE = 0.28
-MOST_WORD_DISTANCE = 0.42
+# Limits: so many times the distance from the lower quartile to the median above the median,
+# and no less than so much above it. Of the distance that a text without any common word
+# has, a limit is this part at most.
+SPREADS = 4.0
+LEAST_MARGIN = 0.15
+PART_OF_CEILING = 0.95
 MAX_LANGUAGES = 1000
 SYMBOLS = "#*$%&|<>"
 REPEAT_WINDOW = 8
@@ -87,22 +96,35 @@ class References:
     words: list[dict[str, int]]  # place of each common word
     shares: list[np.ndarray]  # counts of the common words, and of all others at the end
 
-    def distances(self, text: str) -> tuple[float, float]:
-        """Least distance of the character classes and of the common words; 0 if not judged."""
-        if not self.languages:
-            return 0.0, 0.0
-        by_class = by_word = 0.0
-        if len(text) >= LEAST_CHARACTERS:
-            by_class = float(distance(class_counts(text), self.classes).min())
+    def __post_init__(self):
+        self.place = {name: i for i, name in enumerate(self.languages)}
+
+    def ceilings(self) -> list[tuple[str, float]]:
+        """The word distance of texts without any common word, by language, as a limit."""
+        nothing = [np.append(np.zeros(len(share) - 1), 1.0) for share in self.shares]
+        found = [float(distance(n, s)) for n, s in zip(nothing, self.shares, strict=True)]
+        return [(name, PART_OF_CEILING * d) for name, d in zip(self.languages, found, strict=True)]
+
+    def distances(self, text: str, language: str | None) -> tuple[float | None, str | None, float | None, str | None]:
+        """Distance of the character classes and of the common words, each with the language
+        that is so near; null if not judged."""
+        by_class = class_of = by_word = word_of = None
+        own = range(len(self.languages))
+        if language in self.place:
+            own = [self.place[language]]
+        if len(text) >= LEAST_CHARACTERS and own:
+            found = distance(class_counts(text), self.classes[own])
+            by_class, class_of = float(found.min()), self.languages[own[int(found.argmin())]]
         words = _words(text)
-        if len(words) >= LEAST_WORDS:
+        if len(words) >= LEAST_WORDS and own:
             counts = Counter(words)
             found = []
-            for common, share in zip(self.words, self.shares, strict=True):
-                own = [counts[word] for word in common]
-                found.append(float(distance(np.array([*own, len(words) - sum(own)], float), share)))
-            by_word = min(found)
-        return by_class, by_word
+            for i in own:
+                seen = [counts[word] for word in self.words[i]]
+                share = np.array([*seen, len(words) - sum(seen)], float)
+                found.append((float(distance(share, self.shares[i])), self.languages[i]))
+            by_word, word_of = min(found)
+        return by_class, class_of, by_word, word_of
 
 
 def _words(text: str) -> list[str]:
@@ -217,44 +239,67 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
 _FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _RESULT = T.StructType(
     [T.StructField(f, T.LongType()) for f in _FIELDS]
-    + [T.StructField(f, T.DoubleType()) for f in ("class_distance", "word_distance")]
+    + [
+        T.StructField("class_distance", T.DoubleType()), T.StructField("class_language", T.StringType()),
+        T.StructField("word_distance", T.DoubleType()), T.StructField("word_language", T.StringType()),
+    ]
 )
 
 
+def limits(measured: DataFrame, kind: str) -> DataFrame:
+    """(language, limit) from the distances of all the language's documents that pass the base
+    rules."""
+    at = F.percentile_approx(f"{kind}_distance", [0.25, 0.5], 10_000)
+    return (
+        measured.where(~F.col("base_failed") & F.col("lang").isNotNull() & F.col(f"{kind}_distance").isNotNull())
+        .groupBy(F.col("lang").alias(f"{kind}_language"))
+        .agg((at[1] + F.greatest(SPREADS * (at[1] - at[0]), F.lit(LEAST_MARGIN))).alias(f"{kind}_limit"))
+    )
+
+
 def judge(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, the base counts, base_failed, kept, distances.
+    """One row per row of ``docs``: doc_id, the base counts, base_failed, kept, and distances
+    with their limits, null if not judged.
 
     ``docs`` needs doc_id, text and lang; other columns are not read. A null text has no words
     and fails the base rules, as an empty one does. Rows without lang are judged against the
-    languages of the others; without any reference only the base rules decide. Repeated rows
+    nearest language of the others; without any reference only the base rules decide. Repeated rows
     are judged alike; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(references(docs))
+    spark = docs.sparkSession
+    known = references(docs)
+    shared = spark.sparkContext.broadcast(known)
 
     @F.arrow_udf(_RESULT)
-    def measured(texts: pa.Array) -> pa.Array:
+    def measured(texts: pa.Array, languages: pa.Array) -> pa.Array:
         values = texts.to_pylist()
         counts = np.array([base_counts(t) for t in values], np.int64).reshape(-1, len(_FIELDS))
-        apart = np.array([shared.value.distances(t or "") for t in values]).reshape(-1, 2)
+        apart = zip(*(shared.value.distances(t or "", x) for t, x in zip(values, languages.to_pylist()))) if values else [[]] * 4
+        kinds = (pa.float64(), pa.string()) * 2
         return pa.StructArray.from_arrays(
-            [*(pa.array(c) for c in counts.T), *(pa.array(c) for c in apart.T)],
-            names=_RESULT.names,
+            [*(pa.array(c) for c in counts.T), *map(pa.array, apart, kinds)], names=_RESULT.names
         )
 
     base_failed = (F.col("n_words") < LEAST_BASE_WORDS) | (
         100 * F.col("n_repeat_words") > 30 * F.col("n_words")
     )
-    alike = (F.col("class_distance") <= MOST_CHARACTER_DISTANCE) & (
-        F.col("word_distance") <= MOST_WORD_DISTANCE
+    found = stage(
+        docs.select("doc_id", "lang", measured("text", "lang").alias("found")).select("doc_id", "lang", "found.*")
+        .withColumn("base_failed", base_failed),
+        "quality",
     )
-    return (
-        docs.select("doc_id", measured("text").alias("found"))
-        .select("doc_id", "found.*")
-        .select(
-            "doc_id", *_FIELDS, base_failed.alias("base_failed"),
-            (~base_failed & alike).alias("kept"), "class_distance", "word_distance",
-        )
+    ceilings = spark.createDataFrame(known.ceilings(), "word_language string, ceiling double")
+    near = F.lit(True)
+    for kind in ("class", "word"):
+        limit = limits(found, kind)
+        if kind == "word":
+            limit = limit.join(ceilings, "word_language").withColumn("word_limit", F.least("word_limit", "ceiling")).drop("ceiling")
+        found = found.join(limit, f"{kind}_language", "left")
+        near &= F.coalesce(F.col(f"{kind}_distance") <= F.col(f"{kind}_limit"), F.lit(True))
+    return found.select(
+        "doc_id", *_FIELDS, "base_failed", (~F.col("base_failed") & near).alias("kept"),
+        "class_distance", "class_limit", "word_distance", "word_limit",
     )
 
 
