@@ -13,11 +13,8 @@ from pyspark.sql import functions as F
 
 from jobloom import fixed_values as fv
 from jobloom.functions.extract import NO_AMOUNT, least_annual_amount, most_years, whole
-from jobloom.functions.text import (
-    apart_pattern,
-    normalized,
-    normalized_literal,
-)
+from jobloom.functions.text import CASE_PARTNERS, apart_pattern, normalized, normalized_literal
+from jobloom.session import stage
 
 
 @dataclass(frozen=True)
@@ -75,9 +72,12 @@ def keyword_hits(
                 {"reason": reason.format(keyword), "needle": needle.lower(), "pattern": pattern}
             )
 
+    odd = reduce(or_, [F.contains(lowered, F.lit(c)) for c in CASE_PARTNERS])
+
     def hit(item: Column) -> Column:
-        apart = F.contains(lowered, item["needle"]) & F.regexp_like(text, item["pattern"])
-        return F.when(item["pattern"].isNull(), F.contains(lowered, item["needle"])).otherwise(apart)
+        there = F.contains(lowered, item["needle"]) | odd
+        alone = there & F.regexp_like(text, item["pattern"])
+        return F.when(item["pattern"].isNull(), F.contains(lowered, item["needle"])).otherwise(alone)
 
     table = _literal_table(rows, "reason needle pattern")
     found = F.transform(F.filter(table, hit), lambda item: item["reason"])
@@ -122,6 +122,17 @@ def prepared(**columns: Callable[[Posting, object], Column]):
     return attach
 
 
+def apart(handler: RuleHandler) -> RuleHandler:
+    """Give a handler only the rows that reach it.
+
+    Spark computes Python functions for all rows of a projection, whatever ``F.when`` stands
+    around them. For such a handler the rows so far are kept as a table, and those settled by
+    then are put beside the others again afterwards.
+    """
+    handler.apart = True
+    return handler
+
+
 @prepared(
     matched=lambda posting, rules: match_location(
         posting["location_normalized"], rules.locations
@@ -219,11 +230,11 @@ class PostingFilter:
         exclusion_handlers: Sequence[tuple[str, RuleHandler]] | None = None,
     ) -> None:
         self.stages = [
-            (f"inclusion:{stage}", handler, inclusion)
-            for stage, handler in inclusion_handlers or INCLUSION_HANDLERS
+            (f"inclusion:{name}", handler, inclusion)
+            for name, handler in inclusion_handlers or INCLUSION_HANDLERS
         ] + [
-            (f"exclusion:{stage}", handler, exclusion)
-            for stage, handler in exclusion_handlers or EXCLUSION_HANDLERS
+            (f"exclusion:{name}", handler, exclusion)
+            for name, handler in exclusion_handlers or EXCLUSION_HANDLERS
         ]
 
     def decide(self, postings: DataFrame) -> DataFrame:
@@ -237,7 +248,11 @@ class PostingFilter:
         for i, (_, handler, rules) in enumerate(self.stages):
             reached = F.col(f"{names[i - 1]}.passes") if i else F.lit(True)
             needed = getattr(handler, "prepared", None)
-            seen = posting
+            seen, settled = posting, None
+            if i and getattr(handler, "apart", False):
+                kept = stage(df, "reached")
+                reached = F.coalesce(reached, F.lit(False))
+                settled, df, reached = kept.where(~reached), kept.where(reached), F.lit(True)
             if needed:
                 columns = [make(posting, rules).alias(name) for name, make in needed.items()]
                 df = df.withColumn("_prepared", F.when(reached, F.struct(*columns)))
@@ -247,14 +262,16 @@ class PostingFilter:
                 F.coalesce(passes, F.lit(False)).alias("passes"), reasons.alias("reasons")
             )
             df = df.withColumn(names[i], F.when(reached, verdict))
+            if settled is not None:
+                df = df.unionByName(settled, allowMissingColumns=True)
             if i == 0:
                 # Lower-cased text serves every later stage; the first one, on the
                 # short location field, has by then dropped most rows.
                 df = df.withColumn("_text", F.when(F.col(f"{names[0]}.passes"), _texts(posting)))
                 posting = _posting_columns(df, staged=True)
-        stage = F
+        outcome = F
         for name, (label, _, _) in zip(names, self.stages):
-            stage = stage.when(~F.col(f"{name}.passes"), label)
+            outcome = outcome.when(~F.col(f"{name}.passes"), label)
         reasons = F.concat(*[F.coalesce(f"{name}.reasons", no_reasons()) for name in names])
         df = df.withColumn("_reasons", reasons)
         df = df.withColumn("_accepted", F.coalesce(F.col(f"{names[-1]}.passes"), F.lit(False)))
@@ -263,7 +280,7 @@ class PostingFilter:
         )
         decision = F.struct(
             F.col("_accepted").alias("included"),
-            stage.otherwise(fv.STAGE_ACCEPTED).alias("stage"),
+            outcome.otherwise(fv.STAGE_ACCEPTED).alias("stage"),
             F.when(F.col("_accepted"), F.array_append("_reasons", passed))
             .otherwise(F.col("_reasons"))
             .alias("reasons"),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from jobloom import fixed_values as fv
 from jobloom.functions.extract import NO_AMOUNT, least_annual_amount, most_years, whole
-from jobloom.functions.text import normalized, strip
+from jobloom.functions.text import folded, normalized, strip
 from jobloom.operators.decide import ExclusionRules, InclusionRules, PostingFilter, no_reasons, prepared
 from jobloom.session import stage
 
@@ -47,7 +47,7 @@ def needles(rules: DataFrame, keyword: str = "keyword") -> DataFrame:
     there is nothing else.
     """
     needle = strip(F.col("keyword"))
-    lowered = F.lower(needle)
+    lowered = folded(F.lower(needle))
     longest = F.array_max(F.transform(_runs(lowered), lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))
     return (
         rules.select(F.col(keyword).alias("keyword")).distinct().where(needle != "")
@@ -56,7 +56,7 @@ def needles(rules: DataFrame, keyword: str = "keyword") -> DataFrame:
             (F.length(needle) <= fv.SHORT_KEYWORD_LENGTH).alias("apart"),
             longest["run"].alias("run"),
         )
-        .withColumn("whole", (F.lower("needle") == F.col("run")) & F.regexp_like("run", F.lit(f"^{_WORD}$")))
+        .withColumn("whole", (folded(F.lower("needle")) == F.col("run")) & F.regexp_like("run", F.lit(f"^{_WORD}$")))
     )
 
 
@@ -85,7 +85,7 @@ def keyword_hits(texts: DataFrame, rules: DataFrame, key: str = "ord") -> DataFr
     """
     wanted = stage(needles(rules), "needles")
     found = texts.select(key, F.explode(_runs(F.col("text"))).alias("run"))
-    words = found.select("run").distinct().withColumn("lowered", F.lower("run"))
+    words = found.select("run").distinct().withColumn("lowered", folded(F.lower("run")))
     every = F.concat(*[_pieces(F.col("lowered"), size) for size in range(1, PIECE + 1)])
     filed = _filed(wanted.select("run").distinct()).withColumnRenamed("run", "wanted")
     met = (

@@ -435,6 +435,37 @@ def custom_handler(spark, sf):
     )
 
 
+@F.arrow_udf("boolean")
+def _is_long_winded(texts: pa.Array) -> pa.Array:
+    """Whether more than two words of a text are said again, counted in Python."""
+    found = []
+    for text in texts.to_pylist():
+        words = (text or "").lower().split()
+        if "nurse" in words:
+            raise ValueError("a row that does not reach this rule was shown to it")
+        found.append(len(words) - len(set(words)) > 2)
+    return pa.array(found, pa.bool_())
+
+
+@decide.apart
+def _not_long_winded(posting, rules):
+    long_winded = _is_long_winded(posting["title_and_description"])
+    return ~long_winded, F.when(long_winded, F.array(F.lit("says things again"))).otherwise(decide.no_reasons())
+
+
+@_query
+def python_handler(spark, sf):
+    rules = decide.PostingFilter(
+        INCLUSION, EXCLUSION,
+        exclusion_handlers=[
+            ("title_keywords", decide.title_exclusion), ("wording", _not_long_winded),
+            ("career_level", decide.career_level_exclusion),
+        ],
+    )
+    decided = rules.decide(td.postings(spark, sf))
+    return decided.select("ord", "decision.stage", F.array_join("decision.reasons", "; ").alias("reasons"))
+
+
 @_query
 def source_plugin_union(spark, sf):
     def documents(session):

@@ -612,6 +612,18 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN source_platform = '' THEN 'platform missing' WHEN hits <> '' THEN concat('platform named; ', hits)
             ELSE 'platform named; passed all exclusion rules' END AS reasons
           FROM (SELECT *, {title} AS hits FROM postings)""",
+        "python_handler": _steps(
+            POSTINGS,
+            f"""seen AS (SELECT *, {location} AS r_location, {title} AS r_title, {_hits([(_BLOB, EXCLUSION.career_level_keywords, "excluded career-level keyword '{}'")])} AS r_career,
+              list_filter(regexp_split_to_array(lower({_BLOB}), '\\s+'), lambda w: w <> '') AS words FROM postings)""",
+            """ruled AS (SELECT ord, r_location, r_title, r_career, CASE WHEN NOT starts_with(r_location, 'matched') THEN 'inclusion:location'
+              WHEN r_title <> '' THEN 'exclusion:title_keywords' WHEN len(words) - len(list_distinct(words)) > 2 THEN 'exclusion:wording'
+              WHEN r_career <> '' THEN 'exclusion:career_level' ELSE 'accepted' END AS stage FROM seen)""",
+        )
+        + """SELECT ord, stage, CASE stage WHEN 'inclusion:location' THEN r_location
+            ELSE concat(r_location, '; no keyword inclusion rules configured; ', CASE stage WHEN 'exclusion:title_keywords' THEN r_title
+              WHEN 'exclusion:wording' THEN 'says things again' WHEN 'exclusion:career_level' THEN r_career ELSE 'passed all exclusion rules' END) END AS reasons
+          FROM ruled""",
         "source_plugin_union": _steps(POSTINGS)
         + f"""SELECT ord, job_title, url, length(description) AS n_chars, '' AS lang, '' AS source FROM postings UNION ALL
           SELECT doc_id + {2**56} AS ord, '' AS job_title, '' AS url, length(text) AS n_chars, lang, source FROM documents""",

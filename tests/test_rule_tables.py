@@ -12,9 +12,11 @@ from jobloom.operators.decide import ExclusionRules, InclusionRules, PostingFilt
 KEYWORDS = [
     "RN", "rn", " HIM ", "C++", "R&D", "data entry", "Coding", "ing", "§", "1", "e", "é", "Été", "medical records",
     "++", "a.b", "x_y", "Ünit", "  ", "", None, "records,", "KG", "no such thing", "語", "full-time role", ".*", "\\d",
+    "SQL", "kit", "ıs", "long ſtory",
 ]
 PIECES = ["RN", "nurse", "him", "HIM", "C++", "c++", "R&D", "data", "entry", "encoding", "1", "12", "été", "é", "ÉTÉ",
-          "medical", "records", ",", " ", "\n", "x_y", "ünit", "kg", "5kg", "語語", "full-time", "role", ".", "a.b", "\\d", "§"]
+          "medical", "records", ",", " ", "\n", "x_y", "ünit", "kg", "5kg", "語語", "full-time", "role", ".", "a.b", "\\d", "§",
+          "ſql", "sql", "\u212ait", "KIT", "ıs", "long ſtory", "LONG STORY"]
 
 
 def _occurs(text, keyword):

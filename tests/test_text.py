@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from jobloom import fixed_values as fv
 from jobloom.functions import extract as ex
 from jobloom.functions import text as tx
+from jobloom.operators import decide
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +51,11 @@ def test_posting_keys(value):
     ],
 )
 def test_keywords(value, text, keyword, found):
-    assert value(lambda c: tx.contains_keyword(c, F.lower(c), keyword), text) is found
+    def hit(column):
+        fields = {"text": column, "text_lower": F.lower(column)}
+        return decide.keyword_hits(fields, "text", [keyword], "{}")[0]
+
+    assert value(hit, text) is found
 
 
 def test_url_and_list_helpers(value):
