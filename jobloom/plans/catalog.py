@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobloom import fixed_values as fv
 from jobloom.functions import extract as ex
@@ -435,7 +436,7 @@ def custom_handler(spark, sf):
     )
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(T.BooleanType())
 def _is_long_winded(texts: pa.Array) -> pa.Array:
     """Whether more than two words of a text are said again, counted in Python."""
     found = []
