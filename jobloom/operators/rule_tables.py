@@ -1,10 +1,11 @@
 """Rules as tables: any number of keywords, places and rule sets, none of them on the driver.
 
 A keyword occurs in a text only if its longest run of letters or digits lies inside a run of
-the text. There are far fewer different runs than texts, so keywords are matched with the
-different runs of all texts, once each: every run of a keyword is filed under its rarest
-piece of three letters, the runs of the texts are cut into such pieces, and an equi-join on
-the piece finds the candidates. What was found there is joined back to the texts by run.
+the text. There are fewer different runs than texts, so keywords are matched with the
+different runs of all texts, once each: the runs of the texts are cut into pieces of the
+lengths that keywords have, and an equi-join on the piece finds the keywords. Pieces that are
+no keyword's, which are nearly all, are dropped before the shuffle by a bitmap of hashes, and
+so are the runs in which nothing was found, before the texts are joined with what was found.
 Keywords of one run are decided on the run alone; only those of several are looked for in
 the texts that hold their longest one.
 
@@ -26,18 +27,57 @@ from jobloom.session import stage
 
 _WORD = r"[\p{L}\p{N}_]+"
 _RUNS = rf"{_WORD}|[^\p{{L}}\p{{N}}_\s]+"
-PIECE = 3
+#: Longer keywords are filed under their first so many characters.
+PIECE = 32
+#: Bits of the bitmap by which rows are dropped before a shuffle, as a power of two.
+MARK_BITS = 27
 
 
 def _runs(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(_RUNS), F.lit(0)))
 
 
-def _pieces(run: Column, size: Column | int) -> Column:
-    """All different pieces of the run of this size; none if it is shorter."""
-    last = F.length(run) - size
-    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(at, lambda i: F.substring(run, i + 1, size)))
+def _filed(rules: DataFrame, column: str) -> DataFrame:
+    """The rules with the ``piece`` under which texts are to find the column."""
+    return rules.withColumn("piece", F.substring(column, 1, PIECE))
+
+
+def _cut(texts: DataFrame, column: str, filed: DataFrame) -> DataFrame:
+    """A row for each different piece of the column that may be one of ``filed``."""
+    sizes = filed.agg(F.collect_set(F.length("piece")).alias("_sizes"))
+
+    def of_size(size: Column) -> Column:
+        at = F.sequence(F.lit(1), F.length(column) - size + 1)
+        return F.transform(at, lambda i: F.substring(F.col(column), i, size))
+
+    fitting = F.filter("_sizes", lambda size: size <= F.length(column))
+    pieces = F.array_distinct(F.flatten(F.transform(fitting, of_size)))
+    cut = texts.crossJoin(F.broadcast(sizes)).select(*texts.columns, F.explode(pieces).alias("piece"))
+    return _maybe_among(cut, "piece", filed)
+
+
+def _maybe_among(rows: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """The rows whose value may be in the same column of ``values``: all that are, and few others.
+
+    The values are a bitmap of hashes, at most 2**MARK_BITS bits however many there are, in
+    rows of 64 numbers of 64 bits.
+    """
+    mark = F.pmod(F.xxhash64(column), F.lit(1 << MARK_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_mark") % 64).cast("int"))
+    numbers = (
+        values.select(mark.alias("_mark"))
+        .groupBy(F.shiftright("_mark", 6).alias("_number")).agg(F.bit_or(bit).alias("_bits"))
+    )
+    entries = F.map_from_entries(F.collect_list(F.struct((F.col("_number") % 64).alias("at"), "_bits")))
+    marks = (
+        numbers.groupBy(F.shiftright("_number", 6).alias("_group")).agg(entries.alias("_of"))
+        .select("_group", F.transform(
+            F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint")), lambda i: F.coalesce(F.col("_of")[i], F.lit(0).cast("bigint"))
+        ).alias("_marks"))
+    )
+    number = F.get("_marks", (F.shiftright(mark, 6) % 64).cast("int"))
+    there = (F.shiftright(mark, 12) == F.col("_group")) & (F.bit_get(number, (mark % 64).cast("int")) == 1)
+    return rows.join(F.broadcast(marks), there, "left_semi")
 
 
 def needles(rules: DataFrame, keyword: str = "keyword") -> DataFrame:
@@ -67,15 +107,6 @@ def occurs(text: Column, needle: Column, apart: Column) -> Column:
     return F.when(apart, F.regexp_like(text, quoted)).otherwise(inside)
 
 
-def _filed(runs: DataFrame) -> DataFrame:
-    """(run, piece): each run under that of its pieces which the fewest runs have."""
-    size = F.least(F.length("run"), F.lit(PIECE))
-    pieces = runs.select("run", F.explode(_pieces(F.col("run"), size)).alias("piece"))
-    often = pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    rarest = F.min(F.struct("n", "piece"))["piece"]
-    return pieces.join(often, "piece").groupBy("run").agg(rarest.alias("piece"))
-
-
 def keyword_hits(texts: DataFrame, rules: DataFrame, key: str = "ord") -> DataFrame:
     """(key, keyword), once each: the keywords that occur in the texts.
 
@@ -83,29 +114,38 @@ def keyword_hits(texts: DataFrame, rules: DataFrame, key: str = "ord") -> DataFr
     columns are not read. Blank keywords and null texts match nothing. Keywords of up to
     SHORT_KEYWORD_LENGTH characters must stand apart from ASCII letters.
     """
-    wanted = stage(needles(rules), "needles")
+    wanted = stage(_filed(needles(rules), "run"), "needles")
     found = texts.select(key, F.explode(_runs(F.col("text"))).alias("run"))
     words = found.select("run").distinct().withColumn("lowered", folded(F.lower("run")))
-    every = F.concat(*[_pieces(F.col("lowered"), size) for size in range(1, PIECE + 1)])
-    filed = _filed(wanted.select("run").distinct()).withColumnRenamed("run", "wanted")
     met = (
-        words.select("run", "lowered", F.explode(every).alias("piece"))
-        .join(filed, "piece")
+        _cut(words, "lowered", wanted)
+        .join(wanted.withColumnRenamed("run", "wanted"), "piece")
         .where(F.contains("lowered", "wanted"))
-        .select("run", "wanted")
-        .join(wanted.withColumnRenamed("run", "wanted"), "wanted")
-        .drop("wanted")
+        .where(~F.col("whole") | occurs(F.col("run"), F.col("needle"), F.col("apart")))
+        .groupBy("run").agg(
+            F.collect_set(F.when(F.col("whole"), F.col("keyword"))).alias("_met"),
+            F.collect_set(F.when(~F.col("whole"), F.col("keyword"))).alias("_maybe"),
+        )
+    )
+    # One row for each text and run in which something was met, then one for each text.
+    met = stage(met, "met-runs")
+    there = (
+        _maybe_among(found, "run", met).join(met, "run")
+        .select(key, "_met", "_maybe", F.lit(None).cast("string").alias("text"))
     )
-    decided = met.where(~F.col("whole") | occurs(F.col("run"), F.col("needle"), F.col("apart")))
-    met = stage(decided, "met-runs")
-    there = found.join(met.where("whole").select("run", "keyword"), "run").select(key, "keyword")
-    maybe = (
-        found.join(met.where("not whole"), "run").select(key, "keyword", "needle", "apart").distinct()
-        .join(texts.select(key, "text"), key)
-        .where(occurs(F.col("text"), F.col("needle"), F.col("apart")))
-        .select(key, "keyword")
+    nothing = no_reasons()
+    searched = texts.where(F.col(key).isNotNull()).select(key, nothing.alias("_met"), nothing.alias("_maybe"), "text")
+    listed = lambda name: F.array_distinct(F.flatten(F.collect_list(name))).alias(name)
+    by_key = there.unionByName(searched).groupBy(key).agg(
+        listed("_met"), listed("_maybe"), F.collect_list("text").alias("_texts")
     )
-    return there.unionByName(maybe).distinct()
+
+    def is_there(keyword: Column) -> Column:
+        needle = strip(keyword)
+        apart = F.length(needle) <= fv.SHORT_KEYWORD_LENGTH
+        return F.exists("_texts", lambda text: occurs(text, needle, apart))
+
+    return by_key.select(key, F.explode(F.concat("_met", F.filter("_maybe", is_there))).alias("keyword"))
 
 
 def having_any(texts: DataFrame, rules: DataFrame, key: str = "ord") -> DataFrame:
@@ -154,11 +194,10 @@ def location_reasons(places: DataFrame, rules: DataFrame) -> DataFrame:
 
 def substring_hits(texts: DataFrame, rules: DataFrame, key: str = "ord") -> DataFrame:
     """(key, keyword) of short texts, with the keywords found anywhere in them as they are."""
-    wanted = rules.select(F.col("keyword").alias("run")).distinct()
-    every = F.concat(*[_pieces(F.col("text"), size) for size in range(1, PIECE + 1)])
+    wanted = _filed(rules.select("keyword").distinct(), "keyword")
     return (
-        texts.select(key, "text", F.explode(every).alias("piece")).join(_filed(wanted), "piece")
-        .where(F.contains("text", "run")).select(key, F.col("run").alias("keyword"))
+        _cut(texts.select(key, "text"), "text", wanted).join(wanted, "piece")
+        .where(F.contains("text", "keyword")).select(key, "keyword")
     )
 
 

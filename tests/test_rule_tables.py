@@ -128,3 +128,31 @@ def test_each_posting_is_decided_by_its_own_sheet(spark, make_postings, sheet_ru
         )
         for row in chain.decide(base.where(F.col("ord") % len(names) == i)).collect():
             assert found[row.ord] == row.decision, (name, row)
+
+
+def test_pieces_without_a_keyword_are_dropped_before_the_shuffle(spark):
+    rows = spark.range(3_000).select(F.concat(F.lit("d"), F.col("id").cast("string")).alias("piece"))
+    few = rows.where("piece like 'd7%'")
+    left = {r.piece for r in rule_tables._maybe_among(rows, "piece", few).collect()}
+    known = {r.piece for r in few.collect()}
+    assert known <= left and len(left) < len(known) + 10
+
+
+def test_keywords_alike_in_every_piece_of_three_letters_are_told_apart(spark):
+    # Filed under pieces of three digits, these hundred met every text, a hundred times each.
+    rules = spark.createDataFrame([(f"1212{i:02}2121",) for i in range(100)], "keyword string")
+    texts = spark.range(500).select(F.col("id").alias("ord"), F.format_string("x1212%02d2121y 1212", F.col("id") % 200).alias("text"))
+    wanted = rule_tables._filed(rules, "keyword")
+    assert rule_tables._cut(texts, "text", wanted).join(wanted, "piece").count() < 600
+    found = sorted(map(tuple, rule_tables.keyword_hits(texts, rules).collect()))
+    assert found == [(i, f"1212{i % 200:02}2121") for i in range(500) if i % 200 < 100]
+
+
+def test_a_key_that_comes_twice_and_long_runs(spark):
+    long = "ab" * 40
+    texts = spark.createDataFrame(
+        [(1, f"x{long}y"), (1, "data entry"), (1, f"{long} data entry"), (2, long[:60]), (None, "long runs, data entry")], "ord bigint, text string"
+    )
+    rules = spark.createDataFrame([(long,), (long[:50] + "c",), ("data entry",), ("entry",), ("runs",)], "keyword string")
+    found = sorted((r.ord or 0, r.keyword) for r in rule_tables.keyword_hits(texts, rules).collect())
+    assert found == [(0, "entry"), (0, "runs"), (1, long), (1, "data entry"), (1, "entry")]
