@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import zlib
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -48,10 +50,42 @@ def no_reasons() -> Column:
     return F.array().cast("array<string>")
 
 
-def _literal_table(rows: list[dict], fields: str) -> Column:
-    """Rows as one array of structs. It is a single literal in the plan, however long."""
-    shape = ", ".join(f"{name}: string" for name in fields.split())
-    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{shape}>>")
+_RULE = "struct<pos: int, reason: string, needle: string, pattern: string>"
+#: From so many rules on, texts are cut into pieces and only the rules filed under these are tried.
+LONG_LIST = 64
+_PIECE = 3
+
+
+def _literal_table(rows: list, of: str) -> Column:
+    """Rows as one array. It is a single literal in the plan, however long."""
+    return F.from_json(F.lit(json.dumps(rows)), f"array<{of}>")
+
+
+def _pieces(text: str, size: int) -> set[str]:
+    return {text[i : i + size] for i in range(len(text) - size + 1)}
+
+
+def _rules_to_try(text: Column, rows: list[dict]) -> Column:
+    """The rules whose needle may be in the text: all that are, of a long list few others.
+
+    Each rule is filed under the piece of its needle that the fewest needles have, in a
+    table of slots by the piece's checksum, so that no rule is looked at for a text without it.
+    """
+    if len(rows) < LONG_LIST:
+        return _literal_table(rows, _RULE)
+    sizes = [min(_PIECE, len(row["needle"])) for row in rows]
+    pieces = [_pieces(row["needle"], size) for row, size in zip(rows, sizes)]
+    often = Counter(piece for some in pieces for piece in some)
+    slots = [[] for _ in range(1 << (2 * len(rows)).bit_length())]
+    for row, some in zip(rows, pieces):
+        piece = min(some, key=lambda piece: (often[piece], piece))
+        slots[zlib.crc32(piece.encode("utf-8", "replace")) % len(slots)].append(row)
+    parts = F.concat(*[
+        F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)) for size in sorted(set(sizes))
+    ])
+    numbers = F.array_distinct(F.transform(parts, lambda piece: (F.crc32(piece) % len(slots)).cast("int")))
+    table = _literal_table(slots, f"array<{_RULE}>")
+    return F.coalesce(F.flatten(F.transform(numbers, lambda n: F.get(table, n))), F.array().cast(f"array<{_RULE}>"))
 
 
 def keyword_hits(
@@ -60,7 +94,7 @@ def keyword_hits(
     """Whether any keyword occurs in the field, and a reason for each that does.
 
     Short tokens must stand apart from letters, longer ones match anywhere; blank keywords
-    match nothing. Lists of any length take the same path.
+    match nothing.
     """
     text, lowered = posting[field], posting[f"{field}_lower"]
     rows = []
@@ -68,9 +102,9 @@ def keyword_hits(
         needle = keyword.strip()
         pattern = apart_pattern(needle) if len(needle) <= fv.SHORT_KEYWORD_LENGTH else None
         if needle:
-            rows.append(
-                {"reason": reason.format(keyword), "needle": needle.lower(), "pattern": pattern}
-            )
+            rows.append({
+                "pos": len(rows), "reason": reason.format(keyword), "needle": needle.lower(), "pattern": pattern,
+            })
 
     odd = reduce(or_, [F.contains(lowered, F.lit(c)) for c in CASE_PARTNERS])
 
@@ -79,8 +113,14 @@ def keyword_hits(
         alone = there & F.regexp_like(text, item["pattern"])
         return F.when(item["pattern"].isNull(), F.contains(lowered, item["needle"])).otherwise(alone)
 
-    table = _literal_table(rows, "reason needle pattern")
-    found = F.transform(F.filter(table, hit), lambda item: item["reason"])
+    # A text with such letters may match needles that it does not contain as they are.
+    tried = _rules_to_try(lowered, rows)
+    if len(rows) >= LONG_LIST:
+        tried = F.when(odd, _literal_table(rows, _RULE)).otherwise(tried)
+    found = F.filter(tried, hit)
+    if len(rows) >= LONG_LIST:
+        found = F.array_sort(found)
+    found = F.transform(found, lambda item: item["reason"])
     return F.size(found) > 0, found
 
 
@@ -95,21 +135,18 @@ def match_location(location: Column, allowed: Sequence[str]) -> Column:
         wanted = normalized_literal(name)
         token = fv.STATE_TOKENS.get(wanted)
         if wanted:
-            rows.append(
-                {
-                    "place": fv.REASON_LOCATION.format(name),
-                    "token": fv.REASON_STATE_TOKEN.format(name),
-                    "wanted": wanted,
-                    "pattern": apart_pattern(token, ignore_case=False) if token else None,
-                }
-            )
-    reasons = F.transform(
-        _literal_table(rows, "place token wanted pattern"),
-        lambda e: F.when(F.contains(location, e["wanted"]), e["place"]).when(
-            F.regexp_like(location, e["pattern"]), e["token"]
-        ),
-    )
-    return F.try_element_at(F.filter(reasons, lambda r: r.isNotNull()), F.lit(1))
+            said = fv.REASON_LOCATION.format(name)
+            rows.append({"pos": len(rows), "reason": said, "needle": wanted, "pattern": None})
+        if wanted and token:
+            said, pattern = fv.REASON_STATE_TOKEN.format(name), apart_pattern(token, ignore_case=False)
+            rows.append({"pos": len(rows), "reason": said, "needle": token, "pattern": pattern})
+
+    def hit(item: Column) -> Column:
+        there = F.contains(location, item["needle"])
+        return F.when(item["pattern"].isNull(), there).otherwise(there & F.regexp_like(location, item["pattern"]))
+
+    found = F.filter(_rules_to_try(location, rows), hit)
+    return F.array_min(found)["reason"]
 
 
 def prepared(**columns: Callable[[Posting, object], Column]):

@@ -1,3 +1,4 @@
+import random
 from dataclasses import replace
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from examples import EXCLUSION, INCLUSION, posting
 from jobloom.operators import decide
+from jobloom.functions.text import normalized
 from jobloom.operators.decide import ExclusionRules, InclusionRules, PostingFilter
 
 
@@ -136,3 +138,28 @@ def test_plan_has_no_shuffle_and_no_python(make_postings):
     decided = PostingFilter(INCLUSION, EXCLUSION).decide(make_postings(posting()))
     plan = decided._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_a_long_list_is_not_tried_rule_by_rule(spark):
+    rng = random.Random(3)
+    words = ["RN", "C++", "é", "ſ", "a", "nurse", "语言学家", "\U0001f600\U0001f601x", "data entry", "İst", "KG"]
+    words += ["".join(rng.choices("abcé ", k=rng.randint(1, 7))) for _ in range(150)] + [f"Surgeon {i}" for i in range(150)]
+    texts = ["".join(rng.choices([*words, " ", "-", "K", "ı", "RN2"], k=rng.randint(0, 6))) for _ in range(300)] + [None, "", "x" * 3000]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    lowered = rows.select("i", "t", F.lower("t").alias("t_lower"), normalized(F.col("t")).alias("place"))
+    posting = {name: F.col(name) for name in lowered.columns}
+    places = [w.lower() for w in words] + ["Texas", "louisiana"]
+
+    def found(limit):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(decide, "LONG_LIST", limit)
+            hit, reasons = decide.keyword_hits(posting, "t", words, "{}")
+            place = decide.match_location(F.col("place"), places)
+            return lowered.select("i", hit.alias("hit"), reasons.alias("reasons"), place.alias("p")).orderBy("i").collect()
+
+    few = found(64)
+    assert few == found(10_000) and sum(len(r.reasons) for r in few) > 1000
+    tried = decide._rules_to_try(F.lit("surgeon 77 nurse"), [
+        {"pos": i, "reason": "", "needle": f"surgeon {i:03}", "pattern": None} for i in range(1000)
+    ])
+    assert spark.range(1).select(F.size(tried)).first()[0] < 60
