@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import accumulate
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +19,8 @@ CARD_FIELDS = (
     "job_title", "company", "location", "salary", "description", "url", "posting_date",
     "job_key",
 )
+#: Pages of a batch that are Python objects at a time.
+PAGES_AT_ONCE = 64
 _CARD_TYPE = pa.struct([(name, pa.string()) for name in CARD_FIELDS] + [("repeated", pa.bool_())])
 _PARSED_TYPE = pa.struct([("cards", pa.list_(_CARD_TYPE)), ("error", pa.string())])
 _PARSED_DDL = (
@@ -70,11 +75,29 @@ def block_counts(pages: DataFrame, status: str | None = None) -> DataFrame:
     )
 
 
-def _parse_one(page: str, site_url: str) -> dict:
+def _parse_one(page: str, site_url: str) -> tuple[list[dict], str | None]:
     try:
-        return {"cards": parse_cards(page, site_url), "error": None}
+        return parse_cards(page, site_url), None
     except (ValueError, AssertionError) as problem:
-        return {"cards": [], "error": str(problem)}
+        return [], str(problem)
+
+
+def _parse_some(html: pa.Array, site_url: str) -> pa.Array:
+    read = [_parse_one(page or "", site_url) for page in html.to_pylist()]
+    ends = accumulate((len(cards) for cards, _ in read), initial=0)
+    cards = [card for of_page, _ in read for card in of_page]
+    fields = [pa.array([card[field.name] for card in cards], field.type) for field in _CARD_TYPE]
+    listed = pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, fields=list(_CARD_TYPE))
+    )
+    errors = pa.array([error for _, error in read], pa.string())
+    return pa.StructArray.from_arrays([listed, errors], fields=list(_PARSED_TYPE))
+
+
+def _in_portions(html: pa.Array, read: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """``read`` of some pages at a time, so that few are Python objects at once."""
+    parts = [read(html.slice(at, PAGES_AT_ONCE)) for at in range(0, len(html), PAGES_AT_ONCE)]
+    return pa.concat_arrays(parts) if parts else read(html)
 
 
 def read_cards(pages: DataFrame, site_url: str = fv.SITE_URL) -> DataFrame:
@@ -86,8 +109,7 @@ def read_cards(pages: DataFrame, site_url: str = fv.SITE_URL) -> DataFrame:
 
     @F.arrow_udf(_PARSED_DDL)
     def parsed(html: pa.Array) -> pa.Array:
-        rows = [_parse_one(page or "", site_url) for page in html.to_pylist()]
-        return pa.array(rows, type=_PARSED_TYPE)
+        return _in_portions(html, lambda some: _parse_some(some, site_url))
 
     kept = [name for name in pages.columns if name != "html"]
     return (
@@ -165,7 +187,9 @@ def detail_texts(details: DataFrame) -> DataFrame:
 
     @F.arrow_udf("string")
     def text(html: pa.Array) -> pa.Array:
-        return pa.array([parse_detail(page or "") for page in html.to_pylist()], pa.string())
+        return _in_portions(
+            html, lambda some: pa.array([parse_detail(page or "") for page in some.to_pylist()], pa.string())
+        )
 
     usable = details.where((F.col("url") != "") & block_reason(F.col("html")).isNull())
     # Texts, not pages, go through the shuffle that finds the first page of a url.

@@ -1,8 +1,13 @@
+import random
+import re
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from examples import RESULTS_PAGE
 from jobloom.operators import pages
+from jobloom.sources import card_parser
 from jobloom.sources.card_parser import parse_cards, parse_detail
 from jobloom.sources.frontier import search_frontier
 from jobloom.sources.saved_pages import SavedPages, page_postings, scan_saved_pages
@@ -204,3 +209,39 @@ def test_a_hot_url_is_split_between_tasks(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_plain_markup_is_read_as_the_standard_parser_reads_it(monkeypatch):
+    pieces = [
+        '<div class="job_seen_beacon" data-jk="a1">', "</div>", '<h2 class="jobTitle">', "</h2>", '<span title="T &amp; x">', "</span>",
+        '<a href="/v?jk=b2" data-jk="b2">', "<A HREF='/q?'>", "</a >", "text ", "&am", "p; ", "<br/>", "<li>", "<ul>", "</ul>", "<!-- c -->",
+        "<!--", "-->", "<script>", 'x="<div>";', "</script>", '<span class="companyName" class="x">', "<", ">", '"', "<div class=job-snippet>",
+        '<div data-jk="q>r" href="a<b">', "<?pi>", "</>", "<é>", '<div\n class="companyLocation">', "<a data-jk>", "plain words " * 20,
+    ]
+    rng = random.Random(9)
+    made = ["".join(rng.choices(pieces, k=rng.randint(1, 25))) for _ in range(3_000)]
+    read = [(card_parser.parse_cards(page), card_parser.parse_detail(page)) for page in made]
+    monkeypatch.setattr(card_parser, "_PLAIN", re.compile(r"(?!)"))
+    monkeypatch.setattr(card_parser, "_PORTION", 1 << 30)
+    assert read == [(card_parser.parse_cards(page), card_parser.parse_detail(page)) for page in made]
+    assert sum(len(cards) for cards, _ in read) > 1_000
+
+
+def test_plain_pages_do_not_reach_the_standard_parser(monkeypatch):
+    page = "<html><body>" + '<div class="job_seen_beacon" data-jk="k1"><h2 class="jobTitle"><a href="/j?jk=k1">Coder</a></h2></div>' * 3
+    monkeypatch.setattr(card_parser._FieldReader, "feed", lambda *_: pytest.fail("not plain"))
+    assert [c["url"] for c in card_parser.parse_cards(page)] == ["https://www.indeed.com/j?jk=k1"] * 3
+
+
+def test_pages_are_read_some_at_a_time():
+    seen = []
+
+    def read(some):
+        seen.append(len(some))
+        return pages._parse_some(some, "https://x.example")
+
+    html = pa.array(['<div class="job_seen_beacon"><h2 class="jobTitle"><a>A</a></h2></div>', None, ""] * 100)
+    found = pages._in_portions(html, read).to_pylist()
+    assert max(seen) == pages.PAGES_AT_ONCE and sum(seen) == 300
+    assert [len(row["cards"]) for row in found] == [1, 0, 0] * 100 and found[0]["cards"][0]["job_title"] == "A"
+    assert pages._in_portions(html.slice(0, 0), read).to_pylist() == []
