@@ -53,6 +53,8 @@ def no_reasons() -> Column:
 _RULE = "struct<pos: int, reason: string, needle: string, pattern: string>"
 #: From so many rules on, texts are cut into pieces and only the rules filed under these are tried.
 LONG_LIST = 64
+#: Up to so many rules are tried in plain expressions, which Spark compiles; functions on arrays are not compiled.
+PLAIN_LIST = 16
 _PIECE = 3
 
 
@@ -108,6 +110,14 @@ def keyword_hits(
 
     odd = reduce(or_, [F.contains(lowered, F.lit(c)) for c in CASE_PARTNERS])
 
+    if 0 < len(rows) <= PLAIN_LIST:
+        met = []
+        for row in rows:
+            there = F.contains(lowered, F.lit(row["needle"]))
+            met.append((there | odd) & F.regexp_like(text, F.lit(row["pattern"])) if row["pattern"] else there)
+        said = [F.when(one, F.array(F.lit(row["reason"]))).otherwise(no_reasons()) for one, row in zip(met, rows)]
+        return F.coalesce(reduce(or_, met), F.lit(False)), F.concat(*said)
+
     def hit(item: Column) -> Column:
         there = F.contains(lowered, item["needle"]) | odd
         alone = there & F.regexp_like(text, item["pattern"])
@@ -141,6 +151,15 @@ def match_location(location: Column, allowed: Sequence[str]) -> Column:
             said, pattern = fv.REASON_STATE_TOKEN.format(name), apart_pattern(token, ignore_case=False)
             rows.append({"pos": len(rows), "reason": said, "needle": token, "pattern": pattern})
 
+    if 0 < len(rows) <= PLAIN_LIST:
+        said = []
+        for row in rows:
+            met = F.contains(location, F.lit(row["needle"]))
+            if row["pattern"]:
+                met = met & F.regexp_like(location, F.lit(row["pattern"]))
+            said.append(F.when(met, row["reason"]))
+        return F.coalesce(*said)
+
     def hit(item: Column) -> Column:
         there = F.contains(location, item["needle"])
         return F.when(item["pattern"].isNull(), there).otherwise(there & F.regexp_like(location, item["pattern"]))

@@ -163,3 +163,20 @@ def test_a_long_list_is_not_tried_rule_by_rule(spark):
         {"pos": i, "reason": "", "needle": f"surgeon {i:03}", "pattern": None} for i in range(1000)
     ])
     assert spark.range(1).select(F.size(tried)).first()[0] < 60
+
+
+def test_a_few_rules_are_plain_expressions_with_the_same_reasons(spark, monkeypatch):
+    texts = ["RN", "rn-2 and KG", "a Kg", "nurse rn", "Senior VP", "", None, "ſql", "x", "LA, tx", "lake"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = rows.select("i", "t", F.lower("t").alias("t_lower"), normalized(F.col("t")).alias("place"))
+    words, places = ["RN", "kg", " ", "senior", "RN", "SQL", "nurse"], ["", "Louisiana", "texas", "la"]
+
+    def found():
+        hit, reasons = decide.keyword_hits({name: F.col(name) for name in rows.columns}, "t", words, "{}")
+        df = rows.select("i", hit.alias("hit"), reasons.alias("why"), decide.match_location(F.col("place"), places).alias("p"))
+        return df._jdf.queryExecution().optimizedPlan().toString(), df.orderBy("i").collect()
+
+    plan, few = found()
+    assert "lambda" not in plan and [r.hit for r in few] == [True, True, True, True, True, False, False, True, False, False, False]
+    monkeypatch.setattr(decide, "PLAIN_LIST", 0)
+    assert found()[1] == few
