@@ -14,15 +14,13 @@ Work grows with the different runs and with what is found, not with rules times
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom import fixed_values as fv
 from jobloom.functions.extract import NO_AMOUNT, least_annual_amount, most_years, whole
 from jobloom.functions.text import folded, normalized, strip
-from jobloom.operators.decide import ExclusionRules, InclusionRules, PostingFilter, no_reasons, prepared
+from jobloom.operators.decide import ExclusionRules, InclusionRules, Posting, PostingFilter, no_reasons, prepared
 from jobloom.session import stage
 
 _WORD = r"[\p{L}\p{N}_]+"
@@ -31,6 +29,10 @@ _RUNS = rf"{_WORD}|[^\p{{L}}\p{{N}}_\s]+"
 PIECE = 32
 #: Bits of the bitmap by which rows are dropped before a shuffle, as a power of two.
 MARK_BITS = 27
+#: Up to so many keyword rules of a sheet are tried one by one on the postings that name it.
+SHORT_SHEET = 500
+#: Postings that name one sheet are joined with its rules in shares of so many.
+SHARE = 50_000
 
 
 def _runs(text: Column) -> Column:
@@ -102,9 +104,12 @@ def needles(rules: DataFrame, keyword: str = "keyword") -> DataFrame:
 
 def occurs(text: Column, needle: Column, apart: Column) -> Column:
     """Whether the needle is in the text; if ``apart``, not beside ASCII letters."""
-    quoted = F.concat(F.lit(r"(?iu)(?<![A-Za-z])\Q"), needle, F.lit(r"\E(?![A-Za-z])"))
     inside = F.contains(F.lower(text), F.lower(needle))
-    return F.when(apart, F.regexp_like(text, quoted)).otherwise(inside)
+    return F.when(apart, F.regexp_like(text, _apart_pattern(needle))).otherwise(inside)
+
+
+def _apart_pattern(needle: Column) -> Column:
+    return F.concat(F.lit(r"(?iu)(?<![A-Za-z])\Q"), needle, F.lit(r"\E(?![A-Za-z])"))
 
 
 def keyword_hits(texts: DataFrame, rules: DataFrame, key: str = "ord") -> DataFrame:
@@ -184,11 +189,14 @@ def location_reasons(places: DataFrame, rules: DataFrame) -> DataFrame:
     reason = F.when(F.col("token"), _said(fv.REASON_STATE_TOKEN, F.col("value"))).otherwise(
         _said(fv.REASON_LOCATION, F.col("value"))
     )
+    # A name that a sheet repeats stands once, at its first place.
+    firsts = tried.groupBy("sheet_id", "keyword", "token").agg(
+        F.min(F.struct("ord", "token", reason.alias("reason"))).alias("first")
+    )
     return (
         places.select("sheet_id", "location").distinct()
-        .join(hits, "location").join(tried, ["sheet_id", "keyword", "token"])
-        .groupBy("sheet_id", "location")
-        .agg(F.min(F.struct("ord", "token", reason.alias("reason")))["reason"].alias("reason"))
+        .join(hits, "location").join(firsts, ["sheet_id", "keyword", "token"])
+        .groupBy("sheet_id", "location").agg(F.min("first")["reason"].alias("reason"))
     )
 
 
@@ -221,20 +229,23 @@ _EXCLUDING = (
 )
 
 
-def _found_reasons(postings: DataFrame, inclusion: DataFrame, exclusion: DataFrame) -> DataFrame:
+def _keyword_rules(inclusion: DataFrame, exclusion: DataFrame) -> DataFrame:
+    """(sheet_id, field, bucket, rule_ord, keyword, reason) of all rules that look for a keyword."""
+
+    def listed(kind: str, rules: DataFrame, buckets: tuple) -> DataFrame:
+        of = lambda value: F.coalesce(*[F.when(F.col("bucket") == b[0], value(b)) for b in buckets])
+        return rules.where(F.col("bucket").isin(*[b[0] for b in buckets])).select(
+            "sheet_id", of(lambda b: F.lit(b[1])).alias("field"),
+            F.concat(F.lit(f"{kind}:"), "bucket").alias("bucket"),
+            F.col("ord").alias("rule_ord"), F.col("value").alias("keyword"),
+            of(lambda b: _said(b[2], F.col("value"))).alias("reason"),
+        )
+
+    return listed("inclusion", inclusion, _INCLUDING).unionByName(listed("exclusion", exclusion, _EXCLUDING))
+
+
+def _found_reasons(postings: DataFrame, listed: DataFrame) -> DataFrame:
     """(ord, sheet_found): for each rule list the reasons of the posting's own sheet, in order."""
-    listed = reduce(
-        DataFrame.unionByName,
-        [
-            rules.where(F.col("bucket") == bucket).select(
-                "sheet_id", F.lit(field).alias("field"), F.lit(f"{kind}:{bucket}").alias("bucket"),
-                F.col("ord").alias("rule_ord"), F.col("value").alias("keyword"),
-                _said(reason, F.col("value")).alias("reason"),
-            )
-            for kind, rules, buckets in (("inclusion", inclusion, _INCLUDING), ("exclusion", exclusion, _EXCLUDING))
-            for bucket, field, reason in buckets
-        ],
-    )
     both = F.concat_ws(" ", "job_title", "description")
     fields = {"job_title": F.col("job_title"), "description": F.col("description"), "both": both}
     texts = postings.select("ord", "sheet_id", F.explode(F.array(*(
@@ -250,6 +261,32 @@ def _found_reasons(postings: DataFrame, inclusion: DataFrame, exclusion: DataFra
     )
 
 
+def _sheet_rules(listed: DataFrame) -> DataFrame:
+    """(sheet_id, sheet_rules, is_long): for each rule list of a short sheet its rules, in order.
+
+    Of a long sheet only the first SHORT_SHEET + 1 rules are looked at, to see that it is one.
+    """
+    needle = strip(F.col("keyword"))
+    lowered = F.lower(needle)
+    apart = F.length(needle) <= fv.SHORT_KEYWORD_LENGTH
+    rule = F.struct(
+        "rule_ord", "reason", lowered.alias("needle"), folded(lowered).alias("alike"),
+        F.when(apart, _apart_pattern(needle)).alias("pattern"),
+    )
+    place = F.row_number().over(Window.partitionBy("sheet_id").orderBy("rule_ord"))
+    first = listed.where(needle != "").withColumn("_place", place).where(F.col("_place") <= SHORT_SHEET + 1)
+    return (
+        first.groupBy("sheet_id", "bucket")
+        .agg(F.sort_array(F.collect_list(rule)).alias("_rules"), F.max("_place").alias("_last"))
+        .groupBy("sheet_id")
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("bucket", "_rules"))).alias("_of"),
+            (F.max("_last") > SHORT_SHEET).alias("is_long"),
+        )
+        .select("sheet_id", F.when(~F.col("is_long"), F.col("_of")).alias("sheet_rules"), "is_long")
+    )
+
+
 def _sheet_facts(inclusion: DataFrame, exclusion: DataFrame) -> DataFrame:
     """(sheet_id, has_locations, has_keywords, maximum_years, maximum_annual)"""
     has = lambda *names: F.max(F.col("bucket").isin(*names).cast("int")) == 1
@@ -263,8 +300,25 @@ def _sheet_facts(inclusion: DataFrame, exclusion: DataFrame) -> DataFrame:
     return including.join(excluding, "sheet_id", "full_outer")
 
 
-def _listed(name: str):
-    return lambda posting: F.coalesce(posting["sheet_found"][name], no_reasons())
+def _found(kind: str, bucket: str, field: str):
+    """The reasons of the rules of one list that the posting meets: found before, or tried here."""
+    name, field = f"{kind}:{bucket}", {"both": "title_and_description"}.get(field, field)
+
+    def reasons(posting: Posting, rules: object) -> Column:
+        text, lowered = posting[field], posting[f"{field}_lower"]
+
+        def tried(alike: Column) -> Column:
+            def hit(rule: Column) -> Column:
+                alone = F.contains(alike, rule["alike"]) & F.regexp_like(text, rule["pattern"])
+                return F.when(rule["pattern"].isNull(), F.contains(lowered, rule["needle"])).otherwise(alone)
+
+            return F.transform(F.filter(posting["sheet_rules"][name], hit), lambda rule: rule["reason"])
+
+        # The array of one gives the folded text a name, so that it is made once for all rules.
+        met = F.flatten(F.transform(F.array(folded(lowered)), tried))
+        return F.coalesce(posting["sheet_found"][name], met, no_reasons())
+
+    return reasons
 
 
 def _sheet_location(posting, rules):
@@ -276,18 +330,21 @@ def _sheet_location(posting, rules):
     return free | reason.isNotNull(), F.array(F.when(free, fv.REASON_NO_LOCATION_RULES).otherwise(said))
 
 
+@prepared(
+    found=lambda posting, rules: F.concat(*[_found("inclusion", b, field)(posting, rules) for b, field, _ in _INCLUDING])
+)
 def _sheet_relevance(posting, rules):
-    found = F.concat(*[_listed(f"inclusion:{bucket}")(posting) for bucket, _, _ in _INCLUDING])
+    found = posting["found"]
     free = ~F.coalesce(posting["has_keywords"], F.lit(False))
     nothing = F.array(F.lit(fv.REASON_NOT_RELEVANT))
     reasons = F.when(free, F.array(F.lit(fv.REASON_NO_KEYWORD_RULES))).when(F.size(found) > 0, found)
     return free | (F.size(found) > 0), reasons.otherwise(nothing)
 
 
-def _sheet_exclusion(bucket: str):
+def _sheet_exclusion(bucket: str, field: str):
+    @prepared(found=_found("exclusion", bucket, field))
     def handler(posting, rules):
-        found = _listed(f"exclusion:{bucket}")(posting)
-        return F.size(found) == 0, found
+        return F.size(posting["found"]) == 0, posting["found"]
 
     return handler
 
@@ -309,36 +366,59 @@ def _sheet_salary(posting, rules):
     return _below(pay, posting["maximum_annual"], fv.REASON_PAY)
 
 
+def _shares(postings: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with a ``_share``, so that postings of a sheet that very many name are not one task's."""
+    named = postings.groupBy("sheet_id").agg(F.count(F.lit(1)).alias("_named"))
+    heavy = F.broadcast(stage(named.where(F.col("_named") > SHARE), "heavy-sheets"))
+    shares = F.coalesce(F.ceil(F.col("_named") / SHARE), F.lit(1))
+    dealt = postings.join(heavy, "sheet_id", "left").withColumn("_share", F.pmod(F.xxhash64("ord"), shares))
+    copied = facts.join(heavy, "sheet_id", "left").withColumn("_share", F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1)))
+    return dealt.drop("_named"), copied.drop("_named")
+
+
 def decide_by_sheet(postings: DataFrame, inclusion: DataFrame, exclusion: DataFrame) -> DataFrame:
     """Add ``decision`` to postings that each name the ``sheet_id`` of their rules.
 
     ``inclusion`` and ``exclusion`` are the long tables of the sheets. Any number of sheets
-    is applied in one job; a sheet that most postings name is no heavier than others, for
-    rules are matched with texts, not with postings by sheet. A posting whose sheet_id has
-    no rules is held to none. Stages, reasons and their order are those of ``PostingFilter``.
+    is applied in one job. The keyword rules of a sheet of up to SHORT_SHEET are joined to its
+    postings and tried there, stage by stage; those of longer sheets are matched with the texts
+    by ``keyword_hits``, not with postings by sheet. A sheet that most postings name is joined in
+    shares. A posting whose sheet_id has no rules is held to none. Stages, reasons and their
+    order are those of ``PostingFilter``.
     """
     postings, inclusion, exclusion = (
         stage(df, name) for df, name in ((postings, "postings"), (inclusion, "including"), (exclusion, "excluding"))
     )
-    found = _found_reasons(postings, inclusion, exclusion)
+    listed = _keyword_rules(inclusion, exclusion)
+    facts = _sheet_facts(inclusion, exclusion).join(_sheet_rules(listed), "sheet_id", "full_outer")
+    facts = stage(facts, "sheet-facts")
     placed = postings.withColumn("_place", normalized(F.col("location")))
     matched = location_reasons(
         placed.select("sheet_id", F.col("_place").alias("location")), inclusion.where("bucket = 'locations'")
     ).select("sheet_id", F.col("location").alias("_place"), F.col("reason").alias("sheet_location_reason"))
+    dealt, copied = _shares(placed, facts)
     known = (
-        placed.join(found, "ord", "left")
-        .join(matched, ["sheet_id", "_place"], "left")
-        .join(_sheet_facts(inclusion, exclusion), "sheet_id", "left")
+        dealt.join(matched, ["sheet_id", "_place"], "left")
+        .join(copied, ["sheet_id", "_share"], "left")
+        # As with what is found before, a posting without ord has no keywords.
+        .withColumn("sheet_rules", F.when(F.col("ord").isNotNull(), F.col("sheet_rules")))
     )
+    long_sheets = facts.where("is_long").select("sheet_id")
+    if long_sheets.isEmpty():
+        known = known.withColumn("sheet_found", F.lit(None).cast("map<string, array<string>>"))
+    else:
+        placed_right = "is_long AND (NOT coalesce(has_locations, false) OR sheet_location_reason IS NOT NULL)"
+        searched = known.where(placed_right).select("ord", "sheet_id", "job_title", "description")
+        found = _found_reasons(stage(searched, "searched"), listed.join(long_sheets, "sheet_id", "left_semi"))
+        known = known.join(found, "ord", "left")
     chain = PostingFilter(
         InclusionRules(), ExclusionRules(),
         inclusion_handlers=[("location", _sheet_location), ("relevance", _sheet_relevance)],
         exclusion_handlers=[
-            *((stage_name, _sheet_exclusion(bucket)) for stage_name, bucket in (
-                ("title_keywords", "title_keywords"), ("description_keywords", "description_keywords"),
-                ("career_level", "career_level_keywords"),
+            *((stage_name, _sheet_exclusion(bucket, field)) for stage_name, (bucket, field, _) in zip(
+                ("title_keywords", "description_keywords", "career_level"), _EXCLUDING
             )),
             ("experience", _sheet_experience), ("salary", _sheet_salary),
         ],
     )
-    return chain.decide(known.drop("_place")).select(*postings.columns, "decision")
+    return chain.decide(known.drop("_place", "_share")).select(*postings.columns, "decision")

@@ -156,3 +156,40 @@ def test_a_key_that_comes_twice_and_long_runs(spark):
     rules = spark.createDataFrame([(long,), (long[:50] + "c",), ("data entry",), ("entry",), ("runs",)], "keyword string")
     found = sorted((r.ord or 0, r.keyword) for r in rule_tables.keyword_hits(texts, rules).collect())
     assert found == [(0, "entry"), (0, "runs"), (1, long), (1, "data entry"), (1, "entry")]
+
+
+def test_short_sheets_are_tried_on_their_postings_and_long_ones_matched(spark, make_postings, monkeypatch):
+    titles = ["RN", "rn-2 him", "HIM C++", "", "no such thing", "ſql lead", "him", "Wing 7"]
+    base = make_postings(*[{"job_title": t, "location": "Austin, TX", "description": d} for t in titles for d in ("SQL, R&D", "", "data entry 9 years")])
+    postings = base.withColumn("sheet_id", F.when(F.col("ord") % 4 > 0, "hot").otherwise("b"))
+    words = ["RN", "him", "SQL", "C++", "R&D", " data entry", "", "Wing 7", "such", "SQL"]
+    including = [(s, b, i, w) for s in ("hot", "b") for b in ("title_keywords", "keywords", "description_keywords") for i, w in enumerate(words[::-1] if s == "b" else words)]
+    excluding = [("hot", "title_keywords", 1, "Lead", None), ("b", "career_level_keywords", 2, "RN", None), ("hot", "experience_rules", 3, "", 5)]
+    shape = "sheet_id string, bucket string, ord bigint, value string"
+    inclusion = spark.createDataFrame(including, shape)
+    exclusion = spark.createDataFrame(excluding, shape + ", num_value bigint")
+    calls = []
+    hits = rule_tables.keyword_hits
+    monkeypatch.setattr(rule_tables, "keyword_hits", lambda texts, rules, key="ord": calls.append(key) or hits(texts, rules, key))
+
+    def decided(short, share):
+        monkeypatch.setattr(rule_tables, "SHORT_SHEET", short)
+        monkeypatch.setattr(rule_tables, "SHARE", share)
+        calls.clear()
+        rows = rule_tables.decide_by_sheet(postings, inclusion, exclusion).orderBy("ord").collect()
+        return {r.ord: r.decision for r in rows}, len(rows), "place" in calls
+
+    # Every sheet short, in one share: only the places are matched as tables.
+    few, number, matched = decided(500, 50_000)
+    assert number == base.count() and not matched and len({str(d) for d in few.values()}) > 10
+    # Both sheets long; one of them long; the hot one in shares.
+    assert decided(3, 50_000) == (few, number, True)
+    assert decided(25, 50_000) == (few, number, True)
+    assert decided(500, 4) == (few, number, False)
+
+
+def test_a_place_that_a_sheet_repeats_meets_it_once(spark):
+    places = spark.createDataFrame([("a", "el paso, tx"), ("a", "tulsa")], "sheet_id string, location string")
+    rules = spark.createDataFrame([("a", i, "El  Paso" if i % 2 else "el paso") for i in range(9, 0, -1)], "sheet_id string, ord bigint, value string")
+    found = [tuple(r) for r in rule_tables.location_reasons(places, rules).collect()]
+    assert found == [("a", "el paso, tx", "matched location 'El  Paso'")]
