@@ -270,7 +270,7 @@ def _sheet_rules(listed: DataFrame) -> DataFrame:
     lowered = F.lower(needle)
     apart = F.length(needle) <= fv.SHORT_KEYWORD_LENGTH
     rule = F.struct(
-        "rule_ord", "reason", lowered.alias("needle"), folded(lowered).alias("alike"),
+        "rule_ord", "keyword", F.when(apart, folded(lowered)).otherwise(lowered).alias("needle"),
         F.when(apart, _apart_pattern(needle)).alias("pattern"),
     )
     place = F.row_number().over(Window.partitionBy("sheet_id").orderBy("rule_ord"))
@@ -300,7 +300,7 @@ def _sheet_facts(inclusion: DataFrame, exclusion: DataFrame) -> DataFrame:
     return including.join(excluding, "sheet_id", "full_outer")
 
 
-def _found(kind: str, bucket: str, field: str):
+def _found(kind: str, bucket: str, field: str, reason: str):
     """The reasons of the rules of one list that the posting meets: found before, or tried here."""
     name, field = f"{kind}:{bucket}", {"both": "title_and_description"}.get(field, field)
 
@@ -309,10 +309,10 @@ def _found(kind: str, bucket: str, field: str):
 
         def tried(alike: Column) -> Column:
             def hit(rule: Column) -> Column:
-                alone = F.contains(alike, rule["alike"]) & F.regexp_like(text, rule["pattern"])
+                alone = F.contains(alike, rule["needle"]) & F.regexp_like(text, rule["pattern"])
                 return F.when(rule["pattern"].isNull(), F.contains(lowered, rule["needle"])).otherwise(alone)
 
-            return F.transform(F.filter(posting["sheet_rules"][name], hit), lambda rule: rule["reason"])
+            return F.transform(F.filter(posting["sheet_rules"][name], hit), lambda rule: _said(reason, rule["keyword"]))
 
         # The array of one gives the folded text a name, so that it is made once for all rules.
         met = F.flatten(F.transform(F.array(folded(lowered)), tried))
@@ -331,7 +331,7 @@ def _sheet_location(posting, rules):
 
 
 @prepared(
-    found=lambda posting, rules: F.concat(*[_found("inclusion", b, field)(posting, rules) for b, field, _ in _INCLUDING])
+    found=lambda posting, rules: F.concat(*[_found("inclusion", *of)(posting, rules) for of in _INCLUDING])
 )
 def _sheet_relevance(posting, rules):
     found = posting["found"]
@@ -341,8 +341,8 @@ def _sheet_relevance(posting, rules):
     return free | (F.size(found) > 0), reasons.otherwise(nothing)
 
 
-def _sheet_exclusion(bucket: str, field: str):
-    @prepared(found=_found("exclusion", bucket, field))
+def _sheet_exclusion(bucket: str, field: str, reason: str):
+    @prepared(found=_found("exclusion", bucket, field, reason))
     def handler(posting, rules):
         return F.size(posting["found"]) == 0, posting["found"]
 
@@ -415,7 +415,7 @@ def decide_by_sheet(postings: DataFrame, inclusion: DataFrame, exclusion: DataFr
         InclusionRules(), ExclusionRules(),
         inclusion_handlers=[("location", _sheet_location), ("relevance", _sheet_relevance)],
         exclusion_handlers=[
-            *((stage_name, _sheet_exclusion(bucket, field)) for stage_name, (bucket, field, _) in zip(
+            *((stage_name, _sheet_exclusion(*of)) for stage_name, of in zip(
                 ("title_keywords", "description_keywords", "career_level"), _EXCLUDING
             )),
             ("experience", _sheet_experience), ("salary", _sheet_salary),
