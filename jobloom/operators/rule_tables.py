@@ -7,7 +7,8 @@ lengths that keywords have, and an equi-join on the piece finds the keywords. Pi
 no keyword's, which are nearly all, are dropped before the shuffle by a bitmap of hashes, and
 so are the runs in which nothing was found, before the texts are joined with what was found.
 Keywords of one run are decided on the run alone; only those of several are looked for in
-the texts that hold their longest one.
+the texts that hold their longest one. The shortest keywords, at most NEAR, occur most often: they
+are sent to the texts, so that what they meet is not shuffled.
 
 Work grows with the different runs and with what is found, not with rules times rows.
 """
@@ -27,6 +28,10 @@ _WORD = r"[\p{L}\p{N}_]+"
 _RUNS = rf"{_WORD}|[^\p{{L}}\p{{N}}_\s]+"
 #: Longer keywords are filed under their first so many characters.
 PIECE = 32
+#: So many of the shortest keywords of one run at most are sent to the texts.
+NEAR = 200_000
+#: Up to so many different characters a pattern lists.
+LETTERS = 500
 #: Bits of the bitmap by which rows are dropped before a shuffle, as a power of two.
 MARK_BITS = 27
 #: Up to so many keyword rules of a sheet are tried one by one on the postings that name it.
@@ -120,37 +125,104 @@ def keyword_hits(texts: DataFrame, rules: DataFrame, key: str = "ord") -> DataFr
     SHORT_KEYWORD_LENGTH characters must stand apart from ASCII letters.
     """
     wanted = stage(_filed(needles(rules), "run"), "needles")
+    sizes, all_near = _near_sizes(wanted)
+    is_near = F.coalesce(F.col("whole") & F.length("run").isin(sizes), F.lit(False))
+    nothing = no_reasons()
+    by_key = texts.where(F.col(key).isNotNull()).select(key, nothing.alias("_met"), nothing.alias("_maybe"), "text")
+    if not all_near:
+        by_key = _met_apart(texts, wanted.where(~is_near), key).unionByName(by_key)
+    listed = lambda name: F.array_distinct(F.flatten(F.collect_list(name))).alias(name)
+    by_key = by_key.groupBy(key).agg(listed("_met"), listed("_maybe"), F.collect_list("text").alias("_texts"))
+
+    def is_there(keyword: Column) -> Column:
+        needle = strip(keyword)
+        apart = F.length(needle) <= fv.SHORT_KEYWORD_LENGTH
+        return F.exists("_texts", lambda text: occurs(text, needle, apart))
+
+    found = F.concat("_met", F.filter("_maybe", is_there))
+    if not sizes:
+        return by_key.select(key, F.explode(found).alias("keyword"))
+    # A piece of the runs tells all of a keyword, but whether a short one stands apart.
+    near = wanted.where(is_near).select(
+        "keyword", "needle", "apart", F.when(F.col("apart"), F.col("run")).otherwise(F.lower("needle")).alias("piece")
+    )
+    cuts = _near_cuts(near)
+    keyless = texts.where(F.col(key).isNull()).select(key, nothing.alias("_found"), F.array("text").alias("_texts"))
+    return _with_near(by_key.select(key, found.alias("_found"), "_texts"), near, cuts, key).unionByName(
+        _with_near(keyless, near, cuts, key).distinct()
+    )
+
+
+def _near_sizes(wanted: DataFrame) -> tuple[list[int], bool]:
+    """The lengths of the keywords that are sent to the texts, and whether there are no others.
+
+    At most 2 * (PIECE + 1) counts come to the driver.
+    """
+    size = F.least(F.length("run"), F.lit(PIECE + 1)).alias("size")
+    counts = wanted.groupBy("whole", size).agg(F.count(F.lit(1)).alias("number")).collect()
+    sizes, number = [], 0
+    for row in sorted((r for r in counts if r.whole and r.size <= PIECE), key=lambda r: r.size):
+        if number + row.number > NEAR:
+            break
+        sizes, number = [*sizes, row.size], number + row.number
+    return sizes, number == sum(r.number for r in counts)
+
+
+def _met_apart(texts: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """(key, _met, _maybe, text): a row for each text and run in which a keyword was met; no text."""
     found = texts.select(key, F.explode(_runs(F.col("text"))).alias("run"))
     words = found.select("run").distinct().withColumn("lowered", folded(F.lower("run")))
     met = (
-        _cut(words, "lowered", wanted)
+        _cut(words, "lowered", wanted).drop("lowered")
         .join(wanted.withColumnRenamed("run", "wanted"), "piece")
-        .where(F.contains("lowered", "wanted"))
+        .where(F.contains(folded(F.lower("run")), "wanted"))
         .where(~F.col("whole") | occurs(F.col("run"), F.col("needle"), F.col("apart")))
         .groupBy("run").agg(
             F.collect_set(F.when(F.col("whole"), F.col("keyword"))).alias("_met"),
             F.collect_set(F.when(~F.col("whole"), F.col("keyword"))).alias("_maybe"),
         )
     )
-    # One row for each text and run in which something was met, then one for each text.
     met = stage(met, "met-runs")
-    there = (
+    return (
         _maybe_among(found, "run", met).join(met, "run")
         .select(key, "_met", "_maybe", F.lit(None).cast("string").alias("text"))
     )
-    nothing = no_reasons()
-    searched = texts.where(F.col(key).isNotNull()).select(key, nothing.alias("_met"), nothing.alias("_maybe"), "text")
-    listed = lambda name: F.array_distinct(F.flatten(F.collect_list(name))).alias(name)
-    by_key = there.unionByName(searched).groupBy(key).agg(
-        listed("_met"), listed("_maybe"), F.collect_list("text").alias("_texts")
-    )
 
-    def is_there(keyword: Column) -> Column:
-        needle = strip(keyword)
-        apart = F.length(needle) <= fv.SHORT_KEYWORD_LENGTH
-        return F.exists("_texts", lambda text: occurs(text, needle, apart))
 
-    return by_key.select(key, F.explode(F.concat("_met", F.filter("_maybe", is_there))).alias("keyword"))
+def _near_cuts(near: DataFrame) -> dict[bool, list[str]]:
+    """The patterns that cut text into pieces, for those that stand apart and for others: one a length."""
+    sizes = near.select("apart", F.length("piece").alias("size")).distinct().collect()
+    letters = near.select(F.explode(F.split("piece", "")).alias("letter")).distinct().where("letter <> ''")
+    known = sorted(row.letter for row in letters.limit(LETTERS + 1).collect())
+    # The characters that keywords have, if they are not too many for a pattern.
+    letter = f"[{''.join(known)}]" if len(known) <= LETTERS else r"[^\n]"
+    return {apart: [f"(?=({letter}{{{r.size}}}))" for r in sorted(sizes) if r.apart == apart] for apart in (True, False)}
+
+
+def _with_near(rows: DataFrame, near: DataFrame, cuts: dict[bool, list[str]], key: str) -> DataFrame:
+    """(key, keyword) of rows (key, _found, _texts): what was found, and what of ``near`` is there."""
+    runs = F.array_distinct(F.flatten(F.transform("_texts", _runs)))
+    lowered = F.lower("_runs")
+
+    def tried(apart: bool) -> Column:
+        text, where = (folded(lowered), F.col("_runs")) if apart else (lowered, F.lit(None).cast("string"))
+        pieces = (F.regexp_extract_all(text, F.lit(cut), F.lit(1)) for cut in cuts[apart])
+        return F.transform(F.array_distinct(F.concat(no_reasons(), *pieces)), lambda piece: F.struct(
+            F.lit(None).cast("string").alias("keyword"), piece.alias("piece"), F.lit(apart).alias("apart"), where.alias("where")
+        ))
+
+    no_text = F.lit(None).cast("string")
+    met = F.transform("_found", lambda keyword: F.struct(
+        keyword.alias("keyword"), no_text.alias("piece"), F.lit(False).alias("apart"), no_text.alias("where")
+    ))
+    there = F.col("_near").isNotNull() & (~F.col("apart") | occurs(F.col("where"), F.col("needle"), F.lit(True)))
+    return (
+        rows.select(key, "_found", F.array_join(runs, "\n").alias("_runs"))
+        .select(key, F.explode(F.concat(met, tried(True), tried(False))).alias("_either")).select(key, "_either.*")
+        .join(F.broadcast(near.withColumnRenamed("keyword", "_near")), ["piece", "apart"], "left")
+        .where(F.col("keyword").isNotNull() | there)
+        .select(key, F.coalesce("keyword", "_near").alias("keyword"))
+    )
 
 
 def having_any(texts: DataFrame, rules: DataFrame, key: str = "ord") -> DataFrame:

@@ -193,3 +193,27 @@ def test_a_place_that_a_sheet_repeats_meets_it_once(spark):
     rules = spark.createDataFrame([("a", i, "El  Paso" if i % 2 else "el paso") for i in range(9, 0, -1)], "sheet_id string, ord bigint, value string")
     found = [tuple(r) for r in rule_tables.location_reasons(places, rules).collect()]
     assert found == [("a", "el paso, tx", "matched location 'El  Paso'")]
+
+
+@pytest.mark.parametrize("near", [0, 9, 200_000])
+def test_keywords_sent_to_the_texts_and_others_find_the_same(spark, monkeypatch, near):
+    monkeypatch.setattr(rule_tables, "NEAR", near)
+    rows, texts = _texts(spark, 80)
+    rows += [(90, "KİT ſQL x1y 1"), (90, "kit 1 RN"), (91, "anrn rnx")]
+    twice = spark.createDataFrame([*rows, *rows[:40], (None, "rn 1 a.b"), (None, "1 coding")], "ord bigint, text string")
+    rules = spark.createDataFrame([(k,) for k in KEYWORDS], "keyword string")
+    found = sorted((r.ord if r.ord is not None else -1, r.keyword) for r in rule_tables.keyword_hits(twice, rules).collect())
+    keyed = {(i, k) for i, t in rows for k in set(KEYWORDS) - {None} if _occurs(t, k)}
+    assert [x for x in found if x[0] >= 0] == sorted(keyed)
+    assert [k for i, k in found if i < 0] == ["1", "Coding", "RN", "rn"]
+
+
+def test_what_short_keywords_meet_is_not_shuffled(spark, monkeypatch):
+    tables, staged = [], rule_tables.stage
+    monkeypatch.setattr(rule_tables, "stage", lambda df, name: tables.append((name, staged(df, name))) or tables[-1][1])
+    texts = spark.range(300).select(F.col("id").alias("ord"), F.format_string("No%05d x%dy", "id", "id").alias("text"))
+    numbers = spark.range(300).select(F.col("id").cast("string").alias("keyword"))
+    word = spark.createDataFrame([("no such word at all",)], "keyword string")
+    found = sorted(map(tuple, rule_tables.keyword_hits(texts, numbers.unionByName(word)).collect()))
+    assert found == sorted((i, str(k)) for i in range(300) for k in range(300) if str(k) in f"{i:05}" or _occurs(f"x{i}y", str(k)))
+    assert not any(row._met for name, df in tables if name == "met-runs" for row in df.collect())
